@@ -145,3 +145,90 @@ oracle("enumerate_links", with_catalog(
     f"{sql_quote(_LINK_KEY)})), '|') "
     f"as links from (select *, {sql_clean('SeriesDescription', 'twopass')} as clean_description "
     f"from manifest)", True))
+
+# ------------------------------------------------------------------ slices
+SLICE_BOUNDS = ("cast(case when b < 0 then 0 else b end as int) as b0, "
+                "cast(case when e >= dim then dim - 1 else e end as int) as e0")
+
+
+def with_ctes(*ctes: str) -> str:
+    return "with " + ",\n".join(ctes) + "\n"
+
+
+CENTRAL50 = (with_ctes(fx.SLICE_STACK_SQL) +
+             "select * from (select *, " + SLICE_BOUNDS + " from (select *, dim / 2 - 25.0 as b, "
+             "dim / 2 + 25.0 as e from slice_stack) s) t where slice_no >= b0 and slice_no < e0")
+oracle("slice_central", f"select volume_id, slice_no, dim from ({CENTRAL50})")
+oracle("slice_range", with_ctes(fx.SLICE_STACK_SQL) +
+       "select volume_id, slice_no, dim from slice_stack where slice_no >= least(5, dim) "
+       "and slice_no < greatest(dim - 5, 0)")
+
+# voxel index (0-based) of pixel p of slice j; 4x4x4 volumes, x fastest
+_VOX = {
+    0: "j + 4 * (p // 4) + 16 * (p % 4)",      # sagittal [y][z]
+    1: "(p // 4) + 4 * j + 16 * (p % 4)",      # coronal  [x][z]
+    2: "(p // 4) + 4 * (p % 4) + 16 * j",      # axial    [x][y]
+}
+
+
+def _slices_sql(axis: int, pixel_expr: str = "p") -> str:
+    vox = _VOX[axis].replace("p", f"({pixel_expr})") if pixel_expr != "p" else _VOX[axis]
+    return (with_ctes(fx.VOLUMES3D_SQL) +
+            f"select volume_id, slice_no, p as pixel, voxels[{vox} + 1] as value from "
+            f"(select volume_id, voxels, j, j as slice_no, unnest(range(0, 16)) as p from "
+            f"(select volume_id, voxels, unnest(range(0, 4)) as j from volumes3d) a) b")
+
+
+for _a, _name in enumerate(("sag", "cor", "ax")):
+    oracle(f"slice_all_{_name}",
+           f"select volume_id, cast({_a} as int) as axis, cast(slice_no as int) as slice_no, "
+           f"cast(pixel as int) as pixel, value from ({_slices_sql(_a)})")
+
+# rotation source position of output o in a 4x4 slice (H = W = 4)
+_ROT = {1: "(p % 4) * 4 + (3 - p // 4)", 2: "(3 - p // 4) * 4 + (3 - p % 4)",
+        3: "(3 - p % 4) * 4 + p // 4"}
+for _k, _src in _ROT.items():
+    oracle(f"rot90_{_k}",
+           f"select volume_id, cast(slice_no as int) as slice_no, 4 as height, 4 as width, "
+           f"cast(pixel as int) as pixel, value from ({_slices_sql(2, _src)})")
+
+_SHAPES3 = with_ctes(fx.VOLUME_SHAPES_SQL)
+oracle("detect_slice_axis", _SHAPES3 +
+       "select volume_id, cast(list_position(shape, list_min(shape)) - 1 as int) as slice_axis "
+       "from volume_shapes where len(shape) = 3")
+oracle("skip_non_3d", _SHAPES3 +
+       "select volume_id, cast(len(shape) as int) as n_dims from volume_shapes where len(shape) = 3")
+oracle("inplane_resolution", _SHAPES3 +
+       "select volume_id, slice_axis, "
+       "cast(case when slice_axis = 0 then pixdim[3] else pixdim[2] end as double) as res_x, "
+       "cast(case when slice_axis = 2 then pixdim[3] else pixdim[4] end as double) as res_y from "
+       "(select *, cast(list_position(shape, list_min(shape)) - 1 as int) as slice_axis "
+       "from volume_shapes where len(shape) = 3)")
+
+_NORM = (f"with kept as ({CENTRAL50}), "
+         "ext as (select volume_id, min(list_min(pixels)) as gmin, max(list_max(pixels)) as gmax "
+         "from kept group by volume_id), "
+         "px as (select k.volume_id, k.slice_no, unnest(range(0, 64)) as pixel, k.pixels, "
+         "e.gmin, e.gmax from kept k join ext e on k.volume_id = e.volume_id) ")
+oracle("minmax_normalise", _NORM +
+       "select cast(volume_id as varchar) as volume_id, slice_no, cast(pixel as int) as pixel, "
+       "case when gmax = gmin then 'NaN'::double else (pixels[pixel + 1] - gmin) / (gmax - gmin) end "
+       "as value from px")
+oracle("scale_range_check", _NORM +
+       ", nv as (select volume_id, (pixels[pixel + 1] - gmin) / (gmax - gmin) as v from px) "
+       "select cast(volume_id as varchar) as volume_id, min(v) as scale_min, max(v) as scale_max, "
+       "min(v) = 0 and max(v) = 1 as in_unit_range from nv group by volume_id")
+oracle("display_scale", with_ctes(fx.SLICE_STACK_SQL) +
+       "select cast(volume_id as varchar) as volume_id, slice_no, cast(pixel as int) as pixel, "
+       "cast(case when mx = mn then 0 else least(floor((pixels[(7 - pixel // 8) * 8 + pixel % 8 + 1] - mn) "
+       "/ (mx - mn) * 256), 255) end as int) as value from "
+       "(select *, list_min(pixels) as mn, list_max(pixels) as mx, unnest(range(0, 64)) as pixel "
+       "from slice_stack) s")
+oracle("axis_fanout",
+       "select subject, axis, axis_name, "
+       "format('HCP_1200/{0}/unprocessed/3T/T1w_MPR1/{0}_3T_T1w_MPR1.nii.gz', subject) as volume_key, "
+       "concat('data/HCP_output_v1/hcp_subject_', subject) as output_prefix, "
+       "concat('subject', subject, '_3T_T1w_MPR1_', axis_name) as output_tag from "
+       "(select c_custkey as subject, unnest([{'axis': 0, 'axis_name': 'sag'}, "
+       "{'axis': 1, 'axis_name': 'cor'}, {'axis': 2, 'axis_name': 'ax'}], recursive := true) "
+       "from customer)")

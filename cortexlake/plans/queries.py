@@ -16,6 +16,8 @@ from .. import fixtures as fx
 from ..functions import links as L
 from ..functions import text as T
 from ..operators import catalog as C
+from ..operators import slices as S
+from ..plans import jobs as J
 from ..session import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -187,3 +189,88 @@ def q_enumerate_links(spark, sf_dir):
     return cat.select("series_uid", F.col("n_slices"),
                       F.size(links).cast("int").alias("n_links"),
                       F.array_join(links, "|").alias("links"))
+
+
+# ------------------------------------------------------------------ slices
+def _pixels_long(df: DataFrame, keys, col: str = "pixels") -> DataFrame:
+    """One row per pixel (position, value) for cell-by-cell comparison."""
+    return df.select(*keys, F.posexplode(col).alias("pixel", "value")) \
+             .withColumn("pixel", F.col("pixel").cast("int"))
+
+
+@query("slice_central")
+def q_slice_central(spark, sf_dir):
+    st = fx.slice_stack(spark, sf_dir)
+    return S.slice_central(st, 50).select("volume_id", "slice_no", "dim")
+
+
+@query("slice_range")
+def q_slice_range(spark, sf_dir):
+    st = fx.slice_stack(spark, sf_dir)
+    return S.slice_range(st, 5, -5).select("volume_id", "slice_no", "dim")
+
+
+for _a, _name in enumerate(C.AXIS_NAMES):
+    def _mk(a):
+        def q(spark, sf_dir):
+            sl = S.slice_all(fx.volumes3d(spark, sf_dir), axis=a)
+            return _pixels_long(sl, ["volume_id", "axis", "slice_no"])
+        return q
+    QUERIES[f"slice_all_{_name}"] = _mk(_a)
+
+
+for _k in (1, 2, 3):
+    def _mk_rot(k):
+        def q(spark, sf_dir):
+            sl = S.slice_all(fx.volumes3d(spark, sf_dir), axis=2)
+            r = S.rotate(sl, k)
+            return _pixels_long(r, ["volume_id", "slice_no", "height", "width"])
+        return q
+    QUERIES[f"rot90_{_k}"] = _mk_rot(_k)
+
+
+@query("detect_slice_axis")
+def q_detect_slice_axis(spark, sf_dir):
+    v = S.skip_non_3d(fx.volume_shapes(spark, sf_dir))
+    return S.with_slice_axis(v).select("volume_id", "slice_axis")
+
+
+@query("skip_non_3d")
+def q_skip_non_3d(spark, sf_dir):
+    v = S.skip_non_3d(fx.volume_shapes(spark, sf_dir))
+    return v.select("volume_id", F.size("shape").cast("int").alias("n_dims"))
+
+
+@query("inplane_resolution")
+def q_inplane_resolution(spark, sf_dir):
+    v = S.with_slice_axis(S.skip_non_3d(fx.volume_shapes(spark, sf_dir)))
+    r = S.with_inplane_resolution(v, "slice_axis", "pixdim")
+    return r.select("volume_id", "slice_axis", F.col("res_x").cast("double").alias("res_x"),
+                    F.col("res_y").cast("double").alias("res_y"))
+
+
+@query("minmax_normalise")
+def q_minmax_normalise(spark, sf_dir):
+    st = S.slice_central(fx.slices_table(spark, sf_dir), 50)
+    nm = S.minmax_normalise(st)
+    return _pixels_long(nm, ["volume_id", "slice_no"])
+
+
+@query("scale_range_check")
+def q_scale_range_check(spark, sf_dir):
+    st = S.slice_central(fx.slices_table(spark, sf_dir), 50)
+    return S.scale_range(S.minmax_normalise(st)).select(
+        "volume_id", "scale_min", "scale_max", "in_unit_range")
+
+
+@query("display_scale")
+def q_display_scale(spark, sf_dir):
+    ds = S.display_scale(fx.slices_table(spark, sf_dir))
+    return _pixels_long(ds, ["volume_id", "slice_no"], "grey")
+
+
+@query("axis_fanout")
+def q_axis_fanout(spark, sf_dir):
+    c = read_table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("subject"))
+    return J.axis_fanout(c, HCP_OUT_DIR).select(
+        "subject", "axis", "axis_name", "volume_key", "output_prefix", "output_tag")
