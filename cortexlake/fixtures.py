@@ -188,3 +188,25 @@ IMAGE_SET_SQL = """image_set as (
          list_transform(range(0, s_suppkey % 4), lambda i: concat('/data/set%20', s_suppkey, '/img_', i, '.jpg')) as images,
          case when s_suppkey % 7 = 0 then null else cast(s_nationkey as int) end as store_id
   from supplier)"""
+
+
+# ------------------------------------------------------------ volume files
+def volume_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each embedding vector written as a gzip NIfTI-1 file (4x4x4 float32,
+    x fastest) by a ``mapInPandas`` encoder: binary input for the decode job
+    that Spark derives from the given table."""
+    import numpy as np
+    import pandas as pd
+
+    from .sources.volumes import encode_nifti
+
+    def enc(batches):
+        for pdf in batches:
+            yield pd.DataFrame({
+                "volume_id": pdf["vec_id"].astype(str),
+                "content": [encode_nifti(np.asarray(v, dtype=np.float32).reshape((4, 4, 4), order="F"),
+                                         (1.0, 0.5, 0.75, 1.25))
+                            for v in pdf["embedding"]],
+            })
+    e = read_table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    return e.mapInPandas(enc, "volume_id string, content binary")

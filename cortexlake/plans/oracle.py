@@ -232,3 +232,22 @@ oracle("axis_fanout",
        "(select c_custkey as subject, unnest([{'axis': 0, 'axis_name': 'sag'}, "
        "{'axis': 1, 'axis_name': 'cor'}, {'axis': 2, 'axis_name': 'ax'}], recursive := true) "
        "from customer)")
+
+# ------------------------------------------------------------------ decode
+oracle("decode_volumes",
+       "select cast(volume_id as varchar) as volume_id, cast(0 as int) as axis, "
+       f"cast(slice_no as int) as slice_no, cast(pixel as int) as pixel, value from ({_slices_sql(0)})")
+# central n=2 of an extent-4 axis keeps slices 1 and 2 (renumbered 0, 1),
+# rotated a quarter turn, normalised over the two-slice stack
+oracle("decode_normalised", with_ctes(fx.VOLUMES3D_SQL) +
+       "select cast(volume_id as varchar) as volume_id, cast(2 as int) as axis, "
+       "cast(slice_no as int) as slice_no, 4 as height, 4 as width, cast(pixel as int) as pixel, "
+       "case when gmax = gmin then 'NaN'::double else (v - gmin) / (gmax - gmin) end as value from "
+       "(select *, min(v) over (partition by volume_id) as gmin, max(v) over (partition by volume_id) as gmax from "
+       "(select volume_id, j - 1 as slice_no, p as pixel, "
+       "voxels[((p % 4) * 4 + (3 - p // 4)) // 4 + 4 * (((p % 4) * 4 + (3 - p // 4)) % 4) + 16 * j + 1] as v from "
+       "(select volume_id, voxels, j, unnest(range(0, 16)) as p from "
+       "(select volume_id, voxels, unnest(range(1, 3)) as j from volumes3d) a) b) c) d")
+oracle("decode_headers",
+       "select cast(vec_id as varchar) as volume_id, 'ok' as status, '4x4x4' as shape, "
+       "cast(cast(0.5 as float) as double) as spacing_x from embeddings")

@@ -18,6 +18,7 @@ from ..functions import text as T
 from ..operators import catalog as C
 from ..operators import slices as S
 from ..plans import jobs as J
+from ..sources import volumes as V
 from ..session import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -274,3 +275,26 @@ def q_axis_fanout(spark, sf_dir):
     c = read_table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("subject"))
     return J.axis_fanout(c, HCP_OUT_DIR).select(
         "subject", "axis", "axis_name", "volume_key", "output_prefix", "output_tag")
+
+
+# ------------------------------------------------------------------ decode
+@query("decode_volumes")
+def q_decode_volumes(spark, sf_dir):
+    dec = V.decode_volumes(fx.volume_files(spark, sf_dir), mode="thinnest", normalise=False)
+    sl = V.slices_of(dec)
+    return _pixels_long(sl, ["volume_id", "axis", "slice_no"])
+
+
+@query("decode_normalised")
+def q_decode_normalised(spark, sf_dir):
+    dec = V.decode_volumes(fx.volume_files(spark, sf_dir), mode="central", n=2, axes=(2,),
+                           rot=1, normalise=True)
+    sl = V.slices_of(dec)
+    return _pixels_long(sl, ["volume_id", "axis", "slice_no", "height", "width"])
+
+
+@query("decode_headers")
+def q_decode_headers(spark, sf_dir):
+    h = V.headers_of(V.decode_volumes(fx.volume_files(spark, sf_dir)))
+    return h.select("volume_id", "status", F.array_join(F.col("shape").cast("array<string>"), "x")
+                    .alias("shape"), F.element_at("pixdim", 2).cast("double").alias("spacing_x"))
