@@ -210,3 +210,38 @@ def volume_files(spark: SparkSession, sf_dir: str) -> DataFrame:
             })
     e = read_table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
     return e.mapInPandas(enc, "volume_id string, content binary")
+
+
+# ---------------------------------------------------------- file metadata
+def dicom_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per-file scanner metadata: a lineitem row is one slice file of the
+    series of its order (several files per series)."""
+    li = read_table(spark, sf_dir, "lineitem")
+    k = F.col("l_orderkey")
+    return li.select(
+        F.concat(F.lit(SERIES_ROOT), F.lpad(k.cast("string"), 40, "7")).alias("series_key"),
+        F.concat(F.lit("IM-"), F.lpad(F.col("l_linenumber").cast("string"), 4, "0"), F.lit("-"),
+                 F.col("l_partkey").cast("string"), F.lit(".dcm")).alias("file_name"),
+        F.concat(F.lit(SERIES_ROOT), F.lpad(k.cast("string"), 40, "7")).alias("SeriesInstanceUID"),
+        F.substring(F.col("l_shipdate").cast("string"), 1, 10).alias("SeriesDate"),
+        F.when(F.col("l_returnflag") == "A", F.lit("SIEMENS"))
+         .when(F.col("l_returnflag") == "N", F.lit("GE MEDICAL SYSTEMS"))
+         .otherwise(F.lit("Philips")).alias("Manufacturer"),
+        F.concat(F.lit("MODEL-"), F.col("l_linestatus"), (F.col("l_suppkey") % 10).cast("string"))
+         .alias("ManufacturerModelName"),
+        (F.col("l_discount") * 10 + 0.5).cast("float").alias("spacing_x"),
+        (F.col("l_tax") * 10 + 0.5).cast("float").alias("spacing_y"),
+    )
+
+
+DICOM_FILES_SQL = """dicom_files as (
+  select concat('1.3.6.1.4.1.14519.5.2.1.', lpad(cast(l_orderkey as varchar), 40, '7')) as series_key,
+         concat('IM-', lpad(cast(l_linenumber as varchar), 4, '0'), '-', cast(l_partkey as varchar), '.dcm') as file_name,
+         concat('1.3.6.1.4.1.14519.5.2.1.', lpad(cast(l_orderkey as varchar), 40, '7')) as SeriesInstanceUID,
+         substr(cast(l_shipdate as varchar), 1, 10) as SeriesDate,
+         case when l_returnflag = 'A' then 'SIEMENS' when l_returnflag = 'N' then 'GE MEDICAL SYSTEMS'
+              else 'Philips' end as Manufacturer,
+         concat('MODEL-', l_linestatus, cast(l_suppkey % 10 as varchar)) as ManufacturerModelName,
+         cast(l_discount * 10 + 0.5 as float) as spacing_x,
+         cast(l_tax * 10 + 0.5 as float) as spacing_y
+  from lineitem)"""

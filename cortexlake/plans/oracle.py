@@ -147,8 +147,9 @@ oracle("enumerate_links", with_catalog(
     f"from manifest)", True))
 
 # ------------------------------------------------------------------ slices
-SLICE_BOUNDS = ("cast(case when b < 0 then 0 else b end as int) as b0, "
-                "cast(case when e >= dim then dim - 1 else e end as int) as e0")
+# DuckDB's double -> int cast rounds half to even; the bounds rule truncates
+SLICE_BOUNDS = ("cast(trunc(case when b < 0 then 0 else b end) as int) as b0, "
+                "cast(trunc(case when e >= dim then dim - 1 else e end) as int) as e0")
 
 
 def with_ctes(*ctes: str) -> str:
@@ -251,3 +252,51 @@ oracle("decode_normalised", with_ctes(fx.VOLUMES3D_SQL) +
 oracle("decode_headers",
        "select cast(vec_id as varchar) as volume_id, 'ok' as status, '4x4x4' as shape, "
        "cast(cast(0.5 as float) as double) as spacing_x from embeddings")
+
+# ---------------------------------------------------------------- metadata
+_FIRST = ("first_meta as (select series_key, m.SeriesInstanceUID, m.SeriesDate, m.Manufacturer, "
+          "m.ManufacturerModelName, m.spacing_x, m.spacing_y from (select series_key, "
+          "min(struct_pack(_f := file_name, SeriesInstanceUID := SeriesInstanceUID, "
+          "SeriesDate := SeriesDate, Manufacturer := Manufacturer, "
+          "ManufacturerModelName := ManufacturerModelName, spacing_x := spacing_x, "
+          "spacing_y := spacing_y)) as m from dicom_files group by series_key) t)")
+oracle("first_file_metadata", with_ctes(fx.DICOM_FILES_SQL, _FIRST) +
+       "select series_key, SeriesDate, Manufacturer, ManufacturerModelName, "
+       "cast(spacing_x as double) as spacing_x, cast(spacing_y as double) as spacing_y from first_meta")
+
+_TAG_FILE = (f"replace(replace(replace(string_split(concat('/work/', {sql_tag('object_key')}, '/', "
+             f"PatientID, '_3T_', coalesce(SeriesDescription, ''), '.nii.gz'), '/')[-1], "
+             f"'.nii.gz', ''), '(', ''), ')', '')")
+
+
+def _links_sql(prefix: str, tag: str, n: str) -> str:
+    key = f"concat({prefix}, '/', {tag}, '_', i, '.jpg')"
+    return (f"array_to_string(list_transform(range(0, {n}), lambda i: concat('{HOST}/', "
+            f"{sql_quote(key)})), '|')")
+
+
+oracle("series_metadata", with_ctes(fx.SERIES_CATALOG_SQL, MANIFEST_CTE, fx.DICOM_FILES_SQL, _FIRST) +
+       "select coalesce(f.SeriesInstanceUID, 'NULL') as series_uid, coalesce(f.SeriesDate, 'NULL') as series_date, "
+       f"{sql_axis('m.object_key')} as scan_axis, coalesce(f.Manufacturer, 'NULL') as manufacturer, "
+       "coalesce(f.ManufacturerModelName, 'NULL') as model_name, "
+       "cast(cast(f.spacing_x as double) as varchar) as pixel_spacing_x, "
+       "cast(cast(f.spacing_y as double) as varchar) as pixel_spacing_y, "
+       "cast(m.n_slices as int) as n_links, "
+       + _links_sql(f"concat('{OUT_DIR}/', {sql_tag('m.object_key')})", "m.tag", "m.n_slices") +
+       f" as jpgfiles from (select *, {_TAG_FILE} as tag from manifest) m "
+       "join first_meta f on m.series_uid = f.series_key")
+
+_SUBJ_AX = ("subj as (select volume_id as subject, shape, pixdim, axis, axis_name, "
+            "shape[axis + 1] as dim from (select *, unnest([{'axis': 0, 'axis_name': 'sag'}, "
+            "{'axis': 1, 'axis_name': 'cor'}, {'axis': 2, 'axis_name': 'ax'}], recursive := true) "
+            "from volume_shapes where len(shape) = 3) v)")
+oracle("subject_metadata", with_ctes(fx.VOLUME_SHAPES_SQL, _SUBJ_AX) +
+       "select cast(subject as varchar) as series_uid, 'NORECORD' as series_date, axis_name as scan_axis, "
+       "'SIEMENS' as manufacturer, 'SKYRA' as model_name, "
+       "cast(cast(case when axis = 0 then pixdim[3] else pixdim[2] end as double) as varchar) as pixel_spacing_x, "
+       "cast(cast(case when axis = 2 then pixdim[3] else pixdim[4] end as double) as varchar) as pixel_spacing_y, "
+       "cast(greatest(e0 - b0, 0) as int) as n_links, "
+       + _links_sql("concat('data/HCP_output_v1/hcp_subject_', subject)",
+                    "concat('subject', subject, '_3T_T1w_MPR1_', axis_name)", "greatest(e0 - b0, 0)") +
+       " as jpgfiles from (select *, " + SLICE_BOUNDS + " from (select *, dim / 2 - 25.0 as b, "
+       "dim / 2 + 25.0 as e from subj) s) t")

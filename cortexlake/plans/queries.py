@@ -16,6 +16,7 @@ from .. import fixtures as fx
 from ..functions import links as L
 from ..functions import text as T
 from ..operators import catalog as C
+from ..operators import metadata as M
 from ..operators import slices as S
 from ..plans import jobs as J
 from ..sources import volumes as V
@@ -298,3 +299,48 @@ def q_decode_headers(spark, sf_dir):
     h = V.headers_of(V.decode_volumes(fx.volume_files(spark, sf_dir)))
     return h.select("volume_id", "status", F.array_join(F.col("shape").cast("array<string>"), "x")
                     .alias("shape"), F.element_at("pixdim", 2).cast("double").alias("spacing_x"))
+
+
+# ---------------------------------------------------------------- metadata
+BUCKET = L.DEFAULT_BUCKET
+
+
+@query("first_file_metadata")
+def q_first_file_metadata(spark, sf_dir):
+    m = M.first_file_metadata(fx.dicom_files(spark, sf_dir))
+    return m.select("series_key", "SeriesDate", "Manufacturer", "ManufacturerModelName",
+                    F.col("spacing_x").cast("double").alias("spacing_x"),
+                    F.col("spacing_y").cast("double").alias("spacing_y"))
+
+
+def _series_volumes(spark, sf_dir):
+    """One volume file per catalog series, named as the converter names it."""
+    cat = _catalog(spark, sf_dir)
+    path = F.concat(F.lit("/work/"), T.object_tag("object_key"), F.lit("/"),
+                    F.col("PatientID"), F.lit("_3T_"),
+                    F.coalesce(F.col("SeriesDescription"), F.lit("")), F.lit(".nii.gz"))
+    return cat.select(F.col("series_uid").alias("series_key"), "object_key",
+                      path.alias("volume_file"), "n_slices")
+
+
+@query("series_metadata")
+def q_series_metadata(spark, sf_dir):
+    meta = M.first_file_metadata(fx.dicom_files(spark, sf_dir))
+    rows = M.series_metadata_rows(_series_volumes(spark, sf_dir), meta, BUCKET, TCIA_OUT_DIR)
+    return rows.select("series_uid", "series_date", "scan_axis", "manufacturer", "model_name",
+                       "pixel_spacing_x", "pixel_spacing_y",
+                       F.size("jpgfiles").cast("int").alias("n_links"),
+                       F.array_join("jpgfiles", "|").alias("jpgfiles"))
+
+
+@query("subject_metadata")
+def q_subject_metadata(spark, sf_dir):
+    # subject volumes: a part row is a subject whose volume shape/spacing
+    # come from the volume_shapes view (3-D ones only)
+    v = S.skip_non_3d(fx.volume_shapes(spark, sf_dir)).withColumnRenamed("volume_id", "subject")
+    fan = J.axis_fanout(v, HCP_OUT_DIR)
+    rows = M.subject_metadata_rows(fan, BUCKET, HCP_OUT_DIR, n=50)
+    return rows.select("series_uid", "series_date", "scan_axis", "manufacturer", "model_name",
+                       "pixel_spacing_x", "pixel_spacing_y",
+                       F.size("jpgfiles").cast("int").alias("n_links"),
+                       F.array_join("jpgfiles", "|").alias("jpgfiles"))
