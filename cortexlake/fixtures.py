@@ -28,7 +28,7 @@ DESCRIPTIONS = {
 def series_catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One catalog row per order (D1 column names) plus ``n_slices`` 0..4."""
     o = read_table(spark, sf_dir, "orders").select(
-        "o_orderkey", "o_custkey", "o_orderdate", "o_orderpriority")
+        "o_orderkey", "o_custkey", "o_orderdate", "o_orderpriority", "o_orderstatus")
     c = read_table(spark, sf_dir, "customer").select("c_custkey", "c_mktsegment")
     k = F.col("o_orderkey")
     descr = F.when(k % 12 == 0, F.lit(None).cast("string"))
@@ -47,6 +47,8 @@ def series_catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
          .alias("SeriesNumber"),
         descr.alias("SeriesDescription"),
         (k % 5).cast("int").alias("n_slices"),
+        # finished orders play the healthy (subject) archive, others the tumour one
+        F.when(F.col("o_orderstatus") == "F", F.lit("hcp")).otherwise(F.lit("tcia")).alias("source"),
     )
 
 
@@ -61,7 +63,8 @@ SERIES_CATALOG_SQL = """series_catalog as (
               when 0 then null when 1 then 'Ax T1 (post) +C' when 2 then 'SAG FSPGR 3D*'
               when 3 then 'Cor T2?/FLAIR ?' when 4 then ' AXIAL  DWI ' when 5 then 'a ( b'
               when 6 then 'x?(/y sag' else o_orderpriority end as SeriesDescription,
-         cast(o_orderkey % 5 as int) as n_slices
+         cast(o_orderkey % 5 as int) as n_slices,
+         case when o_orderstatus = 'F' then 'hcp' else 'tcia' end as source
   from orders join customer on o_custkey = c_custkey)"""
 
 

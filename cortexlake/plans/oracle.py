@@ -300,3 +300,66 @@ oracle("subject_metadata", with_ctes(fx.VOLUME_SHAPES_SQL, _SUBJ_AX) +
                     "concat('subject', subject, '_3T_T1w_MPR1_', axis_name)", "greatest(e0 - b0, 0)") +
        " as jpgfiles from (select *, " + SLICE_BOUNDS + " from (select *, dim / 2 - 25.0 as b, "
        "dim / 2 + 25.0 as e from subj) s) t")
+
+# ----------------------------------------------------------------- cohorts
+_CLEAN2 = sql_clean("SeriesDescription", "twopass")
+_PROD = ("products as (select series_uid, " + sql_axis("object_key") + " as scan_axis, "
+         f"list_transform(range(0, n_slices), lambda i: concat('/', "
+         f"{sql_quote(chr(39) + OUT_DIR + chr(39) + ' || ' + chr(39) + '/' + chr(39) + ' || ' + sql_tag('object_key') + ' || ' + chr(39) + '/' + chr(39) + ' || ' + _CLEAN2 + ' || ' + chr(39) + '_' + chr(39) + ' || i || ' + chr(39) + '.jpg' + chr(39))})) as paths, "
+         f"cast(n_slices as int) as n_links, {_CLEAN2} as output_tag, source from manifest)")
+_COH = ("cohorts as (select case when source = 'hcp' then 'notumor' else 'withtumor' end || '_' || scan_axis "
+        "as name, series_uid, scan_axis, paths as images from products where scan_axis in ('sag', 'cor', 'ax'))")
+_CP = with_ctes(fx.SERIES_CATALOG_SQL, MANIFEST_CTE, _PROD, _COH)
+
+oracle("cohort_union", _CP + "select series_uid, source, scan_axis, n_links from products")
+oracle("build_cohorts", _CP +
+       "select name, series_uid, cast(len(images) as int) as n_images, array_to_string(images, '|') as images "
+       "from cohorts")
+oracle("count_cases", _CP +
+       "select name, count(*) as n_sets, count(distinct series_uid) as n_cases, "
+       "cast(sum(len(images)) as bigint) as n_images from cohorts group by name")
+oracle("images_by_name", _CP +
+       "select name, series_uid, cast(len(images) as int) as n_images from cohorts where name = 'notumor_sag'")
+oracle("first_store_by_name", _CP +
+       "select name, m.series_uid, m.scan_axis from (select name, "
+       "min(struct_pack(series_uid := series_uid, scan_axis := scan_axis)) as m from cohorts group by name) t")
+oracle("export_cohort", _CP +
+       "select name, name || '.zip' as bundle, cast(image_no as int) as image_no, url_decode(image) as entry, "
+       f"'{HOST}' || image as url from (select name, unnest(images) as image, "
+       "unnest(range(0, len(images))) as image_no from cohorts) t")
+_SI = with_ctes(fx.STORE_SQL, fx.IMAGE_SET_SQL)
+oracle("store_images", _SI +
+       "select s.uid as store_uid, s.name as store_name, i.uid as image_uid, i.name as image_name, "
+       "cast(len(i.images) as int) as n_images from store s left join image_set i on s.uid = i.store_id")
+oracle("image_json", _SI +
+       f"select uid, cast(to_json(struct_pack(name := name, images := list_transform(images, "
+       f"lambda p: '{HOST}' || p))) as varchar) as json from image_set")
+oracle("image_list_json", _CP +
+       f"select name, cast(to_json(struct_pack(name := name, images := list_transform(images, "
+       f"lambda p: '{HOST}' || p))) as varchar) as json from cohorts")
+oracle("stores_json", _SI +
+       "select store_uid, page, cast(count(image_uid) as int) as n_images, "
+       "cast(to_json(struct_pack(name := store_name, images := coalesce(list(struct_pack(name := image_name, "
+       f"images := list_transform(images, lambda p: '{HOST}' || p)) order by image_uid) "
+       "filter (where image_uid is not null), []))) as varchar) as json "
+       "from (select s.uid as store_uid, s.name as store_name, i.uid as image_uid, i.name as image_name, "
+       "i.images, cast(coalesce(floor(i.uid / 256), 0) as bigint) as page "
+       "from store s left join image_set i on s.uid = i.store_id) t group by store_uid, store_name, page")
+oracle("insert_if_absent", with_ctes(fx.STORE_SQL) +
+       "select n.name, case when s.uid is null then 'inserted' else 'exists' end as status, "
+       "cast(s.uid as bigint) as existing_uid from (select distinct name from (select r_name as name from region "
+       "union all select n_name from nation union all select c_mktsegment from customer) u "
+       "where name is not null) n left join (select name, min(uid) as uid from store group by name) s "
+       "on n.name = s.name")
+_DEL = ("gone as (select min(uid) as uid from store where name in (select n_name from nation "
+        "where n_regionkey in (select r_regionkey from region where r_name = 'EUROPE')) group by name)")
+oracle("delete_by_name", with_ctes(fx.STORE_SQL, _DEL) +
+       "select uid, name from store where uid not in (select uid from gone)")
+oracle("delete_by_name_images", with_ctes(fx.STORE_SQL, fx.IMAGE_SET_SQL, _DEL) +
+       "select uid, name, case when store_id in (select uid from gone) then null else store_id end "
+       "as store_id from image_set")
+oracle("pending_manifest", with_ctes(fx.SERIES_CATALOG_SQL, MANIFEST_CTE, fx.DICOM_FILES_SQL) +
+       "select series_uid, object_key from manifest where series_uid not in "
+       "(select series_key from dicom_files)")
+oracle("count_completed",
+       "select count(*) filter (where event_type <> 'error') as n_ok, count(*) as n_total from events")

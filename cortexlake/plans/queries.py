@@ -16,6 +16,7 @@ from .. import fixtures as fx
 from ..functions import links as L
 from ..functions import text as T
 from ..operators import catalog as C
+from ..operators import cohorts as K
 from ..operators import metadata as M
 from ..operators import slices as S
 from ..plans import jobs as J
@@ -344,3 +345,132 @@ def q_subject_metadata(spark, sf_dir):
                        "pixel_spacing_x", "pixel_spacing_y",
                        F.size("jpgfiles").cast("int").alias("n_links"),
                        F.array_join("jpgfiles", "|").alias("jpgfiles"))
+
+
+# ----------------------------------------------------------------- cohorts
+def _products(spark, sf_dir):
+    """Product rows of the catalog: axis, links, tag and source."""
+    cat = _catalog(spark, sf_dir)
+    prefix = T.output_prefix(TCIA_OUT_DIR, T.object_tag("object_key"))
+    return cat.select("series_uid", C.axis_of_key("object_key").alias("scan_axis"),
+                      L.enumerate_links(prefix, F.col("clean_description"), F.col("n_slices"), BUCKET)
+                      .alias("jpgfiles"),
+                      F.col("clean_description").alias("output_tag"), "source")
+
+
+def _cohorts(spark, sf_dir):
+    return K.build_cohorts(_products(spark, sf_dir), bucket=BUCKET)
+
+
+@query("cohort_union")
+def q_cohort_union(spark, sf_dir):
+    p = _products(spark, sf_dir)
+    u = K.union_sources(hcp=p.filter(F.col("source") == "hcp").drop("source"),
+                        tcia=p.filter(F.col("source") == "tcia").drop("source"))
+    return u.select("series_uid", "source", "scan_axis", F.size("jpgfiles").cast("int").alias("n_links"))
+
+
+@query("build_cohorts")
+def q_build_cohorts(spark, sf_dir):
+    c = _cohorts(spark, sf_dir)
+    return c.select("name", "series_uid", F.size("images").cast("int").alias("n_images"),
+                    F.array_join("images", "|").alias("images"))
+
+
+@query("count_cases")
+def q_count_cases(spark, sf_dir):
+    return K.count_cases(_cohorts(spark, sf_dir)).select(
+        "name", "n_sets", "n_cases", F.col("n_images").cast("long").alias("n_images"))
+
+
+@query("images_by_name")
+def q_images_by_name(spark, sf_dir):
+    c = K.images_by_name(_cohorts(spark, sf_dir), "notumor_sag")
+    return c.select("name", "series_uid", F.size("images").cast("int").alias("n_images"))
+
+
+@query("first_store_by_name")
+def q_first_store_by_name(spark, sf_dir):
+    c = _cohorts(spark, sf_dir).select("series_uid", "name", "scan_axis")
+    return K.first_per_name(c, order="series_uid").select("name", "series_uid", "scan_axis")
+
+
+@query("export_cohort")
+def q_export_cohort(spark, sf_dir):
+    c = _cohorts(spark, sf_dir)
+    e = K.export_manifest(c, bucket=BUCKET)
+    return e.select("name", "bundle", F.col("image_no").cast("int").alias("image_no"),
+                    "entry", "url")
+
+
+@query("store_images")
+def q_store_images(spark, sf_dir):
+    si = K.store_images(fx.store(spark, sf_dir), fx.image_set(spark, sf_dir))
+    return si.select(F.col("store_uid").cast("int").alias("store_uid"), "store_name",
+                     F.col("image_uid").cast("long").alias("image_uid"), "image_name",
+                     F.when(F.col("images").isNotNull(), F.size("images")).cast("int")
+                     .alias("n_images"))
+
+
+@query("image_json")
+def q_image_json(spark, sf_dir):
+    j = K.image_json(fx.image_set(spark, sf_dir), BUCKET)
+    return j.select(F.col("uid").cast("long").alias("uid"), "json")
+
+
+@query("image_list_json")
+def q_image_list_json(spark, sf_dir):
+    j = K.image_list_json(_cohorts(spark, sf_dir), BUCKET)
+    return j.select("name", "json")
+
+
+@query("stores_json")
+def q_stores_json(spark, sf_dir):
+    j = K.stores_json(fx.store(spark, sf_dir), fx.image_set(spark, sf_dir), BUCKET)
+    return j.select(F.col("store_uid").cast("int").alias("store_uid"), "page",
+                    F.col("n_images").cast("int").alias("n_images"), "json")
+
+
+@query("insert_if_absent")
+def q_insert_if_absent(spark, sf_dir):
+    incoming = (read_table(spark, sf_dir, "region").select(F.col("r_name").alias("name"))
+                .unionByName(read_table(spark, sf_dir, "nation").select(F.col("n_name").alias("name")))
+                .unionByName(read_table(spark, sf_dir, "customer").select(F.col("c_mktsegment").alias("name"))))
+    r = K.insert_if_absent(fx.store(spark, sf_dir), incoming)
+    return r.select("name", "status", F.when(F.col("status") == "exists", F.col("uid"))
+                    .cast("long").alias("existing_uid"))
+
+
+def _deleted_names(spark, sf_dir):
+    """Names to delete: the stores named after European nations."""
+    n = read_table(spark, sf_dir, "nation")
+    r = read_table(spark, sf_dir, "region").filter(F.col("r_name") == "EUROPE")
+    return n.join(r, n.n_regionkey == r.r_regionkey, "left_semi").select(F.col("n_name").alias("name"))
+
+
+@query("delete_by_name")
+def q_delete_by_name(spark, sf_dir):
+    kept, _ = K.delete_by_name(fx.store(spark, sf_dir), fx.image_set(spark, sf_dir),
+                               _deleted_names(spark, sf_dir))
+    return kept.select(F.col("uid").cast("int").alias("uid"), "name")
+
+
+@query("delete_by_name_images")
+def q_delete_by_name_images(spark, sf_dir):
+    _, imgs = K.delete_by_name(fx.store(spark, sf_dir), fx.image_set(spark, sf_dir),
+                               _deleted_names(spark, sf_dir))
+    return imgs.select(F.col("uid").cast("long").alias("uid"), "name",
+                       F.col("store_id").cast("int").alias("store_id"))
+
+
+@query("pending_manifest")
+def q_pending_manifest(spark, sf_dir):
+    m = C.build_manifest(fx.series_catalog(spark, sf_dir))
+    landed = fx.dicom_files(spark, sf_dir).select(F.col("series_key").alias("series_uid"))
+    return K.pending(m, landed, key="series_uid")
+
+
+@query("count_completed")
+def q_count_completed(spark, sf_dir):
+    ev = read_table(spark, sf_dir, "events")
+    return K.count_completed(ev, F.col("event_type") != "error")
