@@ -23,3 +23,132 @@ def axis_fanout(subjects: DataFrame, out_dir: str, subject: str = "subject") ->
         "output_prefix": T.output_prefix(out_dir, T.subject_tag(s)),
         "output_tag": T.output_tag_for_subject(s, F.col("axis_name")),
     })
+
+
+# ------------------------------------------------------------ E1 / E2
+def manifest_job(spark, catalog_path: str, out_path: str, mode: str = "twopass") -> DataFrame:
+    """E1 (two-pass) / E2 (one-pass keys): catalog JSON -> manifest JSON."""
+    from ..sinks.writers import write_manifest
+    from ..sources.catalog import read_series_catalog
+    m = C.build_manifest(read_series_catalog(spark, catalog_path), mode)
+    write_manifest(m, out_path)
+    return m
+
+
+# ------------------------------------------------------------------ E3
+def process_series(manifest: DataFrame, volume_files: DataFrame, file_meta: DataFrame,
+                   slices_path: str, products_path: str, out_dir: str,
+                   bucket: str, source: str = "tcia") -> DataFrame:
+    """E3 for all series at once: ROI filter (P4) -> join volume files to
+    their series by object key (J3) -> decode, thinnest-axis slices,
+    per-stack normalisation (S4/A5/A6/A7) -> slice table (K5) -> product
+    rows with first-file metadata (S7/J2/D7) -> idempotent append (K3).
+
+    ``volume_files``: ``object_key, volume_file, content``;
+    ``file_meta``: per-file scanner fields keyed by ``series_key``.
+    Slices are written before metadata rows, so no row links to slices that
+    were never written. The decode runs once; its header rows are read back
+    from the written table."""
+    from ..operators.metadata import first_file_metadata, series_metadata_rows
+    from ..sinks.writers import append_products
+    from ..sources.volumes import decode_volumes
+    spark = manifest.sparkSession
+    roi = C.select_roi(manifest)
+    vols = volume_files.join(roi, "object_key", "inner")
+    dec = decode_volumes(vols.select(F.col("volume_file").alias("volume_id"), "content"),
+                         mode="thinnest", normalise=True)
+    tags = vols.select(F.col("volume_file").alias("volume_id"), "object_key",
+                       T.output_prefix(out_dir, T.object_tag("object_key")).alias("output_prefix"),
+                       T.output_tag_from_file("volume_file").alias("output_tag"))
+    # the tag table has one row per volume file; AQE broadcasts it when small
+    out = dec.join(tags, "volume_id", "inner").withColumn("source", F.lit(source))
+    _write_decoded(out, slices_path)
+    headers = spark.read.parquet(slices_path).filter(
+        (F.col("source") == source) & F.col("slice_no").isNull() & (F.col("status") == "ok"))
+    vol_rows = headers.join(tags, ["volume_id", "object_key"], "inner").select(
+        F.col("object_key"), F.col("volume_id").alias("volume_file"),
+        F.element_at("shape", (F.array_position("shape", F.array_min("shape"))).cast("int"))
+        .alias("n_slices"))
+    series = roi.select(F.col("series_uid").alias("series_key"), "object_key")
+    vol_rows = vol_rows.join(series, "object_key", "inner")
+    rows = series_metadata_rows(vol_rows, first_file_metadata(file_meta), bucket, out_dir)
+    return append_products(rows.withColumn("source", F.lit(source)), products_path)
+
+
+def _write_decoded(decoded: DataFrame, path: str) -> None:
+    """Slice rows and header rows of one decode run, partitioned by source
+    and axis (header rows sit in the null-axis partition). Re-running a
+    source replaces only that source's partitions."""
+    (decoded.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy("source", "axis").parquet(path))
+
+
+# ------------------------------------------------------------------ E4
+def process_subjects(subjects: DataFrame, volume_files: DataFrame, slices_path: str,
+                     products_path: str, out_dir: str, bucket: str, n: int = 50,
+                     source: str = "hcp") -> DataFrame:
+    """E4 for all subjects at once: subject -> volume key (F7) -> equi-join
+    with the volume files (key taken from the file path) -> one decode per
+    volume giving the ``n`` central slices of all three axes (A2/A11/A7)
+    -> slice table -> per-axis product rows from the header rows (P10/A3)
+    -> idempotent append."""
+    from ..operators.metadata import subject_metadata_rows
+    from ..sinks.writers import append_products
+    from ..sources.volumes import decode_volumes
+    spark = subjects.sparkSession
+    s = subjects.select("subject", T.volume_key_from_subject("subject").alias("volume_key"))
+    files = volume_files.withColumn(
+        "volume_key", F.regexp_extract("volume_file", r"(HCP_1200/.*)$", 1))
+    vols = files.join(s, "volume_key", "inner")
+    dec = decode_volumes(vols.select(F.col("subject").cast("string").alias("volume_id"), "content"),
+                         mode="central", n=n, axes=(0, 1, 2), rot=0, normalise=True)
+    names = F.element_at(F.array(*[F.lit(a) for a in C.AXIS_NAMES]), F.col("axis") + 1)
+    out = dec.withColumns({
+        "source": F.lit(source),
+        "output_prefix": T.output_prefix(out_dir, T.subject_tag("volume_id")),
+        "output_tag": F.when(F.col("axis").isNotNull(),
+                             T.output_tag_for_subject("volume_id", names)),
+    })
+    _write_decoded(out, slices_path)
+    headers = spark.read.parquet(slices_path).filter(
+        (F.col("source") == source) & F.col("slice_no").isNull() & (F.col("status") == "ok"))
+    fan = axis_fanout(headers.select(F.col("volume_id").alias("subject"), "shape", "pixdim"),
+                      out_dir)
+    rows = subject_metadata_rows(fan, bucket, out_dir, n)
+    return append_products(rows.withColumn("source", F.lit(source)), products_path)
+
+
+# ------------------------------------------------------------ E5 - E8
+def export_cohort_job(images: DataFrame, name: str, out_path: str, bucket: str) -> DataFrame:
+    """E5: ``GET /Images/<name>`` as a job: the export manifest of that
+    cohort's bundle (P8 -> A12 -> F12 -> K7)."""
+    from ..operators.cohorts import export_manifest
+    from ..sinks.writers import write_export
+    rows = export_manifest(images, name, bucket)
+    write_export(rows, out_path)
+    return rows
+
+
+def image_list_job(images: DataFrame, bucket: str) -> DataFrame:
+    """``GET /ImageList`` records."""
+    from ..operators.cohorts import image_list_json
+    return image_list_json(images, bucket)
+
+
+def store_job(stores: DataFrame, images: DataFrame, bucket: str,
+              name: str | None = None) -> DataFrame:
+    """``GET /Store/<name>`` (first store of that name) or ``GET /Stores``."""
+    from ..operators.cohorts import first_by_name, stores_json
+    s = stores if name is None else first_by_name(stores, name)
+    return stores_json(s, images, bucket)
+
+
+def store_changes_job(stores: DataFrame, images: DataFrame, inserts: DataFrame | None = None,
+                      deletes: DataFrame | None = None):
+    """``POST``/``DELETE /Store/<name>`` for batches of names. Returns
+    (insert outcome, stores after deletes, images after deletes)."""
+    from ..operators.cohorts import delete_by_name, insert_if_absent
+    ins = insert_if_absent(stores, inserts) if inserts is not None else None
+    kept, imgs = (delete_by_name(stores, images, deletes) if deletes is not None
+                  else (stores, images))
+    return ins, kept, imgs
