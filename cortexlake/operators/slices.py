@@ -42,8 +42,14 @@ def renumber(slices: DataFrame, begin: Column) -> DataFrame:
 
 def rotate(slices: DataFrame, k: int) -> DataFrame:
     """A4: rotate every slice by ``k`` quarter turns (height/width swap)."""
-    px, h, w = G.rot90("pixels", "height", "width", k)
-    return slices.withColumns({"pixels": px, "height": h.cast("int"), "width": w.cast("int")})
+    px, _, _ = G.rot90("pixels", "height", "width", k)
+    out = slices.withColumn("pixels", px)
+    if k % 2:
+        # swap the extents in a later projection: inside the lambda above,
+        # "height"/"width" must name the input extents, and an alias of the
+        # same name in the same projection would be picked up instead
+        out = out.withColumns({"height": F.col("width"), "width": F.col("height")})
+    return out
 
 
 def skip_non_3d(volumes: DataFrame, shape: str = "shape") -> DataFrame:

@@ -227,7 +227,11 @@ def decode_volumes(files: DataFrame, mode: str = "thinnest", n: int = 50, axes=(
     src = files.select(F.col(id_col).cast("string").alias("volume_id"),
                        F.col(content_col).alias("content"))
     fn = make_decoder(mode, n, axes, rot, normalise, rows_per_batch)
-    return src.mapInPandas(fn, DECODED)
+    # Arrow's pandas conversion turns NaN inside arrays into null; decoded
+    # pixels are never null, so a null element is a NaN put back here.
+    nan = F.lit(float("nan"))
+    return src.mapInPandas(fn, DECODED).withColumn(
+        "pixels", F.transform("pixels", lambda x: F.coalesce(x, nan)))
 
 
 def slices_of(decoded: DataFrame) -> DataFrame:
