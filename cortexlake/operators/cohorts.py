@@ -54,16 +54,22 @@ def build_cohorts(products: DataFrame, store_id: T.ColumnOrName | None = None,
     """One image-set row per (source, series, axis) volume, named
     ``{notumor|withtumor}_{sag|cor|ax}``, images = stored slice paths, uid =
     64-bit hash of the natural key (stable across re-runs, no global
-    numbering pass). ``other_*`` axes belong to no cohort."""
-    p = products.filter(F.col("scan_axis").isin(*COHORT_AXES))
+    numbering pass). ``other_*`` axes belong to no cohort.
+
+    Rows are emitted through ``inline`` of a 0-or-1 element array rather
+    than a ``filter``: when ``products`` is computed on the fly (not read
+    from the product table), a filter on ``scan_axis`` would be pushed below
+    the projection and the whole key/axis derivation evaluated twice."""
     sid = F.lit(None).cast("int") if store_id is None else T._c(store_id).cast("int")
-    return p.select(
+    row = F.struct(
         F.xxhash64("source", "series_uid", "scan_axis", "output_tag").alias("uid"),
         cohort_name("source", "scan_axis").alias("name"),
         F.transform("jpgfiles", lambda u: stored_path(u, bucket)).alias("images"),
         sid.alias("store_id"),
-        "source", "series_uid", "scan_axis",
-    )
+        F.col("source").alias("source"), F.col("series_uid").alias("series_uid"),
+        F.col("scan_axis").alias("scan_axis"))
+    keep = F.col("scan_axis").isin(*COHORT_AXES)
+    return products.select(F.inline(F.filter(F.array(row), lambda _r: keep)))
 
 
 def count_cases(cohorts: DataFrame) -> DataFrame:
