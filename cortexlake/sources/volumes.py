@@ -36,6 +36,8 @@ DTYPES = {
     256: "i1", 512: "u2", 768: "u4", 1024: "i8", 1280: "u8",
 }
 
+MAX_BATCH_BYTES = 128 * 1024 * 1024
+
 DECODED = T.StructType([
     T.StructField("volume_id", T.StringType(), False),
     T.StructField("axis", T.IntegerType(), True),
@@ -149,81 +151,113 @@ def normalise_stack(stack: np.ndarray) -> np.ndarray:
         return (stack - lo) / (hi - lo)
 
 
-def _stack_rows(vid, axis, stack, dim, rows_per_batch):
-    nsl = stack.shape[0]
-    h, w = (stack.shape[1], stack.shape[2]) if stack.ndim == 3 else (0, 0)
-    for s in range(0, nsl, rows_per_batch):
-        part = stack[s:s + rows_per_batch]
-        k = len(part)
-        none = pd.Series([None] * k, dtype=object)
-        yield pd.DataFrame({
-            "volume_id": [vid] * k, "axis": np.full(k, axis, np.int32),
-            "slice_no": np.arange(s, s + k, dtype=np.int32),
-            "height": np.full(k, h, np.int32), "width": np.full(k, w, np.int32),
-            "dim": np.full(k, dim, np.int32),
-            "pixels": [p.ravel(order="C") for p in part],
-            "shape": none, "pixdim": none, "status": none, "message": none,
+class _Rows:
+    """Buffers output rows across volumes and hands them out as one pandas
+    frame per ``max_rows`` rows or ``max_bytes`` of pixels, so small volumes
+    share Arrow batches and large ones never build a huge batch."""
+
+    def __init__(self, max_rows: int, max_bytes: int = 32 * 1024 * 1024):
+        self.max_rows, self.max_bytes = max_rows, max_bytes
+        self._reset()
+
+    def _reset(self):
+        self.cols = {c: [] for c in DECODED_COLUMNS}
+        self.n = self.nbytes = 0
+
+    def add(self, **row):
+        for c in DECODED_COLUMNS:
+            self.cols[c].append(row.get(c))
+        self.n += 1
+        px = row.get("pixels")
+        self.nbytes += 0 if px is None else px.nbytes
+
+    def full(self) -> bool:
+        return self.n >= self.max_rows or self.nbytes >= self.max_bytes
+
+    def flush(self) -> pd.DataFrame:
+        c = self.cols
+        out = pd.DataFrame({
+            "volume_id": c["volume_id"],
+            "axis": pd.array(c["axis"], dtype="Int32"),
+            "slice_no": pd.array(c["slice_no"], dtype="Int32"),
+            "height": pd.array(c["height"], dtype="Int32"),
+            "width": pd.array(c["width"], dtype="Int32"),
+            "dim": pd.array(c["dim"], dtype="Int32"),
+            "pixels": pd.Series(c["pixels"], dtype=object),
+            "shape": pd.Series(c["shape"], dtype=object),
+            "pixdim": pd.Series(c["pixdim"], dtype=object),
+            "status": pd.Series(c["status"], dtype=object),
+            "message": pd.Series(c["message"], dtype=object),
         }, columns=DECODED_COLUMNS)
-
-
-def _header_row(vid, shape, pixdim, status, message):
-    return pd.DataFrame({
-        "volume_id": [vid], "axis": [None], "slice_no": [None], "height": [None],
-        "width": [None], "dim": [None], "pixels": [None],
-        "shape": [shape], "pixdim": [pixdim], "status": [status], "message": [message],
-    }, columns=DECODED_COLUMNS)
+        self._reset()
+        return out
 
 
 def make_decoder(mode: str = "thinnest", n: int = 50, axes=(0, 1, 2), rot: int = 0,
-                 normalise: bool = True, rows_per_batch: int = 16):
+                 normalise: bool = True, rows_per_batch: int = 64):
     """The ``mapInPandas`` function for ``decode_volumes`` (exposed for tests)."""
     if mode not in ("thinnest", "central"):
         raise ValueError(f"unknown slicing mode {mode!r}")
 
     def decode(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        out = _Rows(rows_per_batch)
         for pdf in batches:
             for vid, content in zip(pdf["volume_id"], pdf["content"]):
                 vid = str(vid)
                 try:
                     hdr, data = decode_nifti(content)
                 except (NiftiError, OSError, EOFError, zlib.error, ValueError) as e:
-                    yield _header_row(vid, None, None, "error", str(e)[:500])
+                    out.add(volume_id=vid, status="error", message=str(e)[:500])
                     continue
                 shape, pixdim = hdr["shape"], [float(x) for x in hdr["pixdim"]]
                 if len(shape) != 3:
                     # Only 3-D volumes are sliced; others are reported
-                    yield _header_row(vid, shape, pixdim, "skipped", f"{len(shape)}-D volume")
+                    out.add(volume_id=vid, shape=shape, pixdim=pixdim, status="skipped",
+                            message=f"{len(shape)}-D volume")
                     continue
-                yield _header_row(vid, shape, pixdim, "ok", None)
+                out.add(volume_id=vid, shape=shape, pixdim=pixdim, status="ok")
                 if mode == "thinnest":
                     a = int(np.argmin(shape))
                     picks = [(a, 0, shape[a])]
                 else:
                     picks = [(a, *central_range(shape[a], n)) for a in axes]
                 for a, b, e in picks:
-                    idx = range(b, max(b, e))
-                    planes = [_plane(data, a, j) for j in idx]
-                    if rot % 4:
-                        planes = [np.rot90(p, rot) for p in planes]
+                    planes = [_plane(data, a, j) for j in range(b, max(b, e))]
                     if not planes:
                         continue
+                    if rot % 4:
+                        planes = [np.rot90(p, rot) for p in planes]
                     stack = np.asarray(planes)
                     if normalise:
                         stack = normalise_stack(stack)
-                    yield from _stack_rows(vid, a, stack, shape[a], rows_per_batch)
+                    h, w = stack.shape[1], stack.shape[2]
+                    for j in range(stack.shape[0]):
+                        out.add(volume_id=vid, axis=a, slice_no=j, height=h, width=w,
+                                dim=shape[a], pixels=stack[j].ravel(order="C"))
+                        if out.full():
+                            yield out.flush()
+                if out.full():
+                    yield out.flush()
+        if out.n:
+            yield out.flush()
     return decode
 
 
 def decode_volumes(files: DataFrame, mode: str = "thinnest", n: int = 50, axes=(0, 1, 2),
                    rot: int = 0, normalise: bool = True, id_col: str = "volume_id",
-                   content_col: str = "content", rows_per_batch: int = 16) -> DataFrame:
+                   content_col: str = "content", rows_per_batch: int = 64) -> DataFrame:
     """S4 + A2/A4/A5/A6/A7 + P7: decode every volume file into slice rows and
     one header row each. Only the id and the bytes enter the Python worker.
     Input batches are kept small (each row may be a whole volume)."""
     spark = files.sparkSession
-    cur = int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch", "10000"))
-    if cur > 8:
-        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "8")
+    # each input row may be a whole volume: bound Arrow input batches by
+    # bytes (many small files per batch, one or two large ones) and by rows
+    conf = spark.conf
+    if int(conf.get("spark.sql.execution.arrow.maxRecordsPerBatch", "10000")) > 64:
+        conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "64")
+    cur_bytes = conf.get("spark.sql.execution.arrow.maxBytesPerBatch", None)
+    if cur_bytes is None or int(cur_bytes) > MAX_BATCH_BYTES:
+        conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(MAX_BATCH_BYTES))
     src = files.select(F.col(id_col).cast("string").alias("volume_id"),
                        F.col(content_col).alias("content"))
     fn = make_decoder(mode, n, axes, rot, normalise, rows_per_batch)
