@@ -248,3 +248,27 @@ DICOM_FILES_SQL = """dicom_files as (
          cast(l_discount * 10 + 0.5 as float) as spacing_x,
          cast(l_tax * 10 + 0.5 as float) as spacing_y
   from lineitem)"""
+
+
+# ---------------------------------------------------------- archive files
+def page_archives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each web page packed as a zip archive with two members (the page and,
+    under a nested path, its URL): binary input for the archive explode job
+    that Spark derives from the ``pages`` table."""
+    import io
+    import zipfile
+
+    import pandas as pd
+
+    def enc(batches):
+        for pdf in batches:
+            blobs = []
+            for html, url in zip(pdf["html"], pdf["url"]):
+                buf = io.BytesIO()
+                with zipfile.ZipFile(buf, "w", zipfile.ZIP_DEFLATED) as z:
+                    z.writestr("index.html", (html or "").encode("utf-8"))
+                    z.writestr("meta/url.txt", (url or "").encode("utf-8"))
+                blobs.append(buf.getvalue())
+            yield pd.DataFrame({"object_key": pdf["page_id"].astype(str), "content": blobs})
+    p = read_table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    return p.mapInPandas(enc, "object_key string, content binary")

@@ -363,3 +363,10 @@ oracle("pending_manifest", with_ctes(fx.SERIES_CATALOG_SQL, MANIFEST_CTE, fx.DIC
        "(select series_key from dicom_files)")
 oracle("count_completed",
        "select count(*) filter (where event_type <> 'error') as n_ok, count(*) as n_total from events")
+
+# ----------------------------------------------------------------- archives
+oracle("explode_archives",
+       "select cast(page_id as varchar) as object_key, 'index.html' as member, "
+       "cast(octet_length(encode(coalesce(html, ''))) as bigint) as n_bytes, 'ok' as status from pages "
+       "union all select cast(page_id as varchar), 'meta/url.txt', "
+       "cast(octet_length(encode(coalesce(url, ''))) as bigint), 'ok' from pages")

@@ -20,6 +20,7 @@ from ..operators import cohorts as K
 from ..operators import metadata as M
 from ..operators import slices as S
 from ..plans import jobs as J
+from ..sources import archives as A
 from ..sources import volumes as V
 from ..session import read_table
 
@@ -474,3 +475,9 @@ def q_pending_manifest(spark, sf_dir):
 def q_count_completed(spark, sf_dir):
     ev = read_table(spark, sf_dir, "events")
     return K.count_completed(ev, F.col("event_type") != "error")
+
+
+@query("explode_archives")
+def q_explode_archives(spark, sf_dir):
+    m = A.explode_archives(fx.page_archives(spark, sf_dir))
+    return m.select("object_key", "member", F.length("content").cast("long").alias("n_bytes"), "status")
