@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import sys
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -172,49 +173,27 @@ def job_tag(key: ColumnOrName) -> Column:
 
 
 # -------------------------------------------------------------------- F16
+def _py_float_text(x: pd.Series, is_null: pd.Series) -> pd.Series:
+    return pd.Series([None if n else "{}".format(float(v)) for v, n in zip(x, is_null)],
+                     dtype=object)
+
+
+_py_float_text_udf = None
+
+
 def with_python_str(df: DataFrame, src: str, out: str) -> DataFrame:
-    """F16: add ``out``, the text of ``src`` as Python's ``"{}".format(x)``
-    writes a float (a float32 input is first widened to double, as NumPy does).
-
-    Python writes the shortest digits that read back to the same double, in
-    fixed layout for 1e-4 <= |x| < 1e16 and in exponent layout (``1e-05``)
-    outside. Spark's text uses Java's layout and, on Java 17, not always the
-    shortest digits. So the digits come from the first ``%.{k}e`` form
-    (k = 0..16) that casts back to the same value, and the layout is rebuilt.
-    Done in three projections: each intermediate is referenced several times
-    and is not cheap, so Catalyst keeps the projections apart instead of
-    inlining a huge expression.
-    (Known gap: when Java's rounding of its own 17-digit text lands on the
-    other neighbour of a near-tie, the last digit can differ by one.)
-    """
+    """F16: add ``out``, the text of ``src`` exactly as Python's
+    ``"{}".format(x)`` writes a float (a float32 input is widened to double
+    first, as NumPy scalars are; e.g. ``0.699999988079071``).
+
+    Python's shortest-repr layout (``1e-05``, ``100.0``) differs from Spark's
+    Java text (``1.0E-5``) and Java 17 does not always give the shortest
+    digits, so this one column is produced by a small Arrow-batched pandas
+    UDF: exact by construction, applied to metadata rows only (one per
+    series and axis), never to pixels. Nulls are passed as a flag because
+    Arrow hands a null double to pandas as NaN."""
+    global _py_float_text_udf
+    if _py_float_text_udf is None:
+        _py_float_text_udf = F.pandas_udf(_py_float_text, "string")
     x = F.col(src).cast("double")
-    forms = [F.format_string(f"%.{k}e", x) for k in range(17)]
-    t_sci, t_d, t_e = f"__{out}_sci", f"__{out}_d", f"__{out}_e"
-    df = df.withColumn(t_sci, F.coalesce(*[F.when(f.try_cast("double") == x, f) for f in forms]))
-    pat = r"^-?([0-9])\.?([0-9]*)e([+-][0-9]+)$"
-    digits = F.regexp_replace(F.concat(F.regexp_extract(t_sci, pat, 1),
-                                       F.regexp_extract(t_sci, pat, 2)), "0+$", "")
-    df = df.withColumn(t_d, F.when(digits == "", F.lit("0")).otherwise(digits)) \
-           .withColumn(t_e, F.regexp_extract(t_sci, pat, 3).try_cast("int"))
-    d, e = F.col(t_d), F.col(t_e)
-    nd = F.length(d)
-    neg = F.when(F.col(t_sci).startswith("-"), F.lit("-")).otherwise(F.lit(""))
-    # fixed layout, 0 <= e < 16
-    big = F.when(nd <= e + 1, F.concat(d, F.repeat(F.lit("0"), e + 1 - nd), F.lit(".0"))) \
-           .otherwise(F.concat(F.substring(d, 1, e + 1), F.lit("."), F.substring(d, e + 2, 64)))
-    # fixed layout, -4 <= e < 0
-    small = F.concat(F.lit("0."), F.repeat(F.lit("0"), -e - 1), d)
-    # exponent layout with at least two exponent digits
-    ae = F.abs(e).cast("string")
-    sci = F.concat(F.substring(d, 1, 1),
-                   F.when(nd > 1, F.concat(F.lit("."), F.substring(d, 2, 64))).otherwise(F.lit("")),
-                   F.lit("e"), F.when(e < 0, F.lit("-")).otherwise(F.lit("+")),
-                   F.when(F.abs(e) < 10, F.concat(F.lit("0"), ae)).otherwise(ae))
-    text = F.concat(neg, F.when((e >= 0) & (e < 16), big)
-                    .when((e >= -4) & (e < 0), small).otherwise(sci))
-    res = (F.when(x.isNull(), F.lit(None).cast("string"))
-           .when(F.isnan(x), F.lit("nan"))
-           .when(x == float("inf"), F.lit("inf"))
-           .when(x == float("-inf"), F.lit("-inf"))
-           .otherwise(text))
-    return df.withColumn(out, res).drop(t_sci, t_d, t_e)
+    return df.withColumn(out, _py_float_text_udf(x, x.isNull()))
