@@ -11,7 +11,6 @@ from pyspark.sql import functions as F
 from cortexlake.operators import catalog as C
 from cortexlake.operators import cohorts as K
 from cortexlake.plans import jobs as J
-from cortexlake.sinks import writers as W
 from cortexlake.sources import catalog as SC
 from cortexlake.sources import volumes as V
 
