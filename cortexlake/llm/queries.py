@@ -16,7 +16,8 @@ def op1_html_extract(spark, sf_dir):
 
 
 def op2_substring_dedup(spark, sf_dir):
-    return substring_dedup.substring_dedup(table(spark, sf_dir, "documents")).select(
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return substring_dedup.substring_dedup(docs).select(
         "row.doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
 
 

@@ -1,7 +1,7 @@
 """Substring dedup by super-k-mer partitioning.
 
 A window is ``window`` consecutive words of one document; its minimiser is the
-smallest hash among its word triples. Consecutive windows whose minimisers
+smallest hash among its word pairs. Consecutive windows whose minimisers
 fall in the same bucket travel as one packed string (a super-k-mer) instead of
 one string each. In a bucket the windows are sorted and counted exactly: equal
 windows always have the same minimiser, so they meet.
@@ -9,7 +9,7 @@ windows always have the same minimiser, so they meet.
 1. A first pass adds up how many words every minimiser slot will receive (a
    table of fixed size). Slots are cut into buckets of about ``bucket_words``;
    a slot far over the mean (a very common line or phrase) is divided by a
-   second key of the window, its largest triple hash.
+   second key of the window, its largest pair hash.
 2. Blocks of documents are cut into super-k-mers. Equal ones of a block are
    sent once, with the smallest and largest doc_id that has them; a group of
    copies costs one string per block. What travels is compressed.
@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 
 from . import common as C
 
-TRIPLE = 3
+PAIR = 2
 SLOTS = 1 << 13
 PACKET = "bucket long, block string, payload binary"
 _MIX = np.uint64(0x9E3779B97F4A7C15)
@@ -41,22 +41,28 @@ def words_of(text: str | None) -> list[bytes]:
     return (text or "").encode().split()          # of bytes: ASCII white space only
 
 
+class _Hashes(dict):
+    def __missing__(self, word: bytes) -> int:
+        h = self[word] = xxhash.xxh64_intdigest(word)
+        return h
+
+
+class _Numbers(dict):
+    def __missing__(self, word: bytes) -> int:
+        n = self[word] = len(self)
+        return n
+
+
 class Hasher:
     """64-bit word hashes with a bounded memory per worker."""
 
     def __init__(self, limit: int = 500_000):
-        self.known, self.limit = {}, limit
+        self.known, self.limit = _Hashes(), limit
 
     def __call__(self, words: list[bytes]) -> np.ndarray:
         if len(self.known) > self.limit:
-            self.known = {}
-        got = list(map(self.known.get, words))
-        for i in [i for i, h in enumerate(got) if h is None]:
-            h = self.known.get(words[i])
-            if h is None:
-                h = self.known[words[i]] = xxhash.xxh64_intdigest(words[i])
-            got[i] = h
-        return np.array(got, np.uint64)
+            self.known = _Hashes()
+        return np.fromiter(map(self.known.__getitem__, words), np.uint64, len(words))
 
 
 def _sliding(x: np.ndarray, width: int, op) -> np.ndarray:
@@ -71,9 +77,9 @@ def _sliding(x: np.ndarray, width: int, op) -> np.ndarray:
 
 def window_keys(hashes: np.ndarray, window: int) -> tuple[np.ndarray, np.ndarray]:
     """Minimiser slot and second key (64 bits) of the window at every word."""
-    t = hashes[:-2] * _MULT[0] + hashes[1:-1] * _MULT[1] + hashes[2:] * _MULT[2]
+    t = hashes[:-1] * _MULT[0] + hashes[1:] * _MULT[1]
     t = (t ^ (t >> np.uint64(29))) * _MIX
-    width = window - TRIPLE + 1
+    width = window - PAIR + 1
     low, high = _sliding(t, width, np.minimum), _sliding(t, width, np.maximum)
     mix = lambda x: ((x ^ (x >> np.uint64(31))) * _MULT[0]) ^ (x >> np.uint64(17))
     return (mix(low) >> np.uint64(64 - SLOTS.bit_length() + 1)).astype(np.int64), mix(high)
@@ -155,8 +161,10 @@ class Buckets:
 
 
 def _pack(*arrays) -> bytes:
-    """Arrays and bytes in one compressed payload."""
-    raw = [a if isinstance(a, bytes) else np.ascontiguousarray(a).tobytes() for a in arrays]
+    """Integer arrays (as differences, which are mostly small) and bytes in
+    one compressed payload."""
+    raw = [a if isinstance(a, bytes) else np.diff(a, prepend=a.dtype.type(0)).tobytes()
+           for a in arrays]
     head = np.array([len(raw), *map(len, raw)], "<i8").tobytes()
     return zstandard.ZstdCompressor(level=3).compress(head + b"".join(raw))
 
@@ -167,7 +175,7 @@ def _unpack(payload: bytes, *kinds) -> list:
     out, at = [], 8 * (1 + len(kinds))
     for n, kind in zip(sizes.tolist(), kinds):
         part = raw[at:at + n]
-        out.append(part if kind is None else np.frombuffer(part, kind))
+        out.append(part if kind is None else np.cumsum(np.frombuffer(part, kind), dtype=kind))
         at += n
     return out
 
@@ -214,32 +222,45 @@ def _send(window: int, chars: int, buckets: Buckets):
     return run
 
 
+_BASE = 0xD1342543DE82EF95                                # odd: has an inverse modulo 2^64
+
+
+def _powers(base: int, n: int) -> np.ndarray:
+    out = np.full(n, base, np.uint64)
+    out[:1] = 1
+    return np.multiply.accumulate(out)
+
+
 def smallest_start(ids: np.ndarray, at: np.ndarray, low: np.ndarray, window: int) -> np.ndarray:
     """For windows of word ids starting at ``at``: the smallest ``low`` of all
-    equal windows. Windows are sorted by a hash; neighbours are compared word
-    by word, and if a hash ever stands for two windows, all words are sorted."""
-    h = np.zeros(len(ids) - window + 1, np.uint64)
-    rng = np.random.default_rng(7).integers(1, 1 << 63, window, np.uint64) | np.uint64(1)
-    wide = ids.astype(np.uint64) + np.uint64(1)
-    for j in range(window):
-        h += (wide[j:j + len(h)] * rng[j]) ^ (wide[j:j + len(h)] << np.uint64(32))
-    order = np.argsort(h[at])
-    s = at[order]
-    same = h[s[1:]] == h[s[:-1]]
+    equal windows. Windows are sorted by a rolling hash; neighbours are compared
+    word by word, and if a hash ever stands for two windows, all words are
+    sorted."""
+    x = (ids.astype(np.uint64) + np.uint64(1)) * _MIX
+    x ^= x >> np.uint64(32)
+    total = np.cumsum(np.concatenate([[np.uint64(0)], x * _powers(_BASE, len(x))]), dtype=np.uint64)
+    h = (total[window:] - total[:-window]) * _powers(pow(_BASE, -1, 1 << 64), len(x) - window + 1)
+    h = h[at]
+    h ^= h >> np.uint64(29)
+    order = np.argsort(h)
+    same = np.diff(h[order]) == 0
     twin = np.flatnonzero(same)
+    a, b = at[order[twin]], at[order[twin + 1]]
     equal = np.ones(len(twin), bool)
     for j in range(window):
-        equal &= ids[s[twin + 1] + j] == ids[s[twin] + j]
+        equal &= ids[a + j] == ids[b + j]
     if not equal.all():
         order = np.lexsort([ids[at + j] for j in range(window)])
         s = at[order]
         same = np.ones(len(s) - 1, bool)
         for j in range(window):
             same &= ids[s[1:] + j] == ids[s[:-1] + j]
-    starts = np.concatenate([[0], np.flatnonzero(~same) + 1])
-    group = np.cumsum(np.concatenate([[False], ~same]))
-    out = np.empty(len(at), np.int64)
-    out[order] = np.minimum.reduceat(low[order], starts)[group]
+    out = low.copy()                                       # a window that occurs once: its own
+    some = np.flatnonzero(np.append(same, False) | np.insert(same, 0, False))
+    if len(some):
+        first = ~np.insert(same, 0, False)[some]           # of each group of equal windows
+        least = np.minimum.reduceat(low[order[some]], np.flatnonzero(first))
+        out[order[some]] = least[np.cumsum(first) - 1]
     return out
 
 
@@ -256,9 +277,8 @@ def _count(window: int):
             blocks.append(np.full(len(rest[0]), i))
         words = b"\n".join(strings).split()
         del strings
-        index = {w: i for i, w in enumerate(set(words))}
-        ids = np.fromiter(map(index.__getitem__, words), np.int64, len(words))
-        del words, index
+        ids = np.fromiter(map(_Numbers().__getitem__, words), np.int32, len(words))
+        del words
         number, wide, low, high, blocks = map(np.concatenate, (number, wide, low, high, blocks))
         wide = wide.astype(np.int64)
         begin = np.cumsum(wide + window - 1) - (wide + window - 1)
