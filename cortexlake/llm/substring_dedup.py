@@ -56,7 +56,7 @@ class _Numbers(dict):
 class Hasher:
     """64-bit word hashes with a bounded memory per worker."""
 
-    def __init__(self, limit: int = 500_000):
+    def __init__(self, limit: int = 300_000):
         self.known, self.limit = _Hashes(), limit
 
     def __call__(self, words: list[bytes]) -> np.ndarray:
@@ -337,7 +337,7 @@ def _ranges(window: int):
     return run
 
 
-def duplicate_ranges(docs: DataFrame, window: int = 13, block_chars: int = 4_000_000,
+def duplicate_ranges(docs: DataFrame, window: int = 13, block_chars: int = 3_000_000,
                      bucket_words: int = 1_000_000) -> DataFrame:
     """``id, key, ranges``: of documents (``doc_id, text``) with words to
     remove, the word ranges [begin, end) as pairs of little-endian longs. id is
