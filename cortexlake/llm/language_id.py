@@ -172,7 +172,7 @@ def train(docs: DataFrame, sample_docs: int = 2000, rounds: int = 2,
         "lang is not null and text is not null and doc_id is not null")
     sizes = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count("*").alias("n")).collect()}
     if not sizes:
-        return [], np.zeros((0, 0))
+        return [], np.zeros((pieces(vocabulary).size, 0))
     share = F.lit(0.0)
     for lang, n in sizes.items():
         share = F.when(F.col("lang") == lang, F.lit(min(1.0, sample_docs / n))).otherwise(share)
@@ -197,7 +197,7 @@ def train(docs: DataFrame, sample_docs: int = 2000, rounds: int = 2,
     models = counted.groupBy("lang").applyInPandas(learn, "lang string, p binary").collect()
     models = sorted((m["lang"], np.frombuffer(m["p"], "<f8")) for m in models)
     if not models:
-        return [], np.zeros((0, 0))
+        return [], np.zeros((pieces(vocabulary).size, 0))
     return [m[0] for m in models], np.stack([m[1] for m in models], axis=1)
 
 

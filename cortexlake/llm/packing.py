@@ -13,6 +13,7 @@ their own bound or nothing is gained."""
 from __future__ import annotations
 
 import re
+import struct
 import zlib
 
 import numpy as np
@@ -57,18 +58,18 @@ class WordEncoder:
         self.memo = C.Memo(self._many, self._split, b"".join, limit)
 
     def _split(self, unit: str) -> list:
-        if _PLAIN_UNIT.fullmatch(unit) and not any(s in unit for s in self.special):
+        if _PLAIN_UNIT.fullmatch(unit) and not ("<" in unit and any(s in unit for s in self.special)):
             return _PLAIN_PIECE.findall(unit.lower())
         return [unit] if unit else []
 
     def _many(self, pieces: list) -> list:
         out = []
         for p in pieces:
-            if _PLAIN_PIECE.fullmatch(p):
+            if _PLAIN_UNIT.fullmatch(p) and _PLAIN_PIECE.fullmatch(p):
                 ids = [x.id for x in self.merges(p.translate(self.alphabet))]
             else:
                 ids = self.t.encode(p, add_special_tokens=False).ids
-            out.append(np.array(ids, "<u4").tobytes())
+            out.append(struct.pack(f"<{len(ids)}I", *ids))
         return out
 
     def __call__(self, text: str) -> bytes:
