@@ -195,8 +195,10 @@ def pack(pieces: DataFrame, capacity: int = 2048, run_items: int = 200_000,
         bound = lower_bound([r["length"] for r in hist], [r["count"] for r in hist], capacity)
         if bins <= max(bound, 1):
             break
-        spread = rest.repartition(max(1, -(-items // run_items)))
-        again = C.saved(_pack_partitions(spread, capacity, turn, run_items), "packed")
+        # open bins are few: more of them meet than in the first packing
+        together = 4 * run_items
+        spread = rest.repartition(max(1, -(-items // together)))
+        again = C.saved(_pack_partitions(spread, capacity, turn, together), "packed")
         if again.select("sequence_id").distinct().count() >= bins:
             break
         done = done.unionByName(again.filter(~F.col("open")))
