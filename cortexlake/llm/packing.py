@@ -3,12 +3,13 @@
 Documents become token pieces of at most ``capacity`` ids where they are read.
 Packing then looks at lengths only. Every partition packs its pieces best-fit
 decreasing and computes a lower bound on its bins from dual-feasible
-functions; bins == bound certifies that nothing can be gained inside the
-partition. From partitions with a gap all bins with room left, and from
-certified partitions the emptiest bin (the rounding of its bound), go to a
-common exchange, which is spread over fewer partitions and packed again. A
-round is kept only if it needs fewer bins; rounds end when the open bins meet
-their own bound or nothing is gained."""
+functions; bins == bound certifies the partition. Bins without room are final.
+From partitions with a gap the bins with room, and from certified ones the
+emptiest bin (the rounding of its bound), go to a common exchange, spread over
+fewer partitions, and are packed again; a round is kept only if it needs fewer
+bins. When gaps yield no more, the remainders of the certified partitions join
+in. Rounds end when the bins with room meet their own bound, or when nothing
+is gained."""
 
 from __future__ import annotations
 
@@ -26,7 +27,7 @@ from pyspark.sql import functions as F
 from . import common as C
 
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
-PACKED = PIECES + ", sequence_id long, offset long, open boolean"
+PACKED = PIECES + ", sequence_id long, offset long, state int"
 
 _L = "A-Za-zÀ-ÖØ-öø-ÿ"
 # The word vocabulary drops white space and never looks across it, so these
@@ -156,13 +157,11 @@ def _pack_partitions(pieces: DataFrame, capacity: int, turn: int, run_items: int
         lengths = pdf["length"].to_numpy()
         where, offset, left = best_fit(lengths, capacity)
         bound = lower_bound(*np.unique(lengths, return_counts=True), capacity)
-        if len(left) > bound:
-            open_ = left > 0
-        else:
-            open_ = np.zeros(len(left), bool)
-            open_[np.argmax(left)] = left.max() > 0
+        # 0: no room left, 1: room in a certified partition, 2: to be exchanged
+        state = np.where(left == 0, 0, 2 if len(left) > bound else 1)
+        state[np.argmax(left)] = 2 if left.max() else 0
         place = (turn << 58) | (TaskContext.get().partitionId() << 34) | first
-        return pdf.assign(sequence_id=where + place, offset=offset, open=open_[where]), len(left)
+        return pdf.assign(sequence_id=where + place, offset=offset, state=state[where]), len(left)
 
     def run(frames):
         held, n, first = [], 0, 0
@@ -184,26 +183,30 @@ def pack(pieces: DataFrame, capacity: int = 2048, run_items: int = 200_000,
     """Pieces (``PIECES`` columns, lengths 1..capacity) with their
     ``sequence_id`` and ``offset``. Null ids and repeated rows are items like
     any other; an empty table packs into nothing."""
-    spark = pieces.sparkSession
+    def again(some: DataFrame, turn: int) -> DataFrame | None:
+        """Another packing of the bins in ``some``, if it needs fewer."""
+        hist = some.groupBy("length").count().collect()       # at most `capacity` rows
+        items = sum(r["count"] for r in hist)
+        bins = some.select("sequence_id").distinct().count()
+        if bins <= max(1, lower_bound([r["length"] for r in hist], [r["count"] for r in hist], capacity)):
+            return None
+        together = 4 * run_items                    # open bins are few: more of them meet
+        spread = some.repartition(max(1, -(-items // together)))
+        new = C.saved(_pack_partitions(spread, capacity, turn, together), "packed")
+        return new if new.select("sequence_id").distinct().count() < bins else None
+
     out = C.saved(_pack_partitions(pieces, capacity, 0, run_items), "packed")
-    done = out.filter(~F.col("open"))
-    rest = out.filter("open")
+    done, rest = out.filter("state = 0"), out.filter("state > 0")
     for turn in range(1, rounds + 1):
-        hist = rest.groupBy("length").count().collect()       # at most `capacity` rows
-        items = sum(r["count"] for r in hist)
-        bins = rest.select("sequence_id").distinct().count()
-        bound = lower_bound([r["length"] for r in hist], [r["count"] for r in hist], capacity)
-        if bins <= max(bound, 1):
-            break
-        # open bins are few: more of them meet than in the first packing
-        together = 4 * run_items
-        spread = rest.repartition(max(1, -(-items // together)))
-        again = C.saved(_pack_partitions(spread, capacity, turn, together), "packed")
-        if again.select("sequence_id").distinct().count() >= bins:
+        for least in (2, 1):
+            new = again(rest.filter(F.col("state") >= least), turn)
+            if new is not None:
+                done = done.unionByName(new.filter("state = 0"))
+                rest = rest.filter(F.col("state") < least).unionByName(new.filter("state > 0"))
+                break
+        else:
             break
-        done = done.unionByName(again.filter(~F.col("open")))
-        rest = again.filter("open")
-    return done.unionByName(rest).drop("open")
+    return done.unionByName(rest).drop("state")
 
 
 def best_fit_packing(docs: DataFrame, vocabulary: str = "word_bpe_49k.json", capacity: int = 2048,
