@@ -57,7 +57,7 @@ def _map(docs: DataFrame, schema: str, row) -> DataFrame:
                 [b.column(0), *(pa.array([r[i] for r in out], t) for i, (_, t) in enumerate(cols))],
                 ["doc_id", *(n for n, _ in cols)])
 
-    kinds = {"long": pa.int64(), "string": pa.string(), "binary": pa.binary()}
+    kinds = {"long": pa.int64(), "string": pa.string(), C.BYTES: pa.binary()}
     cols = [(n, kinds[t]) for n, t in (x.split() for x in schema.split(","))]
     return docs.mapInArrow(run, "doc_id long, " + schema)
 
@@ -67,13 +67,13 @@ def encode(docs: DataFrame, vocabulary: str = "byte_bpe_multi_50k.tiktoken",
     """``doc_id, ids``: the ids of every whole text as little-endian unsigned
     32-bit integers. Null text encodes as empty; null ids, repeated rows,
     empty tables and other columns do no harm."""
-    return _map(C.id_text(docs, id_col, text_col), "ids binary",
+    return _map(C.id_text(docs, id_col, text_col), f"ids {C.BYTES}",
                 lambda x: (encode_text(x or "", vocabulary),))
 
 
 def decode(encoded: DataFrame, vocabulary: str = "byte_bpe_multi_50k.tiktoken") -> DataFrame:
     """``doc_id, content``: the raw bytes of ``ids`` (null: empty)."""
-    return _map(encoded.select("doc_id", "ids"), "content binary",
+    return _map(encoded.select("doc_id", "ids"), f"content {C.BYTES}",
                 lambda x: (decode_ids(x or b"", vocabulary),))
 
 

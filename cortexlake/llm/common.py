@@ -8,11 +8,14 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..session import scratch_path
 
 #: The white space that the text contracts name: space, and TAB to CR.
 SPACE = r"[\x20\x09-\x0D]"
+#: Type name of a column of bytes.
+BYTES = T.BinaryType().simpleString()
 #: Stands for a missing doc_id where ids are ordered: after every real id.
 NO_ID = (1 << 63) - 1
 

@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 from . import common as C
 
-BLOCK = "block string, doc_ids binary, prints binary, shas binary, sizes binary, no_id binary"
+BLOCK = f"block string, doc_ids {C.BYTES}, prints {C.BYTES}, shas {C.BYTES}, sizes {C.BYTES}, no_id {C.BYTES}"
 #: Bits of the suspect table: 2^23 bits are 1 MB whatever the input's size.
 TABLE_BITS = 23
 
@@ -109,8 +109,8 @@ def _send(owners: int):
     return run
 
 
-SENT = "owner long, block string, n long, bits int, code binary, twice binary"
-ANSWER = "owner long, block string, n long, seen binary"
+SENT = f"owner long, block string, n long, bits int, code {C.BYTES}, twice {C.BYTES}"
+ANSWER = f"owner long, block string, n long, seen {C.BYTES}"
 
 
 def _answer(pdf: pd.DataFrame) -> pd.DataFrame:

@@ -194,7 +194,7 @@ def train(docs: DataFrame, sample_docs: int = 2000, rounds: int = 2,
         p = fit(pdf["word"].tolist(), pdf["n"].to_numpy(), pieces(vocabulary), rounds)
         return pd.DataFrame({"lang": [key[0]], "p": [p.astype("<f8").tobytes()]})
 
-    models = counted.groupBy("lang").applyInPandas(learn, "lang string, p binary").collect()
+    models = counted.groupBy("lang").applyInPandas(learn, f"lang string, p {C.BYTES}").collect()
     models = sorted((m["lang"], np.frombuffer(m["p"], "<f8")) for m in models)
     if not models:
         return [], np.zeros((pieces(vocabulary).size, 0))
@@ -290,7 +290,7 @@ def predict(docs: DataFrame, model: tuple[list[str], np.ndarray],
 
 def held_out(id_col: str = "doc_id"):
     """True where crc32 of the id as text is a multiple of 5 (no id: false)."""
-    return F.coalesce(F.crc32(F.col(id_col).cast("string").cast("binary")) % 5 == 0, F.lit(False))
+    return F.coalesce(F.crc32(F.col(id_col).cast("string").cast(C.BYTES)) % 5 == 0, F.lit(False))
 
 
 def language_id(docs: DataFrame, sample_docs: int = 2000) -> DataFrame:

@@ -100,7 +100,7 @@ def token_pieces(docs: DataFrame, vocabulary: str = "word_bpe_49k.json", capacit
                 [pa.array(c, t) for c, t in zip(cols, kinds)], names[:len(cols)])
 
     return C.id_text(docs, id_col, text_col).mapInArrow(
-        run, PIECES + (", ids binary" if with_ids else ""))
+        run, PIECES + (f", ids {C.BYTES}" if with_ids else ""))
 
 
 def lower_bound(lengths, counts, capacity: int) -> int:

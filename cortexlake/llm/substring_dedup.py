@@ -32,7 +32,7 @@ from . import common as C
 
 PAIR = 2
 SLOTS = 1 << 13
-PACKET = "bucket long, block string, payload binary"
+PACKET = f"bucket long, block string, payload {C.BYTES}"
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 _MULT = np.array([0xA0761D6478BD642F, 0xE7037ED1A0B428DB, 0x8EBC6AF09C88C6E3], np.uint64)
 
@@ -350,7 +350,7 @@ def duplicate_ranges(docs: DataFrame, window: int = 13, block_chars: int = 3_000
     buckets = Buckets(load, bucket_words)
     packets = rows.mapInArrow(_send(window, block_chars, buckets), PACKET)
     answers = packets.groupBy("bucket").applyInPandas(_count(window), PACKET)
-    return (answers.groupBy("block").applyInPandas(_ranges(window), "id long, key long, ranges binary")
+    return (answers.groupBy("block").applyInPandas(_ranges(window), f"id long, key long, ranges {C.BYTES}")
             .dropDuplicates(["id", "key"]))
 
 
