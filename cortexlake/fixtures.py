@@ -9,9 +9,16 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .session import read_table
 
+
+def file_rows(key: str) -> T.StructType:
+    """Rows of (key, file content)."""
+    return T.StructType([T.StructField(key, T.StringType()), T.StructField("content", T.BinaryType())])
+
+
 # UID roots and the description samples of the catalog view.
 SERIES_ROOT = "1.3.6.1.4.1.14519.5.2.1."
 DESCRIPTIONS = {
@@ -196,7 +203,7 @@ IMAGE_SET_SQL = """image_set as (
 # ------------------------------------------------------------ volume files
 def volume_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each embedding vector written as a gzip NIfTI-1 file (4x4x4 float32,
-    x fastest) by a ``mapInPandas`` encoder: binary input for the decode job
+    x fastest) by a ``mapInPandas`` encoder: file bytes for the decode job
     that Spark derives from the given table."""
     import numpy as np
     import pandas as pd
@@ -212,7 +219,7 @@ def volume_files(spark: SparkSession, sf_dir: str) -> DataFrame:
                             for v in pdf["embedding"]],
             })
     e = read_table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
-    return e.mapInPandas(enc, "volume_id string, content binary")
+    return e.mapInPandas(enc, file_rows("volume_id"))
 
 
 # ---------------------------------------------------------- file metadata
@@ -253,7 +260,7 @@ DICOM_FILES_SQL = """dicom_files as (
 # ---------------------------------------------------------- archive files
 def page_archives(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each web page packed as a zip archive with two members (the page and,
-    under a nested path, its URL): binary input for the archive explode job
+    under a nested path, its URL): file bytes for the archive explode job
     that Spark derives from the ``pages`` table."""
     import io
     import zipfile
@@ -271,4 +278,4 @@ def page_archives(spark: SparkSession, sf_dir: str) -> DataFrame:
                 blobs.append(buf.getvalue())
             yield pd.DataFrame({"object_key": pdf["page_id"].astype(str), "content": blobs})
     p = read_table(spark, sf_dir, "pages").select("page_id", "url", "html")
-    return p.mapInPandas(enc, "object_key string, content binary")
+    return p.mapInPandas(enc, file_rows("object_key"))

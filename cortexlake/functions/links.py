@@ -51,9 +51,11 @@ def slice_object_key(prefix: ColumnOrName, tag: ColumnOrName, i: ColumnOrName) -
 def enumerate_links(prefix: ColumnOrName, tag: ColumnOrName, n: ColumnOrName,
                     bucket: str = DEFAULT_BUCKET) -> Column:
     """A10: one public URL per slice index ``0..n-1``; ``n = 0`` gives an
-    empty array (``sequence(0, -1)`` would count down, so it is guarded)."""
-    n = _c(n)
-    p, t = _c(prefix), _c(tag)
-    links = F.transform(F.sequence(F.lit(0), n - 1),
-                        lambda i: public_url(slice_object_key(p, t, i), bucket))
+    empty array."""
+    n = _c(n).cast("int")
+    # quoting works character by character: prefix and tag are quoted once per
+    # row, and only the slice number and extension are added per slice
+    stem = public_url(F.concat(_c(prefix), F.lit("/"), _c(tag), F.lit("_")), bucket)
+    links = F.transform(F.array_repeat(stem, n),
+                        lambda s, i: F.concat(s, i.cast("string"), F.lit(".jpg")))
     return F.when(n > 0, links).otherwise(F.array().cast("array<string>"))

@@ -2,9 +2,9 @@
 case counts, store -> images nesting, JSON shapes, lookups, insert/delete.
 
 Scale rules kept here: no operator collects an unbounded group. Nested JSON
-is built per (store, page) where a page holds at most ``PAGE_SIZE`` image
-sets (pages are ranges of the image-set uid), so a store that owns a third
-of all image sets becomes many bounded documents instead of one huge row.
+is one document per store up to ``PAGE_SIZE`` image sets; a larger store's
+sets are dealt over ceil(n / ``PAGE_SIZE``) documents, so a store that owns a
+third of all image sets becomes many documents instead of one huge row.
 """
 
 from __future__ import annotations
@@ -14,7 +14,6 @@ from pyspark.sql import functions as F
 
 from ..functions import links as L
 from ..functions import text as T
-from ..session import cut_lineage
 
 # Cohort families of the two sources and the axes offered.
 FAMILY_OF_SOURCE = {"hcp": "notumor", "tcia": "withtumor"}
@@ -46,7 +45,7 @@ def stored_path(url: T.ColumnOrName, bucket: str = L.DEFAULT_BUCKET) -> Column:
     prepends the host again without a slash)."""
     host = L.PUBLIC_HOST.format(bucket=bucket)
     u = T._c(url)
-    return F.when(u.startswith(host), F.substring(u, len(host) + 1, 1 << 20)).otherwise(u)
+    return F.when(u.startswith(host), u.substr(F.lit(len(host) + 1), F.length(u))).otherwise(u)
 
 
 def build_cohorts(products: DataFrame, store_id: T.ColumnOrName | None = None,
@@ -138,14 +137,18 @@ def image_json(images: DataFrame, bucket: str = L.DEFAULT_BUCKET) -> DataFrame:
 
 def stores_json(stores: DataFrame, images: DataFrame, bucket: str = L.DEFAULT_BUCKET,
                 page_size: int = PAGE_SIZE) -> DataFrame:
-    """X2 + G1: ``{"name": store, "images": [image_json, ...]}`` per store and
-    page. Pages are uid ranges of ``page_size`` image sets, so no document
-    (and no aggregation group) holds more than ``page_size`` image sets. A
-    store without images gives one document with an empty list (the
-    ``when`` keeps a null struct out of the list)."""
+    """X2 + G1: ``{"name": store, "images": [image_json, ...]}`` per store: one
+    document for a store of at most ``page_size`` image sets, whatever their
+    uids. A store of n sets beyond that has ceil(n / page_size) pages, and a
+    set goes to page uid modulo their number (about ``page_size`` sets each).
+    The number of pages comes from the store's own count. A store without
+    images gives one document with an empty list (the ``when`` keeps a null
+    struct out of the list)."""
     host = L.PUBLIC_HOST.format(bucket=bucket)
-    si = store_images(stores, images).withColumn(
-        "page", F.coalesce(F.floor(F.col("image_uid") / page_size), F.lit(0)).cast("long"))
+    n = images.filter("store_id is not null").groupBy("store_id").agg(
+        F.ceil(F.count(F.lit(1)) / page_size).alias("_pages"))
+    si = store_images(stores, images).join(n, F.col("store_uid") == F.col("store_id"), "left") \
+        .withColumn("page", F.coalesce(F.pmod("image_uid", "_pages"), F.lit(0)).cast("long"))
     item = F.when(F.col("image_uid").isNotNull(), F.struct(
         F.col("image_uid").alias("uid"), F.col("image_name").alias("name"),
         F.transform("images", lambda p: F.concat(F.lit(host), p)).alias("images")))
@@ -173,17 +176,15 @@ def pending(manifest: DataFrame, landed: DataFrame, key: str = "object_key") ->
 
 def insert_if_absent(existing: DataFrame, incoming: DataFrame, key: str = "name") -> DataFrame:
     """Incoming names, de-duplicated; a name no existing row has is
-    ``inserted`` with a new uid above the current maximum (unique, not
-    dense), otherwise it is rejected as ``exists`` with the uid it already
-    has. Returns ``name, uid, status``. The new rows are checkpointed before
-    numbering, so a recomputed task cannot hand out different uids."""
+    ``inserted`` with a 63-bit hash of the name as its uid (LONG; the same on
+    every run, without a numbering pass), otherwise it is rejected as
+    ``exists`` with the uid it already has. Returns ``name, uid, status``."""
     inc = incoming.select(key).filter(F.col(key).isNotNull()).distinct()
     have = first_per_name(existing.select("uid", key)).select(key, F.col("uid").alias("_uid"))
     j = inc.join(have, key, "left")
-    top = existing.agg(F.max("uid")).first()[0] or 0
-    new = cut_lineage(j.filter(F.col("_uid").isNull()).select(key))
-    new = new.select(key, (F.lit(int(top)) + 1 + F.monotonically_increasing_id()).alias("uid"),
-                     F.lit("inserted").alias("status"))
+    new = j.filter(F.col("_uid").isNull()).select(
+        key, F.xxhash64(key).bitwiseAND(F.lit((1 << 63) - 1)).alias("uid"),
+        F.lit("inserted").alias("status"))
     old = j.filter(F.col("_uid").isNotNull()).select(
         key, F.col("_uid").cast("long").alias("uid"), F.lit("exists").alias("status"))
     return new.unionByName(old)

@@ -37,6 +37,12 @@ def first_file_metadata(files: DataFrame, series: str = "series_key",
             .select(series, *[F.col("_m." + c).alias(c) for c in FILE_FIELDS]))
 
 
+def _printed(c: str):
+    """A scanner field as the landing job prints it: a missing one is Python's
+    ``None`` (the null fill is the catalog's alone)."""
+    return F.coalesce(F.col(c).cast("string"), F.lit("None"))
+
+
 def series_metadata_rows(volumes: DataFrame, meta: DataFrame, bucket: str,
                          out_dir: str, series: str = "series_key") -> DataFrame:
     """D7 rows of archive series (J2 + P5 + F16 + A10): each volume of a
@@ -54,11 +60,11 @@ def series_metadata_rows(volumes: DataFrame, meta: DataFrame, bucket: str,
     j = T.with_python_str(j, "spacing_x", "pixel_spacing_x")
     j = T.with_python_str(j, "spacing_y", "pixel_spacing_y")
     return j.select(
-        T.null_fill("SeriesInstanceUID").alias("series_uid"),
-        T.null_fill("SeriesDate").alias("series_date"),
+        _printed("SeriesInstanceUID").alias("series_uid"),
+        _printed("SeriesDate").alias("series_date"),
         "scan_axis",
-        T.null_fill("Manufacturer").alias("manufacturer"),
-        T.null_fill("ManufacturerModelName").alias("model_name"),
+        _printed("Manufacturer").alias("manufacturer"),
+        _printed("ManufacturerModelName").alias("model_name"),
         "pixel_spacing_x", "pixel_spacing_y",
         L.enumerate_links("_prefix", "_tag", "n_slices", bucket).alias("jpgfiles"),
         "object_key", "_tag",

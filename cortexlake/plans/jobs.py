@@ -36,88 +36,118 @@ def manifest_job(spark, catalog_path: str, out_path: str, mode: str = "twopass")
 
 
 # ------------------------------------------------------------------ E3
+def series_volumes(manifest: DataFrame, files: DataFrame, out_dir: str) -> DataFrame:
+    """Volume files of the selected series (P4) with the keys their slices
+    land under. Works on the listing alone: no bytes are read or moved."""
+    roi = C.select_roi(manifest).select("object_key").distinct()
+    return files.select("object_key", "volume_file").join(roi, "object_key").distinct().withColumns({
+        "output_prefix": T.output_prefix(out_dir, T.object_tag("object_key")),
+        "output_tag": T.output_tag_from_file("volume_file")})
+
+
+def subject_volumes(subjects: DataFrame, files: DataFrame, out_dir: str) -> DataFrame:
+    """J3 of the subject path: volume files whose key (F7) is a subject's."""
+    s = subjects.select(F.col("subject").cast("string").alias("subject"),
+                        T.volume_key_from_subject("subject").alias("object_key")).distinct()
+    key = F.regexp_extract("volume_file", r"(HCP_1200/.*)$", 1)
+    return files.select("volume_file", key.alias("object_key")).join(s, "object_key").distinct() \
+        .withColumn("output_prefix", T.output_prefix(out_dir, T.subject_tag("subject")))
+
+
+def _pending(volumes: DataFrame, slices_path: str, source: str) -> DataFrame:
+    """The volumes that the slice table does not hold yet (J4), cut off from
+    the table that is going to be appended to."""
+    from ..session import cut_lineage
+    from ..sinks.writers import landed_volumes
+    have = landed_volumes(volumes.sparkSession, slices_path, source)
+    if have is not None:
+        have = have.select(F.col("volume_id").alias("volume_file"), "object_key").distinct()
+        volumes = volumes.join(have, ["volume_file", "object_key"], "left_anti")
+    return cut_lineage(volumes)
+
+
+def _landed_headers(spark, slices_path: str, source: str) -> DataFrame:
+    """Header rows of decoded volumes; both filters prune partitions."""
+    return spark.read.parquet(slices_path).filter(
+        (F.col("source") == source) & F.col("axis").isNull() & (F.col("status") == "ok"))
+
+
 def process_series(manifest: DataFrame, volume_files: DataFrame, file_meta: DataFrame,
                    slices_path: str, products_path: str, out_dir: str,
                    bucket: str, source: str = "tcia") -> DataFrame:
-    """E3 for all series at once: ROI filter (P4) -> join volume files to
-    their series by object key (J3) -> decode, thinnest-axis slices,
-    per-stack normalisation (S4/A5/A6/A7) -> slice table (K5) -> product
-    rows with first-file metadata (S7/J2/D7) -> idempotent append (K3).
+    """E3 for all series at once: ROI filter (P4) -> keys of the listed volume
+    files (J3) -> those not landed yet (J4) -> decode, thinnest-axis slices,
+    per-stack normalisation (S4/A5/A6/A7) -> append to the slice table (K5)
+    -> product rows with first-file metadata (S7/J2/D7) -> idempotent append
+    (K3).
 
     ``volume_files``: ``object_key, volume_file, content``;
     ``file_meta``: per-file scanner fields keyed by ``series_key``.
-    Slices are written before metadata rows, so no row links to slices that
-    were never written. The decode runs once; its header rows are read back
-    from the written table."""
+    Keys are resolved on the listing; the small result meets the bytes once,
+    and goes through the decoder, so pixels are joined to nothing. Slices are
+    written before metadata rows, so no row links to slices that were never
+    written; the decode runs once and only for volumes that are new."""
     from ..operators.metadata import first_file_metadata, series_metadata_rows
-    from ..sinks.writers import append_products
+    from ..sinks.writers import append_products, append_slices
     from ..sources.volumes import decode_volumes
-    spark = manifest.sparkSession
-    roi = C.select_roi(manifest)
-    vols = volume_files.join(roi, "object_key", "inner")
-    dec = decode_volumes(vols.select(F.col("volume_file").alias("volume_id"), "content"),
-                         mode="thinnest", normalise=True)
-    tags = vols.select(F.col("volume_file").alias("volume_id"), "object_key",
-                       T.output_prefix(out_dir, T.object_tag("object_key")).alias("output_prefix"),
-                       T.output_tag_from_file("volume_file").alias("output_tag"))
-    # the tag table has one row per volume file; AQE broadcasts it when small
-    out = dec.join(tags, "volume_id", "inner").withColumn("source", F.lit(source))
-    _write_decoded(out, slices_path)
-    headers = spark.read.parquet(slices_path).filter(
-        (F.col("source") == source) & F.col("slice_no").isNull() & (F.col("status") == "ok"))
-    vol_rows = headers.join(tags, ["volume_id", "object_key"], "inner").select(
-        F.col("object_key"), F.col("volume_id").alias("volume_file"),
+    todo = _pending(series_volumes(manifest, volume_files, out_dir), slices_path, source)
+    files = volume_files.select("object_key", "volume_file", "content").join(
+        todo, ["object_key", "volume_file"])
+    append_slices(decode_volumes(files, mode="thinnest", normalise=True, id_col="volume_file",
+                                 carry=("object_key", "output_prefix", "output_tag"))
+                  .withColumn("source", F.lit(source)), slices_path)
+    series = C.select_roi(manifest).select(F.col("series_uid").alias("series_key"), "object_key")
+    vols = _landed_headers(manifest.sparkSession, slices_path, source).select(
+        "object_key", F.col("volume_id").alias("volume_file"),
         F.element_at("shape", (F.array_position("shape", F.array_min("shape"))).cast("int"))
-        .alias("n_slices"))
-    series = roi.select(F.col("series_uid").alias("series_key"), "object_key")
-    vol_rows = vol_rows.join(series, "object_key", "inner")
-    rows = series_metadata_rows(vol_rows, first_file_metadata(file_meta), bucket, out_dir)
+        .alias("n_slices")).join(series, "object_key")
+    rows = series_metadata_rows(vols, first_file_metadata(file_meta), bucket, out_dir)
     return append_products(rows.withColumn("source", F.lit(source)), products_path)
 
 
-def _write_decoded(decoded: DataFrame, path: str) -> None:
-    """Slice rows and header rows of one decode run, partitioned by source
-    and axis (header rows sit in the null-axis partition). Re-running a
-    source replaces only that source's partitions."""
-    (decoded.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy("source", "axis").parquet(path))
-
-
 # ------------------------------------------------------------------ E4
 def process_subjects(subjects: DataFrame, volume_files: DataFrame, slices_path: str,
                      products_path: str, out_dir: str, bucket: str, n: int = 50,
                      source: str = "hcp") -> DataFrame:
-    """E4 for all subjects at once: subject -> volume key (F7) -> equi-join
-    with the volume files (key taken from the file path) -> one decode per
-    volume giving the ``n`` central slices of all three axes (A2/A11/A7)
-    -> slice table -> per-axis product rows from the header rows (P10/A3)
-    -> idempotent append."""
+    """E4 for all subjects at once: subject -> volume key (F7) -> its file in
+    the listing, if not landed yet -> one decode per volume giving the ``n``
+    central slices of all three axes (A2/A11/A7) -> append to the slice table
+    -> per-axis product rows from the header rows (P10/A3) -> idempotent
+    append."""
     from ..operators.metadata import subject_metadata_rows
-    from ..sinks.writers import append_products
+    from ..sinks.writers import append_products, append_slices
     from ..sources.volumes import decode_volumes
-    spark = subjects.sparkSession
-    s = subjects.select("subject", T.volume_key_from_subject("subject").alias("volume_key"))
-    files = volume_files.withColumn(
-        "volume_key", F.regexp_extract("volume_file", r"(HCP_1200/.*)$", 1))
-    vols = files.join(s, "volume_key", "inner")
-    dec = decode_volumes(vols.select(F.col("subject").cast("string").alias("volume_id"), "content"),
-                         mode="central", n=n, axes=(0, 1, 2), rot=0, normalise=True)
+    todo = _pending(subject_volumes(subjects, volume_files, out_dir), slices_path, source)
+    files = volume_files.select("volume_file", "content").join(todo, "volume_file")
+    dec = decode_volumes(files, mode="central", n=n, axes=(0, 1, 2), rot=0, normalise=True,
+                         id_col="volume_file", carry=("subject", "object_key", "output_prefix"))
     names = F.element_at(F.array(*[F.lit(a) for a in C.AXIS_NAMES]), F.col("axis") + 1)
-    out = dec.withColumns({
+    append_slices(dec.withColumns({
         "source": F.lit(source),
-        "output_prefix": T.output_prefix(out_dir, T.subject_tag("volume_id")),
-        "output_tag": F.when(F.col("axis").isNotNull(),
-                             T.output_tag_for_subject("volume_id", names)),
-    })
-    _write_decoded(out, slices_path)
-    headers = spark.read.parquet(slices_path).filter(
-        (F.col("source") == source) & F.col("slice_no").isNull() & (F.col("status") == "ok"))
-    fan = axis_fanout(headers.select(F.col("volume_id").alias("subject"), "shape", "pixdim"),
-                      out_dir)
+        "output_tag": F.when(F.col("axis").isNotNull(), T.output_tag_for_subject("subject", names)),
+    }), slices_path)
+    headers = _landed_headers(subjects.sparkSession, slices_path, source)
+    fan = axis_fanout(headers.select("subject", "shape", "pixdim"), out_dir)
     rows = subject_metadata_rows(fan, bucket, out_dir, n)
     return append_products(rows.withColumn("source", F.lit(source)), products_path)
 
 
+def volume_outcomes(wanted: DataFrame, slices_path: str, source: str) -> DataFrame:
+    """What became of every wanted object: ``object_key, outcome, message``
+    with outcome ``ok``, ``skipped``, ``error`` or ``no file``. ``wanted`` has
+    ``object_key``."""
+    from ..sinks.writers import read_existing
+    have = read_existing(wanted.sparkSession, slices_path)
+    keys = wanted.select("object_key").distinct()
+    if have is None:
+        return keys.select("object_key", F.lit("no file").alias("outcome"),
+                           F.lit(None).cast("string").alias("message"))
+    rows = have.filter((F.col("source") == source) & F.col("axis").isNull()).select(
+        "object_key", "status", "message")
+    return keys.join(rows, "object_key", "left").select(
+        "object_key", F.coalesce("status", F.lit("no file")).alias("outcome"), "message")
+
+
 # ------------------------------------------------------------ E5 - E8
 def export_cohort_job(images: DataFrame, name: str, out_path: str, bucket: str) -> DataFrame:
     """E5: ``GET /Images/<name>`` as a job: the export manifest of that

@@ -343,8 +343,10 @@ oracle("stores_json", _SI +
        f"images := list_transform(images, lambda p: '{HOST}' || p)) order by image_uid) "
        "filter (where image_uid is not null), []))) as varchar) as json "
        "from (select s.uid as store_uid, s.name as store_name, i.uid as image_uid, i.name as image_name, "
-       "i.images, cast(coalesce(floor(i.uid / 256), 0) as bigint) as page "
-       "from store s left join image_set i on s.uid = i.store_id) t group by store_uid, store_name, page")
+       "i.images, cast(coalesce(i.uid % p.pages, 0) as bigint) as page "
+       "from store s left join image_set i on s.uid = i.store_id left join (select store_id, "
+       "cast(ceil(count(*) / 256.0) as bigint) as pages from image_set group by store_id) p "
+       "on s.uid = p.store_id) t group by store_uid, store_name, page")
 oracle("insert_if_absent", with_ctes(fx.STORE_SQL) +
        "select n.name, case when s.uid is null then 'inserted' else 'exists' end as status, "
        "cast(s.uid as bigint) as existing_uid from (select distinct name from (select r_name as name from region "

@@ -7,6 +7,7 @@ for tests, the bench and command-line runs, and for jobs that must cut lineage.
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
@@ -52,10 +53,13 @@ def checkpoint_dir(spark: SparkSession) -> str | None:
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Use the configured checkpoint folder; only when none is set (local
-    tests) make a scratch one."""
+    """Use the configured checkpoint folder; only when none is set and the
+    session is local (tests) make a scratch one. On a cluster a folder of the
+    driver's machine is out of the executors' reach, so there it is an error."""
     d = checkpoint_dir(spark)
     if not d:
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         d = tempfile.mkdtemp(prefix="cortexlake-ckpt-")
     if not spark.sparkContext.getCheckpointDir():
         spark.sparkContext.setCheckpointDir(d)

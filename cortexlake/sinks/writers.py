@@ -23,11 +23,15 @@ def write_manifest(manifest: DataFrame, path: str) -> None:
      .write.mode("overwrite").json(path))
 
 
-def _read_existing(spark, path: str, fmt: str = "parquet") -> DataFrame | None:
+def read_existing(spark, path: str) -> DataFrame | None:
+    """The Parquet table at ``path``, or None where there is none yet. Any
+    other fault is raised: it must not pass for an empty table."""
     try:
-        return spark.read.format(fmt).load(path)
-    except AnalysisException:
-        return None
+        return spark.read.parquet(path)
+    except AnalysisException as e:
+        if e.getCondition() == "PATH_NOT_FOUND":
+            return None
+        raise
 
 
 def append_products(rows: DataFrame, path: str, key=PRODUCT_KEY) -> DataFrame:
@@ -36,22 +40,34 @@ def append_products(rows: DataFrame, path: str, key=PRODUCT_KEY) -> DataFrame:
     natural key is already present are skipped (``left_anti``), so a re-run
     or a retried job adds nothing twice. Returns the rows that were new."""
     spark = rows.sparkSession
-    incoming = rows.dropDuplicates(list(key))
-    existing = _read_existing(spark, path)
+    # series without a uid share its fill text: their object key tells them apart
+    key = [*key, *(["object_key"] if "object_key" in rows.columns and "object_key" not in key else [])]
+    incoming = rows.dropDuplicates(key)
+    existing = read_existing(spark, path)
     if existing is not None:
-        incoming = incoming.join(existing.select(*key).distinct(), list(key), "left_anti")
+        incoming = incoming.join(existing.select(*key).distinct(), key, "left_anti")
     # materialise the new rows first: the anti join reads the table we append to
     incoming = cut_lineage(incoming)
     incoming.write.mode("append").partitionBy("source", "scan_axis").parquet(path)
     return incoming
 
 
-def write_slices(slices: DataFrame, path: str, prefix_col: str = "output_prefix",
-                 tag_col: str = "output_tag", mode: str = "overwrite") -> None:
-    """K5: the slice table with each slice's target object key, partitioned
-    by source and axis. Replaces one object upload per slice."""
-    out = slices.withColumn("object_key", L.slice_object_key(prefix_col, tag_col, "slice_no"))
-    out.write.mode(mode).partitionBy("source", "axis").parquet(path)
+def landed_volumes(spark, path: str, source: str) -> DataFrame | None:
+    """``volume_id`` and ``object_key`` of the volumes of ``source`` that are in
+    the slice table: one header row each, in the partition without an axis."""
+    have = read_existing(spark, path)
+    return None if have is None else have.filter(
+        (F.col("source") == source) & F.col("axis").isNull()).select("volume_id", "object_key")
+
+
+def append_slices(decoded: DataFrame, path: str) -> None:
+    """K5: append decoded rows (slices and one header row per volume) with each
+    slice's target object key, partitioned by source and axis. Callers leave
+    out volumes that are landed (``landed_volumes``), so nothing that another
+    run has landed is ever replaced, and a repeated run adds nothing."""
+    key = L.slice_object_key("output_prefix", "output_tag", "slice_no")
+    (decoded.withColumn("target_key", F.when(F.col("slice_no").isNotNull(), key))
+     .write.mode("append").partitionBy("source", "axis").parquet(path))
 
 
 def write_export(export_rows: DataFrame, path: str) -> None:

@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import io
 import zipfile
+import zlib
 from collections.abc import Iterator
 
 import pandas as pd
@@ -19,6 +20,9 @@ from pyspark.sql import functions as F
 
 from ..schemas import ARCHIVE_MEMBERS
 
+#: Damaged, encrypted or unsupported members are reported, one by one.
+BAD_ARCHIVE = (zipfile.BadZipFile, zlib.error, EOFError, OSError, ValueError, RuntimeError,
+               NotImplementedError)
 MEMBER_COLUMNS = [f.name for f in ARCHIVE_MEMBERS.fields]
 
 
@@ -27,9 +31,9 @@ def _members(key: str, content: bytes, suffix: str | None, batch: int) -> Iterat
         zf = zipfile.ZipFile(io.BytesIO(content))
         infos = [i for i in zf.infolist() if not i.is_dir()
                  and (suffix is None or i.filename.lower().endswith(suffix))]
-    except (zipfile.BadZipFile, OSError, ValueError) as e:
+    except BAD_ARCHIVE as e:
         yield pd.DataFrame({"object_key": [key], "member": [None], "content": [None],
-                            "status": ["error: " + str(e)[:200]]}, columns=MEMBER_COLUMNS)
+                            "status": ["error: " + str(e)]}, columns=MEMBER_COLUMNS)
         return
     if not infos:
         yield pd.DataFrame({"object_key": [key], "member": [None], "content": [None],
@@ -40,8 +44,8 @@ def _members(key: str, content: bytes, suffix: str | None, batch: int) -> Iterat
         for info in infos[s:s + batch]:
             try:
                 rows.append((key, info.filename, zf.read(info), "ok"))
-            except (zipfile.BadZipFile, OSError, ValueError) as e:
-                rows.append((key, info.filename, None, "error: " + str(e)[:200]))
+            except BAD_ARCHIVE as e:
+                rows.append((key, info.filename, None, "error: " + str(e)))
         yield pd.DataFrame(rows, columns=MEMBER_COLUMNS)
 
 

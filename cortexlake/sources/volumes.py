@@ -36,8 +36,6 @@ DTYPES = {
     256: "i1", 512: "u2", 768: "u4", 1024: "i8", 1280: "u8",
 }
 
-MAX_BATCH_BYTES = 128 * 1024 * 1024
-
 DECODED = T.StructType([
     T.StructField("volume_id", T.StringType(), False),
     T.StructField("axis", T.IntegerType(), True),
@@ -84,6 +82,15 @@ def parse_header(raw: bytes) -> dict:
     }
 
 
+def read_header(content: bytes) -> dict:
+    """The header alone: of a compressed file only the first bytes are
+    inflated, so a volume that is not sliced costs nothing more."""
+    head = bytes(content[:HEADER_SIZE])
+    if content[:2] == b"\x1f\x8b":
+        head = zlib.decompressobj(wbits=31).decompress(content, HEADER_SIZE)
+    return parse_header(head)
+
+
 def decode_nifti(content: bytes) -> tuple[dict, np.ndarray]:
     """(header, float64 voxel array indexed [x, y, z, ...]); applies the
     header's scaling when its slope is non-zero (as image readers do)."""
@@ -151,21 +158,25 @@ def normalise_stack(stack: np.ndarray) -> np.ndarray:
         return (stack - lo) / (hi - lo)
 
 
+def _columns(carry) -> list[str]:
+    return DECODED_COLUMNS + list(carry)
+
+
 class _Rows:
     """Buffers output rows across volumes and hands them out as one pandas
     frame per ``max_rows`` rows or ``max_bytes`` of pixels, so small volumes
     share Arrow batches and large ones never build a huge batch."""
 
-    def __init__(self, max_rows: int, max_bytes: int = 32 * 1024 * 1024):
-        self.max_rows, self.max_bytes = max_rows, max_bytes
+    def __init__(self, max_rows: int, max_bytes: int = 32 * 1024 * 1024, carry=()):
+        self.max_rows, self.max_bytes, self.carry = max_rows, max_bytes, carry
         self._reset()
 
     def _reset(self):
-        self.cols = {c: [] for c in DECODED_COLUMNS}
+        self.cols = {c: [] for c in _columns(self.carry)}
         self.n = self.nbytes = 0
 
     def add(self, **row):
-        for c in DECODED_COLUMNS:
+        for c in self.cols:
             self.cols[c].append(row.get(c))
         self.n += 1
         px = row.get("pixels")
@@ -188,34 +199,37 @@ class _Rows:
             "pixdim": pd.Series(c["pixdim"], dtype=object),
             "status": pd.Series(c["status"], dtype=object),
             "message": pd.Series(c["message"], dtype=object),
-        }, columns=DECODED_COLUMNS)
+            **{k: pd.Series(c[k], dtype=object) for k in self.carry},
+        }, columns=_columns(self.carry))
         self._reset()
         return out
 
 
 def make_decoder(mode: str = "thinnest", n: int = 50, axes=(0, 1, 2), rot: int = 0,
-                 normalise: bool = True, rows_per_batch: int = 64):
+                 normalise: bool = True, rows_per_batch: int = 64, carry=()):
     """The ``mapInPandas`` function for ``decode_volumes`` (exposed for tests)."""
     if mode not in ("thinnest", "central"):
         raise ValueError(f"unknown slicing mode {mode!r}")
 
     def decode(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        out = _Rows(rows_per_batch)
+        out = _Rows(rows_per_batch, carry=carry)
         for pdf in batches:
-            for vid, content in zip(pdf["volume_id"], pdf["content"]):
-                vid = str(vid)
+            for vid, content, *kept in zip(pdf["volume_id"], pdf["content"], *[pdf[c] for c in carry]):
+                vid, kept = str(vid), dict(zip(carry, kept))
                 try:
-                    hdr, data = decode_nifti(content)
+                    hdr, data = read_header(content), None
+                    if len(hdr["shape"]) == 3:
+                        hdr, data = decode_nifti(content)
                 except (NiftiError, OSError, EOFError, zlib.error, ValueError) as e:
-                    out.add(volume_id=vid, status="error", message=str(e)[:500])
+                    out.add(volume_id=vid, status="error", message=str(e), **kept)
                     continue
                 shape, pixdim = hdr["shape"], [float(x) for x in hdr["pixdim"]]
                 if len(shape) != 3:
                     # Only 3-D volumes are sliced; others are reported
                     out.add(volume_id=vid, shape=shape, pixdim=pixdim, status="skipped",
-                            message=f"{len(shape)}-D volume")
+                            message=f"{len(shape)}-D volume", **kept)
                     continue
-                out.add(volume_id=vid, shape=shape, pixdim=pixdim, status="ok")
+                out.add(volume_id=vid, shape=shape, pixdim=pixdim, status="ok", **kept)
                 if mode == "thinnest":
                     a = int(np.argmin(shape))
                     picks = [(a, 0, shape[a])]
@@ -233,7 +247,7 @@ def make_decoder(mode: str = "thinnest", n: int = 50, axes=(0, 1, 2), rot: int =
                     h, w = stack.shape[1], stack.shape[2]
                     for j in range(stack.shape[0]):
                         out.add(volume_id=vid, axis=a, slice_no=j, height=h, width=w,
-                                dim=shape[a], pixels=stack[j].ravel(order="C"))
+                                dim=shape[a], pixels=stack[j].ravel(order="C"), **kept)
                         if out.full():
                             yield out.flush()
                 if out.full():
@@ -245,26 +259,21 @@ def make_decoder(mode: str = "thinnest", n: int = 50, axes=(0, 1, 2), rot: int =
 
 def decode_volumes(files: DataFrame, mode: str = "thinnest", n: int = 50, axes=(0, 1, 2),
                    rot: int = 0, normalise: bool = True, id_col: str = "volume_id",
-                   content_col: str = "content", rows_per_batch: int = 64) -> DataFrame:
+                   content_col: str = "content", rows_per_batch: int = 64, carry=()) -> DataFrame:
     """S4 + A2/A4/A5/A6/A7 + P7: decode every volume file into slice rows and
-    one header row each. Only the id and the bytes enter the Python worker.
-    Input batches are kept small (each row may be a whole volume)."""
-    spark = files.sparkSession
-    # each input row may be a whole volume: bound Arrow input batches by
-    # bytes (many small files per batch, one or two large ones) and by rows
-    conf = spark.conf
-    if int(conf.get("spark.sql.execution.arrow.maxRecordsPerBatch", "10000")) > 64:
-        conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "64")
-    cur_bytes = conf.get("spark.sql.execution.arrow.maxBytesPerBatch", None)
-    if cur_bytes is None or int(cur_bytes) > MAX_BATCH_BYTES:
-        conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(MAX_BATCH_BYTES))
+    one header row each. Only the id, the bytes and the text columns named in
+    ``carry`` enter the Python worker; these come out on every row of their
+    volume, so nothing has to be joined to pixels afterwards. Input batches
+    are bounded by Spark's own limit of bytes per Arrow batch."""
     src = files.select(F.col(id_col).cast("string").alias("volume_id"),
-                       F.col(content_col).alias("content"))
-    fn = make_decoder(mode, n, axes, rot, normalise, rows_per_batch)
+                       F.col(content_col).alias("content"),
+                       *[F.col(c).cast("string").alias(c) for c in carry])
+    fn = make_decoder(mode, n, axes, rot, normalise, rows_per_batch, tuple(carry))
+    schema = T.StructType(DECODED.fields + [T.StructField(c, T.StringType()) for c in carry])
     # Arrow's pandas conversion turns NaN inside arrays into null; decoded
     # pixels are never null, so a null element is a NaN put back here.
     nan = F.lit(float("nan"))
-    return src.mapInPandas(fn, DECODED).withColumn(
+    return src.mapInPandas(fn, schema).withColumn(
         "pixels", F.transform("pixels", lambda x: F.coalesce(x, nan)))
 
 

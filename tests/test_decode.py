@@ -1,5 +1,5 @@
 """Binary round trips: NIfTI volumes and zip archives written to a temp dir
-and read back through Spark's binaryFile source."""
+and read back through Spark's whole-file source."""
 
 from __future__ import annotations
 

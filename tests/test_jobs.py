@@ -7,6 +7,7 @@ import os
 
 import numpy as np
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from cortexlake.operators import catalog as C
 from cortexlake.operators import cohorts as K
@@ -14,6 +15,10 @@ from cortexlake.plans import jobs as J
 from cortexlake.sources import catalog as SC
 from cortexlake.sources import volumes as V
 
+VOLUME_FILES = T.StructType([T.StructField("object_key", T.StringType()),
+                             T.StructField("volume_file", T.StringType()),
+                             T.StructField("content", T.BinaryType())])
+
 CATALOG = [
     {"Collection": "COLL-A", "PatientID": "P-01", "SeriesDate": "2001-01-01",
      "SeriesNumber": "3", "SeriesDescription": "Ax T1 (post) +C",
@@ -91,6 +96,59 @@ def test_process_subjects_end_to_end_and_rerun(spark, tmpdir_path):
     assert spark.read.parquet(prod_p).count() == 6
 
 
+def test_disjoint_subsets_land_once(spark, tmpdir_path):
+    """A run over a part keeps what other runs have landed, and a run over all
+    of it again adds nothing."""
+    subjects = [100206, 100307]
+    _nifti_dir(tmpdir_path, subjects, shape=(6, 8, 10))
+    files = V.read_volume_files(spark, os.path.join(tmpdir_path, "hcp")).select(
+        F.col("volume_id").alias("volume_file"), "content")
+    slices_p, prod_p = os.path.join(tmpdir_path, "slices"), os.path.join(tmpdir_path, "products")
+    for some in ([subjects[0]], [subjects[1]], subjects, subjects):
+        subj = spark.createDataFrame([(s,) for s in some], "subject long")
+        J.process_subjects(subj, files, slices_p, prod_p, "out", "bkt", n=4)
+    rows = spark.read.parquet(slices_p)
+    cut = rows.filter("slice_no is not null")
+    assert cut.count() == 2 * 3 * 4 and cut.select("target_key").distinct().count() == 24
+    assert {r.subject for r in rows.select("subject").distinct().collect()} == {"100206", "100307"}
+    links = spark.read.parquet(prod_p).select(F.explode("jpgfiles").alias("u"))
+    assert links.join(cut, links.u.endswith(cut.target_key)).count() == 24
+    want = spark.createDataFrame([(r.object_key,) for r in rows.select("object_key").distinct().collect()]
+                                 + [("lost",)], "object_key string")
+    got = {r.object_key: r.outcome for r in J.volume_outcomes(want, slices_p, "hcp").collect()}
+    assert got.pop("lost") == "no file" and set(got.values()) == {"ok"}
+
+
+def test_shared_file_names_stay_apart(spark, tmpdir_path):
+    """Two series whose converter gave the same file name land once each."""
+    manifest = C.build_manifest(spark.createDataFrame(CATALOG, schema=SC.SERIES_CATALOG))
+    roi = [r.object_key for r in C.select_roi(manifest).collect()]
+    data = [V.encode_nifti(np.full((5, 6, 3), i, np.float32) + np.arange(3)) for i in range(2)]
+    vols = spark.createDataFrame([(k, "same.nii.gz", bytearray(d)) for k, d in zip(roi, data)], VOLUME_FILES)
+    meta = spark.createDataFrame([], "series_key string, file_name string, SeriesInstanceUID string, "
+                                     "SeriesDate string, Manufacturer string, ManufacturerModelName string, "
+                                     "spacing_x double, spacing_y double")
+    slices_p = os.path.join(tmpdir_path, "slices")
+    J.process_series(manifest, vols, meta, slices_p, os.path.join(tmpdir_path, "products"), "out", "bkt")
+    cut = spark.read.parquet(slices_p).filter("slice_no is not null")
+    assert cut.count() == 6 and cut.select("target_key").distinct().count() == 6
+    assert {r.object_key: r["count"] for r in cut.groupBy("object_key").count().collect()} == \
+        {k: 3 for k in roi}
+
+
+def test_no_exchange_above_the_decoder(spark):
+    from cortexlake.sources.volumes import decode_volumes
+    files = spark.createDataFrame([("k", "f", bytearray(b""))], VOLUME_FILES)
+    keys = files.select("object_key", F.lit("t").alias("output_tag"))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = decode_volumes(files.join(keys, "object_key"), id_col="volume_file", carry=("output_tag",)) \
+            ._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "Exchange" not in plan[:plan.index("MapInPandas")]
+
+
 def test_process_series_end_to_end(spark, tmpdir_path):
     cat = spark.createDataFrame(CATALOG, schema=SC.SERIES_CATALOG)
     manifest = C.build_manifest(cat)
@@ -101,7 +159,7 @@ def test_process_series_end_to_end(spark, tmpdir_path):
         data = rng.normal(size=(5, 6, 3)).astype(np.float32)
         vol_rows.append((keys[uid], f"/conv/{uid[-5:]}/P_3T_desc(1).nii.gz",
                          bytearray(V.encode_nifti(data))))
-    vols = spark.createDataFrame(vol_rows, "object_key string, volume_file string, content binary")
+    vols = spark.createDataFrame(vol_rows, VOLUME_FILES)
     meta = spark.createDataFrame(
         [(uid, f"IM-{i}.dcm", uid, "2001-01-01", "GE", "M1", 0.9375, 0.5)
          for uid in keys for i in (2, 1)],

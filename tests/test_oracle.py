@@ -35,7 +35,10 @@ def con():
 
 
 def test_every_query_has_an_oracle():
-    missing = set(E.queries()) - set(E.oracle_sql())
+    # of the library itself; training-data queries that SQL cannot express are
+    # held against brute force in tests/llm
+    from cortexlake.plans.queries import QUERIES
+    missing = set(QUERIES) - set(E.oracle_sql())
     assert not missing, missing
 
 
