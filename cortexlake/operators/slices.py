@@ -13,12 +13,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import geometry as G
-from ..session import cut_lineage
 
 STACK_KEYS = ("volume_id", "axis")
-# Upper bound on the rows of an extrema table that is broadcast. The count is
-# taken on the checkpointed table, so the size is known, not estimated.
-MAX_BROADCAST_STACKS = 2_000_000
 
 
 def slice_range(slices: DataFrame, begin: int = 1, end: int = 1, dim: str = "dim") -> DataFrame:
@@ -116,27 +112,13 @@ def _scaled(px: Column, gmin: Column, gmax: Column, has_nan: Column) -> Column:
             .otherwise(F.transform(px, lambda x: (x - gmin) / (gmax - gmin)))
 
 
-def join_stack_table(slices: DataFrame, table: DataFrame, keys=STACK_KEYS,
-                     max_broadcast_rows: int = MAX_BROADCAST_STACKS) -> DataFrame:
-    """Join a per-stack table (one row per key) to the slice rows.
-
-    The per-stack table is checkpointed to the shared checkpoint folder
-    (computed once, lineage cut) and counted; only when its row count is
-    within ``max_broadcast_rows`` is it broadcast, so slice rows stay where
-    they are. Otherwise a shuffle join runs, with AQE's skew split guarding
-    hot stacks."""
-    table = cut_lineage(table)
-    if table.count() <= max_broadcast_rows:
-        table = F.broadcast(table)
-    return slices.join(table, list(keys), "inner")
-
-
-def minmax_normalise(slices: DataFrame, keys=STACK_KEYS, pixels: str = "pixels",
-                     max_broadcast_rows: int = MAX_BROADCAST_STACKS) -> DataFrame:
+def minmax_normalise(slices: DataFrame, keys=STACK_KEYS, pixels: str = "pixels") -> DataFrame:
     """``(x - gmin) / (gmax - gmin)`` with extrema over the whole stack
     (all kept slices of a volume and axis), not per slice."""
     ext = stack_extrema(slices, keys, pixels)
-    j = join_stack_table(slices, ext, keys, max_broadcast_rows)
+    # one extrema row per stack; by its size at run time Spark broadcasts it or
+    # shuffles, and splits a hot stack
+    j = slices.join(ext, list(keys))
     return j.withColumn(pixels, _scaled(F.col(pixels), F.col("gmin"), F.col("gmax"),
                                         F.col("has_nan"))).drop("gmin", "gmax", "has_nan")
 

@@ -109,11 +109,15 @@ def test_minmax_normalise_matches_numpy(spark):
 
 
 def test_minmax_normalise_shuffle_join_path(spark):
-    """Above the broadcast bound the same result comes from a shuffle join."""
+    """Without a broadcast the same result comes from a shuffle join."""
     rng = np.random.default_rng(4)
     stacks = [rng.normal(size=(3, 2, 2)) for _ in range(4)]
-    a = sorted((r.volume_id, r.slice_no, tuple(r.pixels)) for r in
-               S.minmax_normalise(_stack_df(spark, stacks), max_broadcast_rows=0).collect())
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        a = sorted((r.volume_id, r.slice_no, tuple(r.pixels)) for r in
+                   S.minmax_normalise(_stack_df(spark, stacks)).collect())
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     b = sorted((r.volume_id, r.slice_no, tuple(r.pixels)) for r in
                S.minmax_normalise(_stack_df(spark, stacks)).collect())
     assert a == b
