@@ -129,16 +129,25 @@ def slices_table(spark: SparkSession, sf_dir: str) -> DataFrame:
         "slice_no", F.lit(8).alias("height"), F.lit(8).alias("width"), "pixels", "dim")
 
 
+# A vector of 64 numbers is a volume of one of these shapes, by
+# vec_id modulo 3: no two extents are equal, and every axis is the thinnest once.
+VOLUME_SHAPES = [(2, 4, 8), (4, 8, 2), (8, 2, 4)]
+
+
 def volumes3d(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A vector is a 4x4x4 volume, x fastest (flat = x + 4y + 16z)."""
+    """A vector is a small volume, x fastest (flat = x + nx*y + nx*ny*z)."""
     e = read_table(spark, sf_dir, "embeddings")
     return e.select(F.col("vec_id").alias("volume_id"),
-                    F.array(F.lit(4), F.lit(4), F.lit(4)).alias("shape"),
+                    F.element_at(F.array(*[F.array(*map(F.lit, s)) for s in VOLUME_SHAPES]),
+                                 (F.col("vec_id") % 3 + 1).cast("int")).alias("shape"),
                     F.transform("embedding", lambda x: x.cast("double")).alias("voxels"))
 
 
 VOLUMES3D_SQL = """volumes3d as (
-  select vec_id as volume_id, list_transform(embedding, lambda x: cast(x as double)) as voxels
+  select vec_id as volume_id, case vec_id % 3 when 0 then 2 when 1 then 4 else 8 end as nx,
+         case vec_id % 3 when 0 then 4 when 1 then 8 else 2 end as ny,
+         case vec_id % 3 when 0 then 8 when 1 then 2 else 4 end as nz,
+         list_transform(embedding, lambda x: cast(x as double)) as voxels
   from embeddings)"""
 
 
@@ -201,22 +210,39 @@ IMAGE_SET_SQL = """image_set as (
 
 
 # ------------------------------------------------------------ volume files
+def _packed_volume(vec_id: int, values) -> bytes:
+    """File bytes written field by field from the published header layout, on
+    their own: nothing of the decoder is used."""
+    import gzip
+    import struct
+
+    shape = (2, 4, 4, 2) if vec_id % 10 == 9 else VOLUME_SHAPES[vec_id % 3]
+    order = "<>"[vec_id // 3 % 2]
+    code, letter, slope = [(16, "f", 0.0), (64, "d", 0.0), (16, "f", 0.5)][vec_id // 6 % 3]
+    header = bytearray(352)
+    struct.pack_into(order + "i", header, 0, 348)
+    struct.pack_into(order + "8h", header, 40, len(shape), *shape, *[1] * (7 - len(shape)))
+    struct.pack_into(order + "2h", header, 70, code, 8 * struct.calcsize(letter))
+    struct.pack_into(order + "8f", header, 76, 1.0, 0.5, 0.75, 1.25, 1.0, 0.0, 0.0, 0.0)
+    struct.pack_into(order + "3f", header, 108, 352.0, slope, 0.0)
+    header[344:348] = b"n+1\0"
+    scaled = [float(v) / (slope or 1.0) for v in values]
+    file = gzip.compress(bytes(header) + struct.pack(f"{order}{len(scaled)}{letter}", *scaled), 1, mtime=0)
+    return file[:len(file) // 2] if vec_id % 25 == 3 else file
+
+
 def volume_files(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Each embedding vector written as a gzip NIfTI-1 file (4x4x4 float32,
-    x fastest) by a ``mapInPandas`` encoder: file bytes for the decode job
-    that Spark derives from the given table."""
-    import numpy as np
+    """Each embedding vector packed as a gzip NIfTI-1 file of the shape above:
+    file bytes for the decode job that Spark derives from the given table.
+    Byte order, number type and scaling vary with vec_id; one in ten is 4-D (to
+    be skipped), one in 25 ends in the middle (to be reported)."""
     import pandas as pd
 
-    from .sources.volumes import encode_nifti
-
     def enc(batches):
         for pdf in batches:
             yield pd.DataFrame({
                 "volume_id": pdf["vec_id"].astype(str),
-                "content": [encode_nifti(np.asarray(v, dtype=np.float32).reshape((4, 4, 4), order="F"),
-                                         (1.0, 0.5, 0.75, 1.25))
-                            for v in pdf["embedding"]],
+                "content": [_packed_volume(int(i), v) for i, v in zip(pdf["vec_id"], pdf["embedding"])],
             })
     e = read_table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
     return e.mapInPandas(enc, file_rows("volume_id"))
@@ -234,26 +260,39 @@ def dicom_files(spark: SparkSession, sf_dir: str) -> DataFrame:
                  F.col("l_partkey").cast("string"), F.lit(".dcm")).alias("file_name"),
         F.concat(F.lit(SERIES_ROOT), F.lpad(k.cast("string"), 40, "7")).alias("SeriesInstanceUID"),
         F.substring(F.col("l_shipdate").cast("string"), 1, 10).alias("SeriesDate"),
-        F.when(F.col("l_returnflag") == "A", F.lit("SIEMENS"))
+        F.when(F.col("l_suppkey") % 11 == 0, F.lit(None).cast("string"))
+         .when(F.col("l_returnflag") == "A", F.lit("SIEMENS"))
          .when(F.col("l_returnflag") == "N", F.lit("GE MEDICAL SYSTEMS"))
          .otherwise(F.lit("Philips")).alias("Manufacturer"),
         F.concat(F.lit("MODEL-"), F.col("l_linestatus"), (F.col("l_suppkey") % 10).cast("string"))
          .alias("ManufacturerModelName"),
-        (F.col("l_discount") * 10 + 0.5).cast("float").alias("spacing_x"),
-        (F.col("l_tax") * 10 + 0.5).cast("float").alias("spacing_y"),
+        # spacing is decimal text in such files
+        (F.col("l_discount") * 10 + 0.5).cast("decimal(8,4)").cast("string").alias("spacing_x"),
+        (F.col("l_tax") * 10 + 0.5).cast("decimal(8,4)").cast("string").alias("spacing_y"),
     )
 
 
+def landed_headers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Header rows of catalog series: one without slices has no file, one of a
+    single slice was skipped, one without a series number could not be read."""
+    from .operators.catalog import with_catalog_columns
+    cat = with_catalog_columns(series_catalog(spark, sf_dir)).filter("n_slices > 0")
+    status = F.when(F.col("n_slices") == 1, F.lit("skipped")).when(
+        F.col("SeriesNumber").isNull(), F.lit("error")).otherwise(F.lit("ok"))
+    return cat.select("series_uid", "object_key", status.alias("status"),
+                      F.when(status != "ok", F.concat(F.lit("header: "), status)).alias("message"))
+
+
 DICOM_FILES_SQL = """dicom_files as (
   select concat('1.3.6.1.4.1.14519.5.2.1.', lpad(cast(l_orderkey as varchar), 40, '7')) as series_key,
          concat('IM-', lpad(cast(l_linenumber as varchar), 4, '0'), '-', cast(l_partkey as varchar), '.dcm') as file_name,
          concat('1.3.6.1.4.1.14519.5.2.1.', lpad(cast(l_orderkey as varchar), 40, '7')) as SeriesInstanceUID,
          substr(cast(l_shipdate as varchar), 1, 10) as SeriesDate,
-         case when l_returnflag = 'A' then 'SIEMENS' when l_returnflag = 'N' then 'GE MEDICAL SYSTEMS'
+         case when l_suppkey % 11 = 0 then null when l_returnflag = 'A' then 'SIEMENS' when l_returnflag = 'N' then 'GE MEDICAL SYSTEMS'
               else 'Philips' end as Manufacturer,
          concat('MODEL-', l_linestatus, cast(l_suppkey % 10 as varchar)) as ManufacturerModelName,
-         cast(l_discount * 10 + 0.5 as float) as spacing_x,
-         cast(l_tax * 10 + 0.5 as float) as spacing_y
+         cast(cast(l_discount * 10 + 0.5 as decimal(8,4)) as varchar) as spacing_x,
+         cast(cast(l_tax * 10 + 0.5 as decimal(8,4)) as varchar) as spacing_y
   from lineitem)"""
 
 

@@ -60,16 +60,20 @@ def roi_predicate(key: T.ColumnOrName) -> Column:
     return cond
 
 
-def select_roi(df: DataFrame, key: str = "object_key") -> DataFrame:
-    """P4 as a filter (null keys are dropped, never raised on)."""
-    return df.filter(F.coalesce(roi_predicate(key), F.lit(False)))
+def select_roi(df: DataFrame, key: str = "object_key", description_only: bool = False) -> DataFrame:
+    """P4 as a filter (null keys are dropped, never raised on). With
+    ``description_only`` the markers are looked for in the key's description
+    part (the last folder) instead of the whole key."""
+    where = F.try_element_at(F.split(F.col(key), "/", -1), F.lit(-2)) if description_only else key
+    return df.filter(F.coalesce(roi_predicate(where), F.lit(False)))
 
 
 def other_axis_tag(key: T.ColumnOrName) -> Column:
-    """The key's object tag with every non-word character -> ``_``.
+    """The key's object tag with every character that Python's ``\\w``
+    does not hold (letters and numerals of any script, ``_``) -> ``_``.
     (The landing job's later literal replace of a hyphenated collection
     prefix can never match once hyphens are gone, so it is not emulated.)"""
-    return F.regexp_replace(T.object_tag(key), r"(?U)\W", "_")
+    return F.regexp_replace(T.object_tag(key), r"[^\p{L}\p{N}_]", "_")
 
 
 def axis_of_key(key: T.ColumnOrName) -> Column:

@@ -55,18 +55,23 @@ def build_cohorts(products: DataFrame, store_id: T.ColumnOrName | None = None,
     64-bit hash of the natural key (stable across re-runs, no global
     numbering pass). ``other_*`` axes belong to no cohort.
 
-    Rows are emitted through ``inline`` of a 0-or-1 element array rather
-    than a ``filter``: when ``products`` is computed on the fly (not read
-    from the product table), a filter on ``scan_axis`` would be pushed below
-    the projection and the whole key/axis derivation evaluated twice."""
+    On the product table the axis is a partition (``axis_family``): a plain
+    filter, and a later filter on ``name``, prune its folders. Products
+    computed on the fly have no such column; there rows come out of ``inline``
+    of a 0-or-1 element array, as a filter on ``scan_axis`` would be pushed
+    below the projection and the whole key derivation evaluated twice."""
+    stored = "axis_family" in products.columns
     sid = F.lit(None).cast("int") if store_id is None else T._c(store_id).cast("int")
     row = F.struct(
         F.xxhash64("source", "series_uid", "scan_axis", "output_tag").alias("uid"),
-        cohort_name("source", "scan_axis").alias("name"),
+        cohort_name("source", "axis_family" if stored else "scan_axis").alias("name"),
         F.transform("jpgfiles", lambda u: stored_path(u, bucket)).alias("images"),
         sid.alias("store_id"),
         F.col("source").alias("source"), F.col("series_uid").alias("series_uid"),
         F.col("scan_axis").alias("scan_axis"))
+    if stored:
+        return products.filter(F.col("axis_family").isin(*COHORT_AXES)) \
+            .select(row.alias("r")).select("r.*")
     keep = F.col("scan_axis").isin(*COHORT_AXES)
     return products.select(F.inline(F.filter(F.array(row), lambda _r: keep)))
 
@@ -176,14 +181,14 @@ def pending(manifest: DataFrame, landed: DataFrame, key: str = "object_key") ->
 
 def insert_if_absent(existing: DataFrame, incoming: DataFrame, key: str = "name") -> DataFrame:
     """Incoming names, de-duplicated; a name no existing row has is
-    ``inserted`` with a 63-bit hash of the name as its uid (LONG; the same on
-    every run, without a numbering pass), otherwise it is rejected as
+    ``inserted`` with the first 60 bits of the name's MD5 as its uid (LONG; the
+    same on every run, without a numbering pass), otherwise it is rejected as
     ``exists`` with the uid it already has. Returns ``name, uid, status``."""
     inc = incoming.select(key).filter(F.col(key).isNotNull()).distinct()
     have = first_per_name(existing.select("uid", key)).select(key, F.col("uid").alias("_uid"))
     j = inc.join(have, key, "left")
     new = j.filter(F.col("_uid").isNull()).select(
-        key, F.xxhash64(key).bitwiseAND(F.lit((1 << 63) - 1)).alias("uid"),
+        key, F.conv(F.substring(F.md5(key), 1, 15), 16, 10).cast("long").alias("uid"),
         F.lit("inserted").alias("status"))
     old = j.filter(F.col("_uid").isNotNull()).select(
         key, F.col("_uid").cast("long").alias("uid"), F.lit("exists").alias("status"))
@@ -203,6 +208,17 @@ def delete_by_name(stores: DataFrame, images: DataFrame, names: DataFrame):
     return kept, imgs
 
 
+def stores_after_changes(stores: DataFrame, images: DataFrame, inserts: DataFrame,
+                         deletes: DataFrame):
+    """J5 + J6 together: (stores, images) after a batch of names to insert and
+    one to delete, both judged on the stores as they were: a name in both lists
+    loses its store if it had one and gets one if it had none."""
+    new = insert_if_absent(stores, inserts).filter(F.col("status") == "inserted")
+    kept, imgs = delete_by_name(stores, images, deletes)
+    return kept.select(F.col("uid").cast("long").alias("uid"), "name").unionByName(
+        new.select("uid", "name")), imgs
+
+
 # -------------------------------------------------------------- G2 / K7 pre
 def count_completed(status: DataFrame, ok: Column) -> DataFrame:
     """Successes and total (one row; partial counts per task)."""

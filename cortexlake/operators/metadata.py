@@ -45,9 +45,10 @@ def _printed(c: str):
 
 def series_metadata_rows(volumes: DataFrame, meta: DataFrame, bucket: str,
                          out_dir: str, series: str = "series_key") -> DataFrame:
-    """D7 rows of archive series (J2 + P5 + F16 + A10): each volume of a
+    """D7 rows of archive series (J2 + P5 + A10): each volume of a
     series gets that series' first-file metadata (equi-join on the series
     key; AQE broadcasts the metadata side when it is small at run time).
+    Scanner spacing is decimal text and stays the text it was.
 
     ``volumes``: ``series_key, object_key, volume_file, n_slices``.
     """
@@ -57,15 +58,14 @@ def series_metadata_rows(volumes: DataFrame, meta: DataFrame, bucket: str,
         "_prefix": T.output_prefix(out_dir, T.object_tag("object_key")),
         "_tag": T.output_tag_from_file("volume_file"),
     })
-    j = T.with_python_str(j, "spacing_x", "pixel_spacing_x")
-    j = T.with_python_str(j, "spacing_y", "pixel_spacing_y")
     return j.select(
         _printed("SeriesInstanceUID").alias("series_uid"),
         _printed("SeriesDate").alias("series_date"),
         "scan_axis",
         _printed("Manufacturer").alias("manufacturer"),
         _printed("ManufacturerModelName").alias("model_name"),
-        "pixel_spacing_x", "pixel_spacing_y",
+        _printed("spacing_x").alias("pixel_spacing_x"),
+        _printed("spacing_y").alias("pixel_spacing_y"),
         L.enumerate_links("_prefix", "_tag", "n_slices", bucket).alias("jpgfiles"),
         "object_key", "_tag",
     ).withColumnRenamed("_tag", "output_tag")

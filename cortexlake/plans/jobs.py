@@ -138,14 +138,25 @@ def volume_outcomes(wanted: DataFrame, slices_path: str, source: str) -> DataFra
     ``object_key``."""
     from ..sinks.writers import read_existing
     have = read_existing(wanted.sparkSession, slices_path)
-    keys = wanted.select("object_key").distinct()
-    if have is None:
-        return keys.select("object_key", F.lit("no file").alias("outcome"),
-                           F.lit(None).cast("string").alias("message"))
-    rows = have.filter((F.col("source") == source) & F.col("axis").isNull()).select(
-        "object_key", "status", "message")
-    return keys.join(rows, "object_key", "left").select(
-        "object_key", F.coalesce("status", F.lit("no file")).alias("outcome"), "message")
+    rows = wanted.sparkSession.createDataFrame([], "object_key string, status string, message string") \
+        if have is None else have.filter((F.col("source") == source) & F.col("axis").isNull())
+    return object_outcomes(wanted, rows)
+
+
+def object_outcomes(wanted: DataFrame, headers: DataFrame, described: DataFrame | None = None,
+                    keys: tuple[str, ...] = ("object_key",)) -> DataFrame:
+    """The same from header rows (``keys, status, message``). With ``described``
+    (column ``series_uid``: the series that have scanner metadata) ``wanted``
+    has ``series_uid`` too, and a decoded object without it is ``no metadata``."""
+    names = [*keys, *(["series_uid"] if described is not None and "series_uid" not in keys else [])]
+    out = wanted.select(*names).distinct().join(
+        headers.select(*keys, "status", "message"), list(keys), "left")
+    outcome = F.coalesce("status", F.lit("no file"))
+    if described is not None:
+        out = out.join(described.select("series_uid", F.lit(True).alias("_has")).distinct(),
+                       "series_uid", "left")
+        outcome = F.when((outcome == "ok") & F.col("_has").isNull(), F.lit("no metadata")).otherwise(outcome)
+    return out.select(*names, outcome.alias("outcome"), "message")
 
 
 # ------------------------------------------------------------ E5 - E8
@@ -173,6 +184,14 @@ def store_job(stores: DataFrame, images: DataFrame, bucket: str,
     return stores_json(s, images, bucket)
 
 
+def land_store_changes(stores: DataFrame, images: DataFrame, inserts: DataFrame,
+                       deletes: DataFrame, path: str) -> None:
+    """E8 with its result landed as a new version of both tables at ``path``."""
+    from ..operators.cohorts import stores_after_changes
+    from ..sinks.writers import write_stores
+    write_stores(*stores_after_changes(stores, images, inserts, deletes), path)
+
+
 def store_changes_job(stores: DataFrame, images: DataFrame, inserts: DataFrame | None = None,
                       deletes: DataFrame | None = None):
     """``POST``/``DELETE /Store/<name>`` for batches of names. Returns

@@ -101,6 +101,9 @@ oracle("select_roi", with_catalog(
     "select series_uid, object_key from manifest where contains(object_key, 'SAG') or "
     "contains(object_key, 'COR') or contains(object_key, 'AXIAL') or contains(object_key, 'AX_')",
     True))
+oracle("select_roi_description", with_catalog(
+    "select series_uid, object_key from (select *, string_split(object_key, '/')[-2] as d from manifest) "
+    "where contains(d, 'SAG') or contains(d, 'COR') or contains(d, 'AXIAL') or contains(d, 'AX_')", True))
 oracle("classify_axis", with_catalog(
     f"select series_uid, {sql_axis('object_key')} as scan_axis from manifest", True))
 oracle("axis_counts", with_catalog(
@@ -164,34 +167,34 @@ oracle("slice_range", with_ctes(fx.SLICE_STACK_SQL) +
        "select volume_id, slice_no, dim from slice_stack where slice_no >= least(5, dim) "
        "and slice_no < greatest(dim - 5, 0)")
 
-# voxel index (0-based) of pixel p of slice j; 4x4x4 volumes, x fastest
-_VOX = {
-    0: "j + 4 * (p // 4) + 16 * (p % 4)",      # sagittal [y][z]
-    1: "(p // 4) + 4 * j + 16 * (p % 4)",      # coronal  [x][z]
-    2: "(p // 4) + 4 * (p % 4) + 16 * j",      # axial    [x][y]
-}
+# a plane along each axis: sagittal [y][z], coronal [x][z], axial [x][y]
+_PLANE = {0: ("ny", "nz", "nx"), 1: ("nx", "nz", "ny"), 2: ("nx", "ny", "nz")}
+_VOX = {0: "j + nx * r + nx * ny * c", 1: "r + nx * j + nx * ny * c", 2: "r + nx * c + nx * ny * j"}
+# row and column in the plane that position p of the rotated slice comes from
+_FROM = {0: ("p // w", "p % w"), 1: ("p % h", "w - 1 - p // h"),
+         2: ("h - 1 - p // w", "w - 1 - p % w"), 3: ("h - 1 - p % h", "p // h")}
 
 
-def _slices_sql(axis: int, pixel_expr: str = "p") -> str:
-    vox = _VOX[axis].replace("p", f"({pixel_expr})") if pixel_expr != "p" else _VOX[axis]
-    return (with_ctes(fx.VOLUMES3D_SQL) +
-            f"select volume_id, slice_no, p as pixel, voxels[{vox} + 1] as value from "
-            f"(select volume_id, voxels, j, j as slice_no, unnest(range(0, 16)) as p from "
-            f"(select volume_id, voxels, unnest(range(0, 4)) as j from volumes3d) a) b")
+def _slices_sql(axis: int, rot: int = 0, where: str = "true", first: str = "0",
+                end: str = "ext") -> str:
+    h, w, ext = _PLANE[axis]
+    r, c = _FROM[rot]
+    oh, ow = ("w", "h") if rot % 2 else ("h", "w")
+    return (f"select volume_id, cast(j - f as int) as slice_no, cast({oh} as int) as height, "
+            f"cast({ow} as int) as width, cast(p as int) as pixel, voxels[{_VOX[axis]} + 1] as value "
+            f"from (select *, {r} as r, {c} as c from (select *, unnest(range(0, h * w)) as p "
+            f"from (select *, unnest(range(f, e)) as j from (select *, {first} as f, {end} as e "
+            f"from (select *, {h} as h, {w} as w, {ext} as ext from volumes3d where {where})))))")
 
 
+_VOLUMES = with_ctes(fx.VOLUMES3D_SQL)
 for _a, _name in enumerate(("sag", "cor", "ax")):
-    oracle(f"slice_all_{_name}",
-           f"select volume_id, cast({_a} as int) as axis, cast(slice_no as int) as slice_no, "
-           f"cast(pixel as int) as pixel, value from ({_slices_sql(_a)})")
-
-# rotation source position of output o in a 4x4 slice (H = W = 4)
-_ROT = {1: "(p % 4) * 4 + (3 - p // 4)", 2: "(3 - p // 4) * 4 + (3 - p % 4)",
-        3: "(3 - p % 4) * 4 + p // 4"}
-for _k, _src in _ROT.items():
-    oracle(f"rot90_{_k}",
-           f"select volume_id, cast(slice_no as int) as slice_no, 4 as height, 4 as width, "
-           f"cast(pixel as int) as pixel, value from ({_slices_sql(2, _src)})")
+    oracle(f"slice_all_{_name}", _VOLUMES +
+           f"select volume_id, cast({_a} as int) as axis, slice_no, pixel, value from ({_slices_sql(_a)})")
+
+for _k in (1, 2, 3):
+    oracle(f"rot90_{_k}", _VOLUMES +
+           f"select volume_id, slice_no, height, width, pixel, value from ({_slices_sql(2, _k)})")
 
 _SHAPES3 = with_ctes(fx.VOLUME_SHAPES_SQL)
 oracle("detect_slice_axis", _SHAPES3 +
@@ -235,23 +238,27 @@ oracle("axis_fanout",
        "from customer)")
 
 # ------------------------------------------------------------------ decode
-oracle("decode_volumes",
-       "select cast(volume_id as varchar) as volume_id, cast(0 as int) as axis, "
-       f"cast(slice_no as int) as slice_no, cast(pixel as int) as pixel, value from ({_slices_sql(0)})")
-# central n=2 of an extent-4 axis keeps slices 1 and 2 (renumbered 0, 1),
-# rotated a quarter turn, normalised over the two-slice stack
-oracle("decode_normalised", with_ctes(fx.VOLUMES3D_SQL) +
-       "select cast(volume_id as varchar) as volume_id, cast(2 as int) as axis, "
-       "cast(slice_no as int) as slice_no, 4 as height, 4 as width, cast(pixel as int) as pixel, "
-       "case when gmax = gmin then 'NaN'::double else (v - gmin) / (gmax - gmin) end as value from "
-       "(select *, min(v) over (partition by volume_id) as gmin, max(v) over (partition by volume_id) as gmax from "
-       "(select volume_id, j - 1 as slice_no, p as pixel, "
-       "voxels[((p % 4) * 4 + (3 - p // 4)) // 4 + 4 * (((p % 4) * 4 + (3 - p // 4)) % 4) + 16 * j + 1] as v from "
-       "(select volume_id, voxels, j, unnest(range(0, 16)) as p from "
-       "(select volume_id, voxels, unnest(range(1, 3)) as j from volumes3d) a) b) c) d")
-oracle("decode_headers",
-       "select cast(vec_id as varchar) as volume_id, 'ok' as status, '4x4x4' as shape, "
-       "cast(cast(0.5 as float) as double) as spacing_x from embeddings")
+# the files that can be read: not damaged, three extents
+_READ = "volume_id % 25 <> 3 and volume_id % 10 <> 9"
+oracle("decode_volumes", _VOLUMES + " union all ".join(
+    f"select cast(volume_id as varchar) as volume_id, cast({a} as int) as axis, slice_no, pixel, value "
+    f"from ({_slices_sql(a, where=f'{_READ} and volume_id % 3 = {m}')})"
+    for m, a in enumerate((0, 2, 1))))
+# two central slices along z (one where z has two), a quarter turn, normalised
+# over the stack
+oracle("decode_normalised", _VOLUMES +
+       "select cast(volume_id as varchar) as volume_id, cast(2 as int) as axis, slice_no, height, width, pixel, "
+       "case when gmax = gmin then 'NaN'::double else (value - gmin) / (gmax - gmin) end as value from "
+       "(select *, min(value) over (partition by volume_id) as gmin, "
+       "max(value) over (partition by volume_id) as gmax from ("
+       + _slices_sql(2, 1, _READ, "ext // 2 - 1",
+                     "case when ext // 2 + 1 >= ext then ext - 1 else ext // 2 + 1 end") + "))")
+oracle("decode_headers", _VOLUMES +
+       "select cast(volume_id as varchar) as volume_id, case when volume_id % 25 = 3 then 'error' "
+       "when volume_id % 10 = 9 then 'skipped' else 'ok' end as status, "
+       "case when volume_id % 25 = 3 then null when volume_id % 10 = 9 then '2x4x4x2' "
+       "else concat(nx, 'x', ny, 'x', nz) end as shape, "
+       "case when volume_id % 25 = 3 then null else cast(0.5 as double) end as spacing_x from volumes3d")
 
 # ---------------------------------------------------------------- metadata
 _FIRST = ("first_meta as (select series_key, m.SeriesInstanceUID, m.SeriesDate, m.Manufacturer, "
@@ -276,16 +283,27 @@ def _links_sql(prefix: str, tag: str, n: str) -> str:
 
 
 oracle("series_metadata", with_ctes(fx.SERIES_CATALOG_SQL, MANIFEST_CTE, fx.DICOM_FILES_SQL, _FIRST) +
-       "select coalesce(f.SeriesInstanceUID, 'NULL') as series_uid, coalesce(f.SeriesDate, 'NULL') as series_date, "
-       f"{sql_axis('m.object_key')} as scan_axis, coalesce(f.Manufacturer, 'NULL') as manufacturer, "
-       "coalesce(f.ManufacturerModelName, 'NULL') as model_name, "
-       "cast(cast(f.spacing_x as double) as varchar) as pixel_spacing_x, "
-       "cast(cast(f.spacing_y as double) as varchar) as pixel_spacing_y, "
+       "select coalesce(f.SeriesInstanceUID, 'None') as series_uid, coalesce(f.SeriesDate, 'None') as series_date, "
+       f"{sql_axis('m.object_key')} as scan_axis, coalesce(f.Manufacturer, 'None') as manufacturer, "
+       "coalesce(f.ManufacturerModelName, 'None') as model_name, "
+       "coalesce(f.spacing_x, 'None') as pixel_spacing_x, coalesce(f.spacing_y, 'None') as pixel_spacing_y, "
        "cast(m.n_slices as int) as n_links, "
        + _links_sql(f"concat('{OUT_DIR}/', {sql_tag('m.object_key')})", "m.tag", "m.n_slices") +
        f" as jpgfiles from (select *, {_TAG_FILE} as tag from manifest) m "
        "join first_meta f on m.series_uid = f.series_key")
 
+oracle("product_sink_columns",
+       'select series_uid as "series instance uid", series_date as "series date", scan_axis as "scan axis", '
+       'manufacturer, model_name as "manufacturer model name", pixel_spacing_x as "pixel spacing-x", '
+       f'pixel_spacing_y as "pixel spacing-y", jpgfiles from ({ORACLE["series_metadata"]})')
+oracle("job_outcomes", with_ctes(fx.SERIES_CATALOG_SQL, MANIFEST_CTE, fx.DICOM_FILES_SQL) +
+       "select series_uid, object_key, case when n_slices = 0 then 'no file' when s <> 'ok' then s "
+       "when series_uid not in (select series_key from dicom_files) then 'no metadata' else 'ok' end as outcome, "
+       "case when n_slices > 0 and s <> 'ok' then 'header: ' || s end as message from (select *, "
+       "case when n_slices = 1 then 'skipped' when SeriesNumber is null then 'error' else 'ok' end as s "
+       "from manifest) where contains(object_key, 'SAG') or contains(object_key, 'COR') or "
+       "contains(object_key, 'AXIAL') or contains(object_key, 'AX_')")
+
 _SUBJ_AX = ("subj as (select volume_id as subject, shape, pixdim, axis, axis_name, "
             "shape[axis + 1] as dim from (select *, unnest([{'axis': 0, 'axis_name': 'sag'}, "
             "{'axis': 1, 'axis_name': 'cor'}, {'axis': 2, 'axis_name': 'ax'}], recursive := true) "
@@ -347,14 +365,23 @@ oracle("stores_json", _SI +
        "from store s left join image_set i on s.uid = i.store_id left join (select store_id, "
        "cast(ceil(count(*) / 256.0) as bigint) as pages from image_set group by store_id) p "
        "on s.uid = p.store_id) t group by store_uid, store_name, page")
+_NEW_UID = "cast('0x' || substr(md5(n.name), 1, 15) as bigint)"
 oracle("insert_if_absent", with_ctes(fx.STORE_SQL) +
-       "select n.name, case when s.uid is null then 'inserted' else 'exists' end as status, "
+       f"select n.name, coalesce(s.uid, {_NEW_UID}) as uid, "
+       "case when s.uid is null then 'inserted' else 'exists' end as status, "
        "cast(s.uid as bigint) as existing_uid from (select distinct name from (select r_name as name from region "
        "union all select n_name from nation union all select c_mktsegment from customer) u "
        "where name is not null) n left join (select name, min(uid) as uid from store group by name) s "
        "on n.name = s.name")
 _DEL = ("gone as (select min(uid) as uid from store where name in (select n_name from nation "
         "where n_regionkey in (select r_regionkey from region where r_name = 'EUROPE')) group by name)")
+oracle("store_by_name", with_ctes(fx.STORE_SQL) +
+       "select uid, name from store where name = 'NATION_7' order by uid limit 1")
+oracle("stores_after_changes", with_ctes(fx.STORE_SQL, _DEL) +
+       "select cast(uid as bigint) as uid, name from store where uid not in (select uid from gone) union all "
+       f"select {_NEW_UID}, n.name from (select r_name as name from region union select n_name from nation "
+       "union select c_mktsegment from customer) n "
+       "where n.name is not null and n.name not in (select name from store)")
 oracle("delete_by_name", with_ctes(fx.STORE_SQL, _DEL) +
        "select uid, name from store where uid not in (select uid from gone)")
 oracle("delete_by_name_images", with_ctes(fx.STORE_SQL, fx.IMAGE_SET_SQL, _DEL) +

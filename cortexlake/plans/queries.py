@@ -99,6 +99,11 @@ def q_select_roi(spark, sf_dir):
     return C.select_roi(C.build_manifest(fx.series_catalog(spark, sf_dir)))
 
 
+@query("select_roi_description")
+def q_select_roi_description(spark, sf_dir):
+    return C.select_roi(C.build_manifest(fx.series_catalog(spark, sf_dir)), description_only=True)
+
+
 @query("classify_axis")
 def q_classify_axis(spark, sf_dir):
     m = C.build_manifest(fx.series_catalog(spark, sf_dir))
@@ -335,6 +340,21 @@ def q_series_metadata(spark, sf_dir):
                        F.array_join("jpgfiles", "|").alias("jpgfiles"))
 
 
+@query("product_sink_columns")
+def q_product_sink_columns(spark, sf_dir):
+    meta = M.first_file_metadata(fx.dicom_files(spark, sf_dir))
+    rows = M.series_metadata_rows(_series_volumes(spark, sf_dir), meta, BUCKET, TCIA_OUT_DIR)
+    return M.rename_for_sink(rows).withColumn("jpgfiles", F.array_join("jpgfiles", "|"))
+
+
+@query("job_outcomes")
+def q_job_outcomes(spark, sf_dir):
+    wanted = C.select_roi(C.build_manifest(fx.series_catalog(spark, sf_dir)))
+    return J.object_outcomes(wanted, fx.landed_headers(spark, sf_dir),
+                             fx.dicom_files(spark, sf_dir).select(F.col("series_key").alias("series_uid")),
+                             keys=("series_uid", "object_key"))
+
+
 @query("subject_metadata")
 def q_subject_metadata(spark, sf_dir):
     # subject volumes: a part row is a subject whose volume shape/spacing
@@ -432,13 +452,30 @@ def q_stores_json(spark, sf_dir):
                     F.col("n_images").cast("int").alias("n_images"), "json")
 
 
+def _inserted_names(spark, sf_dir):
+    """Names to insert: some are stores already, most are repeated."""
+    return (read_table(spark, sf_dir, "region").select(F.col("r_name").alias("name"))
+            .unionByName(read_table(spark, sf_dir, "nation").select(F.col("n_name").alias("name")))
+            .unionByName(read_table(spark, sf_dir, "customer").select(F.col("c_mktsegment").alias("name"))))
+
+
+@query("store_by_name")
+def q_store_by_name(spark, sf_dir):
+    s = K.first_by_name(fx.store(spark, sf_dir), "NATION_7")
+    return s.select(F.col("uid").cast("int").alias("uid"), "name")
+
+
+@query("stores_after_changes")
+def q_stores_after_changes(spark, sf_dir):
+    stores, _ = K.stores_after_changes(fx.store(spark, sf_dir), fx.image_set(spark, sf_dir),
+                                       _inserted_names(spark, sf_dir), _deleted_names(spark, sf_dir))
+    return stores
+
+
 @query("insert_if_absent")
 def q_insert_if_absent(spark, sf_dir):
-    incoming = (read_table(spark, sf_dir, "region").select(F.col("r_name").alias("name"))
-                .unionByName(read_table(spark, sf_dir, "nation").select(F.col("n_name").alias("name")))
-                .unionByName(read_table(spark, sf_dir, "customer").select(F.col("c_mktsegment").alias("name"))))
-    r = K.insert_if_absent(fx.store(spark, sf_dir), incoming)
-    return r.select("name", "status", F.when(F.col("status") == "exists", F.col("uid"))
+    r = K.insert_if_absent(fx.store(spark, sf_dir), _inserted_names(spark, sf_dir))
+    return r.select("name", "uid", "status", F.when(F.col("status") == "exists", F.col("uid"))
                     .cast("long").alias("existing_uid"))
 
 

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
 
 from ..functions import links as L
+from ..operators.catalog import axis_family
 from ..session import cut_lineage
 
 PRODUCT_KEY = ("source", "series_uid", "scan_axis", "output_tag")
@@ -36,8 +37,8 @@ def read_existing(spark, path: str) -> DataFrame | None:
 
 def append_products(rows: DataFrame, path: str, key=PRODUCT_KEY) -> DataFrame:
     """K3 + K4: append product rows to the table at ``path``, partitioned by
-    ``source`` and ``scan_axis`` (one directory per axis table). Rows whose
-    natural key is already present are skipped (``left_anti``), so a re-run
+    ``source`` and ``axis_family`` (sag, cor, ax, other: one directory per axis
+    table; the full axis stays a column). Rows whose natural key is already present are skipped (``left_anti``), so a re-run
     or a retried job adds nothing twice. Returns the rows that were new."""
     spark = rows.sparkSession
     # series without a uid share its fill text: their object key tells them apart
@@ -48,7 +49,8 @@ def append_products(rows: DataFrame, path: str, key=PRODUCT_KEY) -> DataFrame:
         incoming = incoming.join(existing.select(*key).distinct(), key, "left_anti")
     # materialise the new rows first: the anti join reads the table we append to
     incoming = cut_lineage(incoming)
-    incoming.write.mode("append").partitionBy("source", "scan_axis").parquet(path)
+    incoming.withColumn("axis_family", axis_family("scan_axis")) \
+        .write.mode("append").partitionBy("source", "axis_family").parquet(path)
     return incoming
 
 
@@ -70,6 +72,13 @@ def append_slices(decoded: DataFrame, path: str) -> None:
      .write.mode("append").partitionBy("source", "axis").parquet(path))
 
 
+def write_stores(stores: DataFrame, images: DataFrame, path: str) -> None:
+    """A new version of the store and image-set tables, in a folder of its
+    own: the version they were computed from stays readable."""
+    stores.write.mode("errorifexists").parquet(f"{path}/stores")
+    images.write.mode("errorifexists").parquet(f"{path}/images")
+
+
 def write_export(export_rows: DataFrame, path: str) -> None:
     """K7: the export manifest of cohort bundles, one folder per bundle."""
     export_rows.write.mode("overwrite").partitionBy("name").parquet(path)

@@ -177,6 +177,56 @@ def test_process_series_end_to_end(spark, tmpdir_path):
     assert spark.read.parquet(prod_p).count() == 2
 
 
+def test_stored_cohort_lookup_prunes_partitions(spark, tmpdir_path):
+    from cortexlake.sinks.writers import append_products
+    rows = spark.createDataFrame(
+        [(f"s{i}", axis, [f"/d/{i}.jpg"], f"t{i}", src) for i, (axis, src) in enumerate(
+            (a, s) for a in ("sag", "cor", "other_x_1", "other_y_2") for s in ("hcp", "tcia"))],
+        "series_uid string, scan_axis string, jpgfiles array<string>, output_tag string, source string")
+    path = os.path.join(tmpdir_path, "products")
+    append_products(rows, path)
+    assert sorted(os.listdir(os.path.join(path, "source=hcp"))) == [
+        "axis_family=cor", "axis_family=other", "axis_family=sag"]
+    found = K.images_by_name(K.build_cohorts(spark.read.parquet(path)), "notumor_sag")
+    assert [(r.name, r.series_uid, r.scan_axis) for r in found.collect()] == [("notumor_sag", "s0", "sag")]
+    scan = next(x for x in found._jdf.queryExecution().executedPlan().toString().splitlines()
+                if "PartitionFilters" in x)
+    kept = scan[scan.index("PartitionFilters"):scan.index("PushedFilters")]
+    assert "axis_family" in kept and "source" in kept
+
+
+def test_land_store_changes(spark, tmpdir_path):
+    stores = spark.createDataFrame([(1, "alpha"), (2, "beta")], "uid int, name string")
+    images = spark.createDataFrame([(10, "x", ["/a.jpg"], 1)],
+                                   "uid long, name string, images array<string>, store_id int")
+    names = [spark.createDataFrame([(n,) for n in ns], "name string")
+             for ns in (["gamma", "beta", None], ["alpha", "gamma"])]
+    path = os.path.join(tmpdir_path, "v2")
+    J.land_store_changes(stores, images, *names, path)
+    got = {r.name: r.uid for r in spark.read.parquet(path + "/stores").collect()}
+    assert got.pop("gamma") > 2 and got == {"beta": 2}
+    assert [r.store_id for r in spark.read.parquet(path + "/images").collect()] == [None]
+
+
+def test_outcomes_and_markers(spark):
+    wanted = spark.createDataFrame([(f"u{k}", k) for k in "abcd"], "series_uid string, object_key string")
+    heads = spark.createDataFrame([("a", "ok", None), ("b", "ok", None), ("c", "error", "bad")],
+                                  "object_key string, status string, message string")
+    got = J.object_outcomes(wanted, heads, spark.createDataFrame([("ua",), ("ua",)], "series_uid string"))
+    assert {r.object_key: (r.outcome, r.message) for r in got.collect()} == {
+        "a": ("ok", None), "b": ("no metadata", None), "c": ("error", "bad"), "d": ("no file", None)}
+    keys = spark.createDataFrame([("p/SAGE/P/D-1/3-T2-9/blob.zip",), ("p/C/P/D-1/3-SAG-9/blob.zip",),
+                                  ("short",), (None,)], "object_key string")
+    assert C.select_roi(keys).count() == 2
+    assert [r.object_key for r in C.select_roi(keys, description_only=True).collect()] == [
+        "p/C/P/D-1/3-SAG-9/blob.zip"]
+    # Python's word characters: letters and numerals of any script, no marks or joiners
+    import re
+    text = "a\u0301\u200db\u00bd\u0661\u4e00\u203f_-"
+    tag = spark.createDataFrame([(f"p/C/P/{text}/blob.zip",)], "k string").select(C.other_axis_tag("k")).first()[0]
+    assert tag == re.sub(r"\W", "_", text)
+
+
 def test_cohort_jobs(spark, tmpdir_path):
     stores = spark.createDataFrame([(1, "alpha"), (2, "beta"), (3, "alpha")], "uid int, name string")
     images = spark.createDataFrame(
