@@ -19,7 +19,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import common as C
@@ -50,15 +50,17 @@ def fingerprint(text: str | None, shingle: int = 4) -> int:
 
 def fingerprints(docs: DataFrame, shingle: int = 4, id_col: str = "doc_id",
                  text_col: str = "text") -> DataFrame:
-    """``doc_id, print`` (the fingerprint as a signed long)."""
+    """``doc_id, key, print``: the XXH64 of the text, which tells rows alike
+    apart from others, and the fingerprint as a signed long."""
     def run(batches):
         for b in C.slices(batches):
-            prints = [fingerprint(x, shingle) for x in b.column(1).to_pylist()]
+            prints = [fingerprint(x, shingle) for x in b.column(2).to_pylist()]
             yield pa.RecordBatch.from_arrays(
-                [b.column(0), pa.array(np.array(prints, np.uint64).view(np.int64))],
-                ["doc_id", "print"])
+                [b.column(0), b.column(1), pa.array(np.array(prints, np.uint64).view(np.int64))],
+                ["doc_id", "key", "print"])
 
-    return C.id_text(docs, id_col, text_col).mapInArrow(run, "doc_id long, print long")
+    return C.id_text(docs, id_col, text_col).select("doc_id", F.xxhash64("text").alias("key"), "text") \
+        .mapInArrow(run, "doc_id long, key long, print long")
 
 
 # ---------------------------------------------------------- covering masks
@@ -161,12 +163,13 @@ def near_links(prints: DataFrame, radius: int = 4, bucket_limit: int = 16_384) -
 
 
 # -------------------------------------------------------------- components
-def components(links: DataFrame, rounds: int = 60) -> DataFrame:
+def components(links: DataFrame) -> DataFrame:
     """``node, root``: connected components of undirected links ``u, v`` by
     alternating large and small stars; roots are the smallest nodes. Minima
-    are pre-aggregated, so a hub costs one row per task in each round."""
+    are pre-aggregated, so a hub costs one row per task in each round. Rounds
+    (about the logarithm of the longest chain) go on until nothing changes."""
     edges, state = links, None
-    for _ in range(rounds):
+    while True:
         both = edges.select("u", "v").unionByName(edges.select(F.col("v").alias("u"),
                                                                F.col("u").alias("v")))
         low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
@@ -180,9 +183,19 @@ def components(links: DataFrame, rounds: int = 60) -> DataFrame:
         edges = C.saved(small, "stars")
         now = edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(20,0)"))).first()
         if now == state:
-            break
+            return edges.select(F.col("u").alias("node"), F.col("v").alias("root"))
         state = now
-    return edges.select(F.col("u").alias("node"), F.col("v").alias("root"))
+
+
+def roots(prints: DataFrame, radius: int = 4, bucket_limit: int = 16_384) -> DataFrame:
+    """``print, root``: every distinct fingerprint and its component's root."""
+    distinct = prints.select("print").distinct()
+    links = near_links(distinct, radius, bucket_limit)
+    if links.isEmpty():
+        return distinct.withColumn("root", F.col("print"))
+    found = components(links)
+    return distinct.join(found, distinct["print"] == found["node"], "left").select(
+        "print", F.coalesce("root", "print").alias("root"))
 
 
 def simhash_components(docs: DataFrame, shingle: int = 4, radius: int = 4,
@@ -196,27 +209,35 @@ def simhash_components(docs: DataFrame, shingle: int = 4, radius: int = 4,
     part but are never a component's id (null if it has no other); repeated
     rows share their component; other columns are ignored."""
     prints = C.saved(fingerprints(docs, shingle, id_col, text_col), "prints")
-    distinct = prints.groupBy("print").agg(F.min("doc_id").alias("least"))
-    links = near_links(distinct.select("print"), radius, bucket_limit)
-    roots = components(links) if not links.isEmpty() else links.select(
-        F.col("u").alias("node"), F.col("v").alias("root"))
-    by_print = distinct.join(roots, distinct["print"] == roots["node"], "left").select(
-        "print", "least", F.coalesce("root", "print").alias("root"))
+    by_print = C.saved(prints.groupBy("print").agg(F.min("doc_id").alias("least"))
+                       .join(roots(prints, radius, bucket_limit), "print"), "roots")
     least = by_print.groupBy("root").agg(F.min("least").alias("component_id"))
     named = C.saved(by_print.join(least, "root").select("print", "component_id"), "named")
     return prints.join(named, "print").select(
         "doc_id", F.lower(F.lpad(F.hex("print"), 16, "0")).alias("fingerprint"), "component_id")
 
 
-def keep_one(docs: DataFrame, shingle: int = 4, radius: int = 4, id_col: str = "doc_id",
-             text_col: str = "text") -> DataFrame:
-    """The rows of ``docs`` without near copies: of every component the row of
-    its smallest doc_id (of repeated rows one; rows without an id that have no
-    other document in reach: one of them)."""
-    found = simhash_components(docs, shingle, radius, id_col=id_col, text_col=text_col)
-    stay = found.filter(F.col("doc_id").eqNullSafe(F.col("component_id"))) \
-        .select(F.col("doc_id").alias("_id")).distinct()
-    order = Window.partitionBy("_id").orderBy(F.col("row")[text_col])
-    return (docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("row"))
-            .join(stay, F.col("row")[id_col].cast("long").eqNullSafe(F.col("_id")))
-            .withColumn("_nth", F.row_number().over(order)).filter("_nth = 1").select("row.*"))
+def keep_one(docs: DataFrame, shingle: int = 4, radius: int = 4, bucket_limit: int = 16_384,
+             id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of ``docs`` without near copies: of every component one row,
+    that of its smallest doc_id (rows without an id come last; where an id is
+    repeated in a component, the text of the smaller XXH64; of rows alike in id
+    and text any one)."""
+    prints = C.saved(fingerprints(docs, shingle, id_col, text_col), "prints")
+    alike = prints.groupBy("print", F.coalesce("doc_id", F.lit(C.NO_ID)).alias("id"), "key") \
+        .agg(F.count("*").alias("n"))
+    by_print = alike.groupBy("print").agg(F.min(F.struct("id", "key", "n")).alias("head"))
+    stay = C.saved(by_print.join(roots(prints, radius, bucket_limit), "print").groupBy("root")
+                   .agg(F.min("head").alias("head")).select(
+                       F.col("head.id").alias("_id"), F.col("head.key").alias("_key"),
+                       F.col("head.n").alias("_n")), "stay")
+    repeated = C.saved(stay.filter("_n > 1"), "repeated")         # rows alike are few: a table of its own
+
+    def of(heads: DataFrame) -> DataFrame:
+        rows = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("row"))
+        return rows.join(heads, (F.coalesce(F.col("row")[id_col].cast("long"), F.lit(C.NO_ID)) == F.col("_id"))
+                         & (F.xxhash64(F.col("row")[text_col].cast("string")) == F.col("_key")))
+
+    one = of(stay.filter("_n = 1")).select("row")
+    many = of(repeated).groupBy("_id", "_key").agg(F.first("row").alias("row")).select("row")
+    return one.unionByName(many).select("row.*")

@@ -195,3 +195,12 @@ def test_near_dedup(docs_of, odd_texts):
     assert sorted(r.doc_id for r in kept) == sorted(set(least.values()))
     assert set(kept[0].asDict()) == set(docs.columns)
     assert simhash.simhash_components(docs_of([])).count() == 0
+
+
+def test_near_dedup_without_ids(docs_of):
+    rows = [(None, prose(i, 60)) for i in range(3) for _ in range(1 + 20 * (i == 0))]   # no id in reach
+    rows += [(None, None)] * 5 + [(None, prose(9, 60)), (9, prose(9, 60)), (9, prose(10, 60))]
+    kept = simhash.keep_one(docs_of(rows)).collect()
+    assert sorted((r.doc_id or -1, r.text or "") for r in kept) == sorted(
+        [(-1, prose(i, 60)) for i in range(3)] + [(-1, ""), (9, prose(9, 60)), (9, prose(10, 60))])
+    assert simhash.keep_one(docs_of([])).count() == 0
