@@ -22,16 +22,21 @@ def _key(line: Column) -> Column:
     return F.struct(F.xxhash64(t).alias("a"), F.xxhash64(F.lit(1), t).alias("b"))
 
 
-def boilerplate(docs: DataFrame, site_col: str, text_col: str = "text",
-                max_ratio: float = 0.05, min_pages: int = 10) -> DataFrame:
-    """``site, lines``: per site the keys of its boilerplate lines."""
-    pages = docs.select(F.col(site_col).cast("string").alias("site"),
-                        F.col(text_col).cast("string").alias("text"))
+def boilerplate(docs: DataFrame, site_col: str, text_col: str = "text", max_ratio: float = 0.05,
+                min_pages: int = 10, copies: bool = True) -> DataFrame:
+    """``site, lines``: per site the keys of its boilerplate lines. Without
+    ``copies``, rows of a site with the same set of lines are one page."""
+    keys = F.array_distinct(F.transform(
+        F.filter(F.split(F.col(text_col).cast("string"), "\n"), lambda x: F.btrim(x, F.lit(" \t\r")) != ""), _key))
+    pages = docs.select(F.col(site_col).cast("string").alias("site"), keys.alias("keys"))
+    if not copies:
+        pages = C.saved(pages.select("site", "keys", F.xxhash64(F.array_sort("keys")).alias("a"),
+                                     F.xxhash64(F.lit(1), F.array_sort("keys")).alias("b"))
+                        .groupBy("site", "a", "b").agg(F.first("keys").alias("keys"))
+                        .select("site", "keys"), "pages")
     totals = pages.groupBy("site").agg(F.count("*").alias("pages"))
-    lines = (pages.filter(F.col("text").isNotNull())
-             .select("site", F.explode(F.array_distinct(F.transform(
-                 F.filter(F.split("text", "\n"), lambda x: F.btrim(x, F.lit(" \t\r")) != ""),
-                 _key))).alias("k"))
+    lines = (pages.filter(F.col("keys").isNotNull())
+             .select("site", F.explode("keys").alias("k"))
              .groupBy("site", "k").agg(F.count("*").alias("n"))
              .filter(F.col("n") >= min_pages))
     return (lines.join(totals, lines["site"].eqNullSafe(totals["site"]))
@@ -40,7 +45,7 @@ def boilerplate(docs: DataFrame, site_col: str, text_col: str = "text",
 
 
 def line_dedup(docs: DataFrame, site_col: str = "source", text_col: str = "text",
-               max_ratio: float = 0.05, min_pages: int = 10) -> DataFrame:
+               max_ratio: float = 0.05, min_pages: int = 10, copies: bool = True) -> DataFrame:
     """Every input row with all its columns in the struct ``row``, the text
     that stays (``kept``) and ``n_lines``, ``n_removed``.
 
@@ -48,8 +53,10 @@ def line_dedup(docs: DataFrame, site_col: str = "source", text_col: str = "text"
     carriage returns; lines that are empty so are never counted or dropped;
     kept lines are unchanged. Null text stays null (no lines); an empty text
     stays empty; a null site is a site of its own; repeated rows count as
-    pages of their own; a site with under ``min_pages`` pages keeps all."""
-    drop = C.saved(boilerplate(docs, site_col, text_col, max_ratio, min_pages), "boilerplate") \
+    pages of their own (as in ``ORACLE``) or, without ``copies``, rows with
+    the same set of lines as one; a site with under ``min_pages`` pages keeps
+    all."""
+    drop = C.saved(boilerplate(docs, site_col, text_col, max_ratio, min_pages, copies), "boilerplate") \
         .select(F.col("site").alias("_site"), F.col("lines").alias("_lines"))
     rows = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("row"))
     text = F.col("row")[text_col].cast("string")

@@ -70,6 +70,19 @@ def test_lines(docs_of):
     assert line_dedup.line_dedup(docs_of([])).count() == 0
 
 
+def test_copies_are_one_page_in_the_pipeline(spark, docs_of):
+    import corpus_pipeline as P
+    copy = prose(9999, 5) + "\n" + prose(9998, 5)
+    rows = [(i, f"menu here\n{prose(i, 5)}", "en", "a") for i in range(40)]
+    rows += [(100 + i, copy + " \n" * (i % 2), "en", "a") for i in range(30)]      # the same lines
+    rows += [(200 + i, None if i % 2 else "", "en", "a") for i in range(20)]
+    rows += [(300 + i, copy, "en", "b") for i in range(30)]
+    got = {r.doc_id: r.text for r in P.stage_lines(spark, docs_of(rows), "").collect()}
+    assert len(got) == len(rows)
+    for i, t, _, _ in rows:
+        assert got[i] == (t.split("\n")[1] if i < 40 else t)
+
+
 # ------------------------------------------------------------ substring
 def brute_substring(rows, k=13):
     first: dict = {}
