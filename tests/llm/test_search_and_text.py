@@ -105,6 +105,22 @@ def test_main_text_roles():
     assert html_extract.main_text("<ul><li><a>one link</a></ul><p>text", set()) == "text"
 
 
+@pytest.mark.parametrize("start, end", [
+    ("<div class='elementor-widget-theme-post-content'>", "</div>"), ("<div class='content has-sidebar'>", "</div>"),
+    ("<div class='widget'>", "</div>"), ("<form action=/>", "</form>"), ("<form><article>", "</article></form>"),
+    ("<article class='post comments'>", "</article>"), ("<div class=widget><form><main>", "</main></form></div>")])
+def test_roles_do_not_drop_the_main_text(start, end):
+    html = page(1, f"{start}<h1>Title</h1><p>The story is told here at some length.</p>{end}")
+    assert html_extract.main_text(html, set()) == "Title The story is told here at some length."
+
+
+def test_role_of_varying_text(spark):
+    body = "<form class=share><p>Sign up for our weekly letter, it is long and it is free</p><p>story {0}</p></form>"
+    df = spark.createDataFrame([(i, "http://h/", body.format(i)) for i in range(9)],
+                               "page_id long, url string, html string")
+    assert {r.text for r in html_extract.extract(df).collect()} == {f"story {i}" for i in range(9)}
+
+
 def test_alignment():
     a = "x(p(),q(r()),p())"
     assert html_extract.align(a, a) == {0: 0, 1: 1, 2: 2, 3: 3, 4: 4}
