@@ -145,6 +145,15 @@ def test_template_is_what_stays_the_same(spark):
     assert html_extract.extract(df.limit(0)).count() == 0
 
 
+def test_a_page_carries_its_own_skeletons_constants(spark):
+    body = "<div><p>Read our weekly letter</p></div>{0}<section><p>story {1}</p></section>"
+    df = spark.createDataFrame([(i, "http://h/", page(i, body.format("<h2></h2><ul></ul>" * i, i))) for i in range(40)],
+                               "page_id long, url string, html string")
+    known = html_extract.templates(df.selectExpr("url AS site", "html")).collect()
+    assert len(known) == 40 and all(len(r.constants) == 1 for r in known)
+    assert {r.page_id: r.text for r in html_extract.extract(df).collect()} == {i: f"story {i}" for i in range(40)}
+
+
 def test_pages_table(spark):
     import html as entities
     import re
