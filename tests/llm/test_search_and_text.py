@@ -128,6 +128,21 @@ def test_alignment():
     assert html_extract.align("y()", a) == {}
 
 
+def test_deep_pages(spark):
+    deep = ["<div>" * 5000, "<blockquote><center>" * 2000, "".join(f"<div class=c{'x' * (i % 7)}>" for i in range(3000))]
+    df = spark.createDataFrame([(i, "http://h/", page(i, f"<p>Read our letter</p>{deep[i % 3]}<p>story {i}"))
+                                for i in range(9)], "page_id long, url string, html string")
+    # the comments and the footer are inside the unclosed elements
+    assert {r.page_id: r.text for r in html_extract.extract(df).collect()} == {i: f"story {i}" for i in range(9)}
+
+
+def test_skeleton_numbers():
+    root, _ = html_extract.parse("<ul><li><p>a</p><p>b</p></li><li><p>c</p></li></ul><div></div>")
+    assert html_extract.skeleton(root) == "(ul(li(p())),div())"
+    assert [n.number for n in root.children] == [1, 4]
+    assert [[c.number for c in li.children] for li in root.children[0].children] == [[3, 3], [3]]
+
+
 def test_template_is_what_stays_the_same(spark):
     body = "<div><p>Read our weekly letter</p></div><section><p>{0}</p><p>{1}</p></section>"
     rows = [(i, f"http://Host.example/{i}?q", page(i, body.format(f"story {i}", f"ending {i}"))) for i in range(9)]
