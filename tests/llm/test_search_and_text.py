@@ -136,6 +136,28 @@ def test_deep_pages(spark):
     assert {r.page_id: r.text for r in html_extract.extract(df).collect()} == {i: f"story {i}" for i in range(9)}
 
 
+def test_alignment_by_tag():
+    assert html_extract.align("x.a.sports(p())", "x.a.news(p())") == {0: 0, 1: 1}
+    assert html_extract.align("x(d.b())", "x(d.a(),d.b(),d.c())") == {0: 0, 1: 2}
+
+
+def test_templates_of_several_layouts(spark):
+    notice = "<div><p>Read our weekly letter</p></div>"
+    bodies = [f"<body class='post category-{{0}}'><div id='post-{{0}}'>{notice}<p>story {{0}}</p></div></body>",
+              "<body><div class=two><p>story {0}</p></div><ul><li>end {0}</li></ul></body>",
+              f"<body><div class=two>{notice}<p>story {{0}}</p></div><ul><li>end {{0}}</li></ul></body>",
+              "<body><div class=a><div class=b><p>story {0}</p></div></div></body>",
+              "<body><div class=c><div class=d><p>All rights</p></div></div><h2>story {0}</h2></body>"]
+    word = lambda i: "abcdefghijklmnopqrst"[i]
+    rows = [(100 * k + i, f"http://{h}/", bodies[k].replace("{0}", word(i)))
+            for h, ks in (("one", [0]), ("two", [1, 2]), ("three", [3, 4])) for k in ks for i in range(20)]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    got = {r.page_id: r.text for r in html_extract.extract(df).collect()}
+    for i in range(20):
+        assert got[i] == got[300 + i] == got[400 + i] == f"story {word(i)}"
+        assert got[100 + i] == got[200 + i] == f"story {word(i)} end {word(i)}"
+
+
 def test_skeleton_numbers():
     root, _ = html_extract.parse("<ul><li><p>a</p><p>b</p></li><li><p>c</p></li></ul><div></div>")
     assert html_extract.skeleton(root) == "(ul(li(p())),div())"
