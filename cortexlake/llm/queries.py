@@ -6,8 +6,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from . import (bpe_codec, exact_dedup, html_extract, language_id, line_dedup, packing,
-               simhash, substring_dedup, token_counts, topk)
+from . import (bpe_codec, exact_dedup, hard_negatives, html_extract, language_id, line_dedup, minhash,
+               packing, simhash, spelling, substring_dedup, token_counts, topk)
 from .common import SPACE, table
 
 
@@ -55,10 +55,25 @@ def op10_top_k(spark, sf_dir):
     return topk.top_k(rows, rows.filter(F.col("vec_id") % 50 == 0))
 
 
+def op11_spelling_variants(spark, sf_dir):
+    return spelling.spelling_variants(table(spark, sf_dir, "documents"))
+
+
+def op12_minhash(spark, sf_dir):
+    return minhash.minhash_components(table(spark, sf_dir, "documents"))
+
+
+def op13_hard_negatives(spark, sf_dir):
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    rows = table(spark, sf_dir, "embeddings").select("vec_id", moved.alias("label"), "embedding")
+    return hard_negatives.hard_negatives(rows, F.col("vec_id") % 100 == 0)
+
+
 QUERIES = {f.__name__: f for f in (
     op1_html_extract, op2_substring_dedup, op3_best_fit_packing, op4_line_dedup, op5_exact_dedup,
     op6_language_id, op7_simhash,
-    op8_token_counts, op9_bpe_codec, op10_top_k)}
+    op8_token_counts, op9_bpe_codec, op10_top_k,
+    op11_spelling_variants, op12_minhash, op13_hard_negatives)}
 
 ORACLE = {
     "op2_substring_dedup": substring_dedup.ORACLE,
@@ -71,4 +86,7 @@ w AS (SELECT *, first_value(doc_id) OVER (PARTITION BY t ORDER BY n DESC, doc_id
 SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, sha256(t) AS text_sha256 FROM w
 """,
     "op10_top_k": topk.ORACLE,
+    "op11_spelling_variants": spelling.ORACLE,
+    "op12_minhash": minhash.ORACLE,
+    "op13_hard_negatives": hard_negatives.ORACLE,
 }
