@@ -40,6 +40,21 @@ def id_text(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
                        F.col(text_col).cast("string").alias("text"))
 
 
+def likely(rows: DataFrame, key: str, wanted: DataFrame, bits: int = 1 << 26) -> DataFrame:
+    """``rows`` without most of those whose 64-bit ``key`` is not among
+    ``wanted`` (one column), so that a join after it shuffles little. The bits
+    of ``wanted`` go to the tasks as a broadcast table of at most ``bits`` bits
+    (8 MB), whatever the input; the fuller it is, the more rows pass."""
+    slot = lambda k: F.pmod(F.col(k), F.lit(bits))
+    maps = saved(wanted.select(slot(wanted.columns[0]).alias("slot")).groupBy(
+        F.bitmap_bucket_number("slot").alias("_page")).agg(
+        F.bitmap_construct_agg(F.bitmap_bit_position("slot")).alias("_bits")), "bits")
+    at = F.bitmap_bit_position(slot(key))
+    byte = F.conv(F.hex(F.substring("_bits", (at / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    return rows.join(F.broadcast(maps), F.bitmap_bucket_number(slot(key)) == F.col("_page")).filter(
+        F.getbit(byte, (at % 8).cast("int")) == 1).drop("_page", "_bits")
+
+
 def vocabulary(name: str) -> str:
     """Place of a public tokenizer file, on whichever machine asks."""
     import public_tokenizers

@@ -9,11 +9,11 @@ minima of ``rows`` functions in one band and their maxima in another; documents
 that agree on a whole band meet in a bucket. With 40 x 8 functions a pair of
 J = 0.8 misses all 80 bands with probability (1 - 0.8^8)^80 < 5e-7.
 
-Buckets only say who may be alike. Equal sets are merged before (a group of
-copies is one node), a bucket becomes a star, and the stars' components say
-which whole sets have to meet: each set is sent there once and links are
-confirmed on full sets by growing trees, which span all links without a pair
-list. A component of more shingles than a task should hold is dealt over
+Buckets only say who may be alike. A bucket becomes a star, its part of each
+task before anything is shuffled, and the stars' components say which whole
+sets have to meet. Equal sets are merged (a group of copies is one node), each
+set is sent there once and links are confirmed on full sets by growing trees,
+which span all links without a pair list. A component of more shingles than a task should hold is dealt over
 blocks: trees in each block, then between the trees' heads, and what is still
 apart after that is compared block against block, so no link is lost."""
 
@@ -251,29 +251,90 @@ def _labelled(nodes: DataFrame, links: DataFrame) -> DataFrame:
         .withColumn("label", F.coalesce("label", "node"))
 
 
+# -------------------------------------------------------------- candidates
+def _runs(band: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Of sorted bands: which rows begin one, and where each row's begins."""
+    first = np.concatenate([[True], band[1:] != band[:-1]]) if len(band) else np.zeros(0, bool)
+    return first, np.maximum.accumulate(np.where(first, np.arange(len(band)), 0)) if len(band) else first
+
+
+def _local_stars(batches, held: int = 1_000_000):
+    """Band keys (``band, u``) of rows (row, bands), a band of several rows of
+    the task as one, and the links to it (``u, v``): the map side's part of a
+    bucket, so that a bucket of very many rows is one row per task."""
+    def out(rows, bands):
+        u, band = np.concatenate(rows), np.concatenate(bands)
+        order = np.lexsort((u, band))
+        u, band = u[order], band[order]
+        first, begin = _runs(band)
+        more = ~first & (u != u[begin])
+        pairs = np.unique(np.stack([u[more], u[begin][more]], axis=1).view("i8,i8").ravel())
+        n, m = len(pairs), int(first.sum())
+        return pa.RecordBatch.from_arrays(
+            [pa.array(np.concatenate([pairs["f0"], band[first]])), pa.array(np.concatenate([pairs["f0"], u[first]])),
+             pa.array(np.concatenate([pairs["f1"], np.zeros(m, np.int64)]), mask=np.arange(n + m) >= n)],
+            ["band", "u", "v"])
+
+    rows, bands, size = [], [], 0
+    for batch in batches:
+        if batch.num_rows:
+            keys = batch.column(1)
+            flat = keys.flatten().to_numpy()
+            rows.append(np.repeat(batch.column(0).to_numpy(), np.diff(keys.offsets.to_numpy())))
+            bands.append(flat)
+            size += len(flat)
+        if size >= held:
+            yield out(rows, bands)
+            rows, bands, size = [], [], 0
+    if size:
+        yield out(rows, bands)
+
+
+def _stars(batches):
+    """Links of every row of a band to the band's first row; links pass."""
+    last, centre = None, 0
+    for batch in batches:
+        passed = batch.column(2).is_valid().to_numpy(zero_copy_only=False)
+        band, u = batch.column(0).to_numpy(), batch.column(1).to_numpy()
+        pu, pv = u[passed], batch.column(2).drop_null().to_numpy()
+        band, u = band[~passed], u[~passed]
+        first, begin = _runs(band)
+        v = u[begin]
+        if len(band) and band[0] == last:             # the band goes on from the batch before
+            v[begin == 0] = centre
+        if len(band):
+            last, centre = band[-1], v[-1]
+        more = u != v
+        yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([pu, u[more]])),
+                                          pa.array(np.concatenate([pv, v[more]]))], ["u", "v"])
+
+
+def candidate_groups(sets: DataFrame) -> DataFrame:
+    """``row, root``: rows (row, bands) that share a band with others, by the
+    components of the bands' stars."""
+    keys = sets.select("row", "bands").mapInArrow(_local_stars, "band long, u long, v long")
+    stars = C.saved(keys.repartition("band").sortWithinPartitions("band", "u")
+                    .mapInArrow(_stars, "u long, v long").distinct(), "stars")
+    found = components(stars).select(F.col("node").alias("row"), "root")       # without the roots themselves
+    return C.saved(found.unionByName(found.select(F.col("root").alias("row"), "root").distinct()), "candidates")
+
+
 # ------------------------------------------------------------ the operator
-def candidate_groups(nodes: DataFrame) -> DataFrame:
-    """``node, root``: nodes that share a bucket with others, by the components
-    of the buckets' stars. A bucket's centre is a pre-aggregated minimum."""
-    keys = nodes.select("node", F.explode("bands").alias("band"))
-    centres = keys.groupBy("band").agg(F.min("node").alias("centre"), F.count("*").alias("m")).filter("m > 1")
-    stars = keys.join(centres, "band").filter("node <> centre") \
-        .select(F.col("node").alias("u"), F.col("centre").alias("v")).distinct()
-    found = components(C.saved(stars, "stars"))          # without the roots themselves
-    return C.saved(found.unionByName(found.select(F.col("root").alias("node"), "root").distinct()), "candidates")
-
-
-def near_links(nodes: DataFrame, docs: DataFrame, shingle: int, percent: int, block_shingles: int,
-               id_col: str, text_col: str) -> DataFrame:
+def near_links(sets: DataFrame, distinct: DataFrame, docs: DataFrame, shingle: int, percent: int,
+               block_shingles: int, id_col: str, text_col: str) -> DataFrame:
     """``u, v``: confirmed links that span every group of linked nodes.
-    ``nodes``: ``node, doc_id, key, n, bands`` of the distinct sets."""
-    groups = candidate_groups(nodes)
-    member = nodes.select("node", "doc_id", "key", "n").join(groups, "node")
-    size = member.groupBy("root").agg(F.ceil(F.sum("n") / block_shingles).alias("blocks"))
+    ``sets``: row, doc_id, key, n, bands; ``distinct``: node, the row that
+    stands for rows of one set."""
+    groups = distinct.select(F.col("node").alias("row")).join(candidate_groups(sets), "row")
+    member = C.saved(sets.select("row", "doc_id", "key", "n").join(groups, "row")
+                     .withColumnRenamed("row", "node"), "members")
+    size = member.groupBy("root").agg(F.ceil(F.sum("n") / block_shingles).alias("blocks"),
+                                      F.count("*").alias("nodes")).filter("nodes > 1").drop("nodes")
     place = C.saved(member.join(size, "root").withColumn(
         "block", F.pmod(F.xxhash64("node"), F.col("blocks"))), "places")
     texts = C.id_text(docs, id_col, text_col).select(
         F.coalesce("doc_id", F.lit(C.NO_ID)).alias("_id"), F.xxhash64("text").alias("_key"), "text")
+    texts = C.likely(texts, "_key", place.select("key"))
 
     def with_text(some: DataFrame) -> DataFrame:
         some = some.withColumn("doc_id", F.coalesce("doc_id", F.lit(C.NO_ID)))
@@ -328,9 +389,7 @@ def minhash_components(docs: DataFrame, shingle: int = 2, percent: int = 80, gro
                    .withColumn("row", F.monotonically_increasing_id()), "sets")
     distinct = C.saved(sets.filter("n > 0").groupBy("a", "b").agg(
         F.min("row").alias("node"), F.min("doc_id").alias("least")), "distinct")
-    nodes = sets.drop("a", "b").join(distinct.select(F.col("node").alias("row")), "row") \
-        .withColumnRenamed("row", "node")
-    links = near_links(nodes, docs, shingle, percent, block_shingles, id_col, text_col)
+    links = near_links(sets.filter("n > 0"), distinct, docs, shingle, percent, block_shingles, id_col, text_col)
     named = _labelled(distinct, C.saved(links, "links"))
     least = named.groupBy("label").agg(F.min("least").alias("component_id"))
     named = C.saved(named.join(least, "label").select("a", "b", "component_id"), "named")
