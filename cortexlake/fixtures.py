@@ -209,6 +209,24 @@ IMAGE_SET_SQL = """image_set as (
   from supplier)"""
 
 
+def store_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Requests in order (``seq, op, name``): an event asks to insert or to
+    delete the store of a nation, or one of a few names that have none."""
+    e = read_table(spark, sf_dir, "events").select("event_id", "user_id")
+    n = read_table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
+    k = F.col("user_id") % 31
+    return e.join(n, k == F.col("n_nationkey"), "left").select(
+        F.col("event_id").alias("seq"),
+        F.when(F.col("event_id") * 7919 % 5 < 3, F.lit("insert")).otherwise(F.lit("delete")).alias("op"),
+        F.coalesce("n_name", F.concat(F.lit("EXTRA_"), k.cast("string"))).alias("name"))
+
+
+STORE_REQUESTS_SQL = """store_requests as (
+  select event_id as seq, case when event_id * 7919 % 5 < 3 then 'insert' else 'delete' end as op,
+         coalesce(n_name, 'EXTRA_' || cast(user_id % 31 as varchar)) as name
+  from events left join nation on user_id % 31 = n_nationkey)"""
+
+
 # ------------------------------------------------------------ volume files
 def _packed_volume(vec_id: int, values) -> bytes:
     """File bytes written field by field from the published header layout, on
@@ -248,6 +266,31 @@ def volume_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return e.mapInPandas(enc, file_rows("volume_id"))
 
 
+def stored_volumes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The volume files above as files of the shared scratch folder, written by
+    the tasks that make them (again by a task that is repeated), and their
+    listing: ``volume_id, path, length, modified``."""
+    import uuid
+
+    import pyarrow as pa
+
+    from .session import scratch_path
+    from .sources.volumes import list_volume_files, open_path
+
+    folder = scratch_path(spark, f"volumes-{uuid.uuid4().hex}")
+
+    def store(batches):
+        for batch in batches:
+            for name, content in zip(*[c.to_pylist() for c in batch.columns]):
+                with open_path(f"{folder}/{name}.nii.gz", write=True) as f:
+                    f.write(content)
+            yield pa.RecordBatch.from_arrays([batch.column(0)], ["volume_id"])
+
+    volume_files(spark, sf_dir).mapInArrow(store, "volume_id string").write.parquet(f"{folder}-names")
+    return list_volume_files(spark, folder).withColumn(
+        "volume_id", F.regexp_extract("path", r"([^/]*)\.nii\.gz$", 1))
+
+
 # ---------------------------------------------------------- file metadata
 def dicom_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per-file scanner metadata: a lineitem row is one slice file of the

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from ..functions import links as L
 from ..functions import text as T
+from .running import with_running_sum
 
 # Cohort families of the two sources and the axes offered.
 FAMILY_OF_SOURCE = {"hcp": "notumor", "tcia": "withtumor"}
@@ -179,6 +180,11 @@ def pending(manifest: DataFrame, landed: DataFrame, key: str = "object_key") ->
     return manifest.join(landed.select(key).distinct(), key, "left_anti")
 
 
+def new_uid(name: T.ColumnOrName) -> Column:
+    """The uid of a store made under ``name``: the first 60 bits of its MD5."""
+    return F.conv(F.substring(F.md5(T._c(name)), 1, 15), 16, 10).cast("long")
+
+
 def insert_if_absent(existing: DataFrame, incoming: DataFrame, key: str = "name") -> DataFrame:
     """Incoming names, de-duplicated; a name no existing row has is
     ``inserted`` with the first 60 bits of the name's MD5 as its uid (LONG; the
@@ -188,8 +194,7 @@ def insert_if_absent(existing: DataFrame, incoming: DataFrame, key: str = "name"
     have = first_per_name(existing.select("uid", key)).select(key, F.col("uid").alias("_uid"))
     j = inc.join(have, key, "left")
     new = j.filter(F.col("_uid").isNull()).select(
-        key, F.conv(F.substring(F.md5(key), 1, 15), 16, 10).cast("long").alias("uid"),
-        F.lit("inserted").alias("status"))
+        key, new_uid(key).alias("uid"), F.lit("inserted").alias("status"))
     old = j.filter(F.col("_uid").isNotNull()).select(
         key, F.col("_uid").cast("long").alias("uid"), F.lit("exists").alias("status"))
     return new.unionByName(old)
@@ -219,6 +224,36 @@ def stores_after_changes(stores: DataFrame, images: DataFrame, inserts: DataFram
         new.select("uid", "name")), imgs
 
 
+def stores_replayed(stores: DataFrame, images: DataFrame, requests: DataFrame):
+    """(stores, images) after requests ``seq, op, name`` (op ``insert`` or
+    ``delete``) served one after the other, each judged on what the ones before
+    it left (J5, J6).
+
+    While a name has stores, inserts change nothing and every delete takes the
+    store of the smallest uid; after that an insert makes one and a delete takes
+    it. So of k stores the first min(k, deletes) go, and a new one stands at the
+    end iff there are k deletes at least and the last request is an insert. A
+    name's requests are two maxima and a count, pre-aggregated: a name with a
+    third of all requests is one row per task."""
+    log = requests.filter("name is not null").groupBy("name").agg(
+        F.count_if(F.col("op") == "delete").alias("_deletes"),
+        F.max(F.when(F.col("op") == "insert", F.col("seq"))).alias("_insert"),
+        F.max(F.when(F.col("op") == "delete", F.col("seq"))).alias("_delete"))
+    place = with_running_sum(stores.select(F.col("uid").cast("long").alias("uid"), "name"), F.lit(1),
+                             ["uid"], ("name",), "_place")
+    met = place.join(log.select("name", "_deletes"), "name", "left")
+    gone = met.filter(F.col("_place") < F.col("_deletes")).select(F.col("uid").alias("_gone"))
+    kept = met.filter(F.coalesce(F.col("_place") >= F.col("_deletes"), F.lit(True))).select("uid", "name")
+    had = stores.filter("name is not null").groupBy("name").agg(F.count("*").alias("_had"))
+    new = log.join(had, "name", "left").filter(
+        (F.col("_deletes") >= F.coalesce("_had", F.lit(0))) & F.col("_insert").isNotNull()
+        & (F.col("_delete").isNull() | (F.col("_insert") > F.col("_delete"))))
+    stores = kept.unionByName(new.select(new_uid("name").alias("uid"), "name"))
+    imgs = images.join(gone, images["store_id"] == gone["_gone"], "left").withColumn(
+        "store_id", F.when(F.col("_gone").isNull(), F.col("store_id"))).drop("_gone")
+    return stores, imgs
+
+
 # -------------------------------------------------------------- G2 / K7 pre
 def count_completed(status: DataFrame, ok: Column) -> DataFrame:
     """Successes and total (one row; partial counts per task)."""
@@ -236,3 +271,20 @@ def export_manifest(images: DataFrame, name: str | None = None,
     return e.select("name", F.concat(F.col("name"), F.lit(".zip")).alias("bundle"),
                     "uid", "image_no", L.url_unquote("image").alias("entry"),
                     F.concat(F.lit(host), F.col("image")).alias("url"))
+
+
+def export_parts(entries: DataFrame, part_bytes: int, size: str = "bytes",
+                 order: tuple[str, ...] = ("uid", "image_no")) -> DataFrame:
+    """K7: bundle entries (``name``, ``order``, their ``size``) with the ``part``
+    of the bundle they go to and their ``part_offset`` in bytes. A part takes the
+    entries that begin within its ``part_bytes`` of the bundle's running size, in
+    ``order``: it ends with the entry that reaches over them, and an entry larger
+    than a part leaves the numbers between unused. No bundle passes through one
+    task: the running sizes are summed over ranges, also for a cohort that
+    holds a third of all images."""
+    rows = with_running_sum(entries, F.coalesce(size, F.lit(0)), list(order), ("name",), "_before").withColumn(
+        "part", F.floor(F.col("_before") / part_bytes).cast("long"))
+    starts = rows.groupBy("name", "part").agg(F.min("_before").alias("_start")) \
+        .select(F.col("name").alias("_name"), F.col("part").alias("_part"), "_start")
+    return rows.join(starts, F.col("name").eqNullSafe(F.col("_name")) & (F.col("part") == F.col("_part"))) \
+        .withColumn("part_offset", F.col("_before") - F.col("_start")).drop("_before", "_name", "_part", "_start")

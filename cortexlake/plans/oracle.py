@@ -319,6 +319,42 @@ oracle("subject_metadata", with_ctes(fx.VOLUME_SHAPES_SQL, _SUBJ_AX) +
        " as jpgfiles from (select *, " + SLICE_BOUNDS + " from (select *, dim / 2 - 25.0 as b, "
        "dim / 2 + 25.0 as e from subj) s) t")
 
+# whole volume jobs: of sound files; each volume's thinnest extent is two
+_SERIES_TAG = "concat(PatientID, '_3T', SeriesDate)"
+oracle("series_products", with_ctes(fx.SERIES_CATALOG_SQL, MANIFEST_CTE, fx.DICOM_FILES_SQL, _FIRST) +
+       "select coalesce(f.SeriesInstanceUID, 'None') as series_uid, coalesce(f.SeriesDate, 'None') as series_date, "
+       f"{sql_axis('m.object_key')} as scan_axis, case when {sql_axis('m.object_key')} like 'other%' then 'other' "
+       f"else {sql_axis('m.object_key')} end as axis_family, coalesce(f.Manufacturer, 'None') as manufacturer, "
+       "coalesce(f.ManufacturerModelName, 'None') as model_name, "
+       "coalesce(f.spacing_x, 'None') as pixel_spacing_x, coalesce(f.spacing_y, 'None') as pixel_spacing_y, "
+       "m.tag as output_tag, "
+       + _links_sql(f"concat('{OUT_DIR}/', {sql_tag('m.object_key')})", "m.tag", "2") +
+       f" as jpgfiles from (select *, {_SERIES_TAG} as tag from manifest where contains(object_key, 'SAG') or "
+       "contains(object_key, 'COR') or contains(object_key, 'AXIAL') or contains(object_key, 'AX_')) m "
+       "join first_meta f on m.series_uid = f.series_key join embeddings e on m.series_uid = "
+       f"concat('{fx.SERIES_ROOT}', lpad(cast(vec_id as varchar), 40, '7')) where "
+       + _READ.replace("volume_id", "vec_id"))
+_LANDED = with_ctes(fx.VOLUMES3D_SQL, "landed as (select volume_id as subject, axis, axis_name, "
+                    "case axis when 0 then nx when 1 then ny else nz end as dim, "
+                    "cast(case axis when 0 then ny else nx end as int) as height, "
+                    "cast(case axis when 2 then ny else nz end as int) as width "
+                    "from (select *, unnest([{'axis': 0, 'axis_name': 'sag'}, {'axis': 1, 'axis_name': 'cor'}, "
+                    "{'axis': 2, 'axis_name': 'ax'}], recursive := true) from volumes3d "
+                    f"where {_READ} and volume_id in (select c_custkey from customer)) v)")
+_SUBJECT_TAG = "concat('subject', subject, '_3T_T1w_MPR1_', axis_name)"
+oracle("subject_products", _LANDED +
+       "select cast(subject as varchar) as series_uid, 'NORECORD' as series_date, axis_name as scan_axis, "
+       "'SIEMENS' as manufacturer, 'SKYRA' as model_name, "
+       "case axis when 0 then '0.75' else '0.5' end as pixel_spacing_x, "
+       f"case axis when 2 then '0.75' else '1.25' end as pixel_spacing_y, {_SUBJECT_TAG} as output_tag, "
+       + _links_sql("concat('data/HCP_output_v1/hcp_subject_', subject)", _SUBJECT_TAG, "dim - 1") +
+       " as jpgfiles from landed")
+oracle("slice_targets", _LANDED +
+       "select cast(subject as varchar) as subject, cast(axis as int) as axis, cast(i as int) as slice_no, "
+       "height, width, cast(height * width as int) as n_pixels, "
+       f"concat('data/HCP_output_v1/hcp_subject_', subject, '/', {_SUBJECT_TAG}, '_', i, '.jpg') as target_key "
+       "from (select *, unnest(range(0, dim - 1)) as i from landed) s")
+
 # ----------------------------------------------------------------- cohorts
 _CLEAN2 = sql_clean("SeriesDescription", "twopass")
 _PROD = ("products as (select series_uid, " + sql_axis("object_key") + " as scan_axis, "
@@ -345,6 +381,14 @@ oracle("export_cohort", _CP +
        "select name, name || '.zip' as bundle, cast(image_no as int) as image_no, url_decode(image) as entry, "
        f"'{HOST}' || image as url from (select name, unnest(images) as image, "
        "unnest(range(0, len(images))) as image_no from cohorts) t")
+oracle("export_parts", _CP +
+       "select name, part, cast(row_number() over (partition by name, part order by series_uid, image_no) as int) "
+       "as entry_no, entry, bytes, before - min(before) over (partition by name, part) as part_offset from "
+       "(select *, cast(before // 65536 as bigint) as part from (select *, cast(sum(bytes) over (partition by name "
+       "order by series_uid, image_no) - bytes as bigint) as before from (select *, "
+       "cast(1000 + 37 * length(entry) % 4096 as bigint) as bytes from (select name, series_uid, image_no, "
+       "url_decode(image) as entry from (select name, series_uid, unnest(images) as image, "
+       "unnest(range(0, len(images))) as image_no from cohorts) t) u) v) w) x")
 _SI = with_ctes(fx.STORE_SQL, fx.IMAGE_SET_SQL)
 oracle("store_images", _SI +
        "select s.uid as store_uid, s.name as store_name, i.uid as image_uid, i.name as image_name, "
@@ -387,6 +431,17 @@ oracle("delete_by_name", with_ctes(fx.STORE_SQL, _DEL) +
 oracle("delete_by_name_images", with_ctes(fx.STORE_SQL, fx.IMAGE_SET_SQL, _DEL) +
        "select uid, name, case when store_id in (select uid from gone) then null else store_id end "
        "as store_id from image_set")
+# the requests one after the other, by brute force over a name's whole sequence
+oracle("stores_replayed", "with recursive " + ", ".join((
+       fx.STORE_SQL, fx.STORE_REQUESTS_SQL,
+       "r as (select *, row_number() over (partition by name order by seq) as i from store_requests)",
+       "o as (select name, list(cast(uid as bigint) order by uid) as uids from store group by name)",
+       "n as (select name from store union select name from store_requests where name is not null)",
+       "step as (select n.name, cast(0 as bigint) as i, coalesce(o.uids, cast([] as bigint[])) as uids from n "
+       "left join o on o.name = n.name union all select s.name, r.i, case when r.op = 'insert' and len(s.uids) = 0 "
+       f"then [{_NEW_UID.replace('n.name', 's.name')}] when r.op = 'delete' then list_slice(s.uids, 2, len(s.uids)) "
+       "else s.uids end from step s join r on r.name = s.name and r.i = s.i + 1)")) +
+       " select unnest(uids) as uid, name from (select name, arg_max(uids, i) as uids from step group by name) t")
 oracle("pending_manifest", with_ctes(fx.SERIES_CATALOG_SQL, MANIFEST_CTE, fx.DICOM_FILES_SQL) +
        "select series_uid, object_key from manifest where series_uid not in "
        "(select series_key from dicom_files)")

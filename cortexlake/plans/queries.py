@@ -7,9 +7,10 @@ the DuckDB oracle; array results are also given as joined text.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .. import fixtures as fx
@@ -22,7 +23,9 @@ from ..operators import slices as S
 from ..plans import jobs as J
 from ..sources import archives as A
 from ..sources import volumes as V
-from ..session import read_table
+from ..schemas import PRODUCTS
+from ..session import read_table, scratch_path
+from ..sinks.writers import landed_slices
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -368,6 +371,51 @@ def q_subject_metadata(spark, sf_dir):
                        F.array_join("jpgfiles", "|").alias("jpgfiles"))
 
 
+# ------------------------------------------------------ whole volume jobs
+@query("series_products")
+def q_series_products(spark, sf_dir):
+    """The volume of vec_id belongs to the series of the order of that number."""
+    cat = _catalog(spark, sf_dir).select(
+        F.col("series_uid").alias("_uid"), "object_key",
+        F.concat(F.lit("/work/"), F.col("PatientID"), F.lit("_3T("), F.col("SeriesDate"), F.lit(").nii.gz"))
+        .alias("volume_file"))
+    files = fx.stored_volumes(spark, sf_dir)
+    uid = F.concat(F.lit(fx.SERIES_ROOT), F.lpad("volume_id", 40, "7"))
+    files = files.join(cat, uid == F.col("_uid")).drop("_uid")
+    place = scratch_path(spark, f"series-{uuid.uuid4().hex}")
+    J.process_series(C.build_manifest(fx.series_catalog(spark, sf_dir)), files, fx.dicom_files(spark, sf_dir),
+                     f"{place}/slices", f"{place}/products", TCIA_OUT_DIR, BUCKET)
+    rows = spark.read.schema(PRODUCTS).parquet(f"{place}/products")
+    return rows.select("series_uid", "series_date", "scan_axis", "axis_family", "manufacturer", "model_name",
+                       "pixel_spacing_x", "pixel_spacing_y", "output_tag",
+                       F.array_join("jpgfiles", "|").alias("jpgfiles"))
+
+
+def _landed_subjects(spark, sf_dir):
+    """The volume of vec_id is that of the customer of that number."""
+    place = scratch_path(spark, f"subjects-{uuid.uuid4().hex}")
+    files = fx.stored_volumes(spark, sf_dir).withColumn(
+        "volume_file", F.concat(F.lit("/store/"), T.volume_key_from_subject("volume_id")))
+    subjects = read_table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("subject"))
+    J.process_subjects(subjects, files, f"{place}/slices", f"{place}/products", HCP_OUT_DIR, BUCKET)
+    return place
+
+
+@query("subject_products")
+def q_subject_products(spark, sf_dir):
+    rows = spark.read.schema(PRODUCTS).parquet(f"{_landed_subjects(spark, sf_dir)}/products")
+    return rows.select("series_uid", "series_date", "scan_axis", "manufacturer", "model_name",
+                       "pixel_spacing_x", "pixel_spacing_y", "output_tag",
+                       F.array_join("jpgfiles", "|").alias("jpgfiles"))
+
+
+@query("slice_targets")
+def q_slice_targets(spark, sf_dir):
+    rows = landed_slices(spark, f"{_landed_subjects(spark, sf_dir)}/slices")
+    return rows.select("subject", F.col("axis").cast("int").alias("axis"), "slice_no", "height", "width",
+                       F.size("pixels").alias("n_pixels"), "target_key")
+
+
 # ----------------------------------------------------------------- cohorts
 def _products(spark, sf_dir):
     """Product rows of the catalog: axis, links, tag and source."""
@@ -424,6 +472,22 @@ def q_export_cohort(spark, sf_dir):
                     "entry", "url")
 
 
+@query("export_parts")
+def q_export_parts(spark, sf_dir):
+    c = _cohorts(spark, sf_dir).withColumn("uid", F.col("series_uid"))
+    e = K.export_manifest(c, bucket=BUCKET).withColumn(
+        "bytes", (F.lit(1000) + F.lit(37) * F.length("entry") % 4096).cast("long"))
+    parts = K.export_parts(e, 65536)
+    no = F.row_number().over(Window.partitionBy("name", "part").orderBy("uid", "image_no"))
+    return parts.select("name", "part", no.alias("entry_no"), "entry", "bytes", "part_offset")
+
+
+@query("stores_replayed")
+def q_stores_replayed(spark, sf_dir):
+    return K.stores_replayed(fx.store(spark, sf_dir), fx.image_set(spark, sf_dir),
+                             fx.store_requests(spark, sf_dir))[0]
+
+
 @query("store_images")
 def q_store_images(spark, sf_dir):
     si = K.store_images(fx.store(spark, sf_dir), fx.image_set(spark, sf_dir))

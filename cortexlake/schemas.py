@@ -65,6 +65,42 @@ SERIES_METADATA = T.StructType([
     T.StructField("jpgfiles", T.ArrayType(S, True), True),
 ])
 
+# ... and as stored: the keys of its volume, and the folders it lies in
+PRODUCTS = T.StructType(SERIES_METADATA.fields + [T.StructField(c, S, True) for c in (
+    "object_key", "output_tag", "source", "axis_family")])
+
+# K5 slice table as stored: decoded rows with the keys of their volume, the
+# slice's target key, and the folders; D5 header rows have no axis
+LANDED = T.StructType([
+    T.StructField("volume_id", S, True), T.StructField("slice_no", T.IntegerType(), True),
+    T.StructField("height", T.IntegerType(), True), T.StructField("width", T.IntegerType(), True),
+    T.StructField("dim", T.IntegerType(), True), T.StructField("pixels", T.ArrayType(T.DoubleType()), True),
+    T.StructField("shape", T.ArrayType(T.IntegerType()), True),
+    T.StructField("pixdim", T.ArrayType(T.FloatType()), True),
+    T.StructField("status", S, True), T.StructField("message", S, True),
+    T.StructField("subject", S, True), T.StructField("object_key", S, True),
+    T.StructField("output_prefix", S, True), T.StructField("output_tag", S, True),
+    T.StructField("target_key", S, True),
+    T.StructField("source", S, True), T.StructField("run", S, True), T.StructField("axis", T.IntegerType(), True),
+])
+
+# K2 table of published versions
+PUBLISHED = T.StructType([
+    T.StructField("number", T.LongType(), True), T.StructField("version", S, True),
+    T.StructField("files", T.LongType(), True), T.StructField("rows", T.LongType(), True),
+])
+
+# J4 ledger: one row per attempt at a volume
+LEDGER = T.StructType([
+    T.StructField("volume_file", S, True), T.StructField("object_key", S, True),
+    T.StructField("attempt", T.IntegerType(), True), T.StructField("run", S, True),
+    T.StructField("length", T.LongType(), True), T.StructField("modified", T.TimestampType(), True),
+    T.StructField("status", S, True), T.StructField("message", S, True),
+    T.StructField("shape", T.ArrayType(T.IntegerType()), True),
+    T.StructField("pixdim", T.ArrayType(T.FloatType()), True),
+    T.StructField("subject", S, True), T.StructField("source", S, True),
+])
+
 # The product table's column names as the archive's consumers
 # expect them (P12), in the order of SERIES_METADATA.
 SINK_COLUMN_NAMES = [

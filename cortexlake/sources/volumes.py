@@ -1,11 +1,11 @@
 """Distributed volume decoding.
 
-``binaryFile`` rows (or any ``(volume_id, content)`` DataFrame) go through one
-``mapInPandas`` job: each task gunzips and decodes its NIfTI-1 files with
-NumPy (fixed 348-byte header layout of the published format) and emits one
+A listing of files (or any ``(volume_id, content)`` DataFrame) goes through one
+``mapInArrow`` job: each task opens, inflates and decodes its NIfTI-1 files in
+pieces (fixed 348-byte header layout of the published format) and emits one
 row per 2-D slice plus one header row per volume. A volume is a single file,
-so it never spans tasks; slices leave the task in small Arrow batches, so a
-task holds one volume and one batch of slices at a time.
+so it never spans tasks; it is read plane by plane, as often as its slices need
+to be gathered in bounded memory, and no bytes of files are ever shuffled.
 
 Two slicing modes, one per source of the archive:
 * ``"thinnest"``: every slice along the axis with the smallest extent (A5/A6).
@@ -18,14 +18,17 @@ since a stack never leaves the task that decoded it.
 from __future__ import annotations
 
 import gzip
+import io
+import re
 import zlib
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 # NIfTI-1 header layout (byte offsets) and data type codes.
 HEADER_SIZE = 348
@@ -82,15 +85,6 @@ def parse_header(raw: bytes) -> dict:
     }
 
 
-def read_header(content: bytes) -> dict:
-    """The header alone: of a compressed file only the first bytes are
-    inflated, so a volume that is not sliced costs nothing more."""
-    head = bytes(content[:HEADER_SIZE])
-    if content[:2] == b"\x1f\x8b":
-        head = zlib.decompressobj(wbits=31).decompress(content, HEADER_SIZE)
-    return parse_header(head)
-
-
 def decode_nifti(content: bytes) -> tuple[dict, np.ndarray]:
     """(header, float64 voxel array indexed [x, y, z, ...]); applies the
     header's scaling when its slope is non-zero (as image readers do)."""
@@ -146,38 +140,154 @@ def central_range(dim: int, n: int) -> tuple[int, int]:
     return int(begin), int(end)
 
 
-def _plane(data: np.ndarray, axis: int, j: int) -> np.ndarray:
-    return data[j, :, :] if axis == 0 else (data[:, j, :] if axis == 1 else data[:, :, j])
-
-
-def normalise_stack(stack: np.ndarray) -> np.ndarray:
-    """A7 on one stack: NumPy semantics (NaN anywhere or a constant stack
-    gives all NaN)."""
-    with np.errstate(invalid="ignore", divide="ignore"):
-        lo, hi = np.min(stack), np.max(stack)
-        return (stack - lo) / (hi - lo)
-
-
-def _columns(carry) -> list[str]:
-    return DECODED_COLUMNS + list(carry)
+def _to_range(shape: list, axis: int, b: int, e: int) -> tuple[int, int, int]:
+    return axis, b, max(b, min(e, shape[axis]))
+
+
+class PlaneReader:
+    """The planes of a volume file, one after the other as its bytes arrive.
+    ``open_file`` gives a new stream from the file's start; compressed bytes
+    are inflated in pieces, so neither the file nor the volume is ever held."""
+
+    def __init__(self, open_file, chunk: int = 1 << 20):
+        self.open_file, self.chunk = open_file, chunk
+        self.header = parse_header(self._head())
+
+    def _bytes(self) -> Iterator[bytes]:
+        with self.open_file() as f:
+            data = f.read(self.chunk)
+            if data[:2] != b"\x1f\x8b":
+                while data:
+                    yield data
+                    data = f.read(self.chunk)
+                return
+            inflate = zlib.decompressobj(wbits=31)
+            while True:
+                out = inflate.decompress(data, 4 * self.chunk)
+                if out:
+                    yield out
+                if inflate.eof:                        # another member may follow; padding does not count
+                    data = inflate.unused_data.lstrip(b"\0") or f.read(self.chunk).lstrip(b"\0")
+                    if not data:
+                        return
+                    inflate = zlib.decompressobj(wbits=31)
+                    continue
+                data = inflate.unconsumed_tail or f.read(self.chunk)
+                if not data and not out:
+                    raise EOFError("compressed file ends before its end marker")
+
+    def _head(self) -> bytes:
+        head = b""
+        for part in self._bytes():
+            head += part
+            if len(head) >= HEADER_SIZE:
+                break
+        return head
+
+    def planes(self) -> Iterator[np.ndarray]:
+        """Every plane of constant z as scaled float64, indexed [y, x]. The
+        file is read to its end, so damage anywhere is noticed."""
+        h = self.header
+        if h["datatype"] not in DTYPES:
+            raise NiftiError(f"unsupported datatype {h['datatype']}")
+        dt, (nx, ny, nz) = np.dtype(h["order"] + DTYPES[h["datatype"]]), h["shape"]
+        if min(nx, ny, nz) < 0:
+            raise NiftiError(f"bad extents {h['shape']}")
+        skip = int(h["vox_offset"]) if h["vox_offset"] >= HEADER_SIZE else 352
+        size, done, held = nx * ny * dt.itemsize, 0, bytearray()
+        scale, shift = h["slope"], h["inter"] if np.isfinite(h["inter"]) else 0.0
+        if size == 0:
+            nz = 0
+        for part in self._bytes():
+            if done == nz:
+                continue
+            held += part
+            at = min(skip, len(held))
+            skip -= at
+            while done < nz and skip == 0 and len(held) - at >= size:
+                plane = np.frombuffer(held[at:at + size], dt).reshape(ny, nx).astype(np.float64)
+                yield plane * scale + shift if scale != 0 and np.isfinite(scale) else plane
+                at, done = at + size, done + 1
+            del held[:at]
+        if done < nz:
+            raise NiftiError(f"truncated data ({done} of {nz} planes)")
+
+
+def _extrema(planes, picks: list) -> list[tuple[float, float]]:
+    """Smallest and largest value of every picked stack; NaN if it has one."""
+    found = [[np.inf, -np.inf] for _ in picks]
+    for z, plane in enumerate(planes):
+        for own, (axis, b, e) in zip(found, picks):
+            part = plane[:, b:e] if axis == 0 else plane[b:e] if axis == 1 else plane if b <= z < e else plane[:0]
+            if part.size:
+                own[0], own[1] = np.minimum(own[0], part.min()), np.maximum(own[1], part.max())
+    return [(float(lo), float(hi)) for lo, hi in found]
+
+
+def _turns(shape: list, picks: list, room: int) -> list[list[tuple[int, int, int]]]:
+    """The picks' slices in turns of reading the file: ``(pick, begin, end)``.
+    Slices along z come out of the stream and need no room; of the others as
+    many are gathered in a turn as ``room`` bytes hold, and one at least."""
+    parts = [(i, b, e) for i, (axis, b, e) in enumerate(picks) if axis == 2 and b < e]
+    turns, free = [parts] if parts else [], room
+    for i, (axis, b, e) in enumerate(picks):
+        each = 8 * max(1, shape[1 - axis] * shape[2]) if axis < 2 else 0
+        while axis < 2 and b < e:
+            n = min(e - b, free // each)
+            if n < 1 and free < room or not turns:
+                turns.append([])
+                free = room
+                continue
+            n = max(1, n)
+            turns[-1].append((i, b, b + n))
+            b, free = b + n, free - n * each
+    return turns
+
+
+def volume_slices(reader: PlaneReader, picks: list, normalise: bool, room: int):
+    """``(pick, slice number, 2-D slice)`` of the picked ranges ``(axis, begin,
+    end)``. The first reading finds the extrema (and any damage); further ones
+    gather the slices, within ``room`` bytes whatever the volume's size."""
+    nx, ny, nz = reader.header["shape"]
+    extent = _extrema(reader.planes(), picks)
+
+    def finished(i, s):
+        if not normalise:
+            return s
+        lo, hi = extent[i]
+        with np.errstate(invalid="ignore", divide="ignore"):
+            return (s - lo) / np.float64(hi - lo)
+
+    for turn in _turns([nx, ny, nz], picks, room):
+        held = {t: np.empty((t[2] - t[1], ny if picks[t[0]][0] == 0 else nx, nz)) for t in turn if picks[t[0]][0] < 2}
+        for z, plane in enumerate(reader.planes()):
+            for t in turn:
+                i, b, e = t
+                if t in held:
+                    held[t][:, :, z] = plane[:, b:e].T if picks[i][0] == 0 else plane[b:e]
+                elif b <= z < e:
+                    yield i, z - picks[i][1], finished(i, plane.T)
+        for (i, b, _), stack in held.items():
+            for j, s in enumerate(stack):
+                yield i, b + j - picks[i][1], finished(i, s)
 
 
 class _Rows:
-    """Buffers output rows across volumes and hands them out as one pandas
-    frame per ``max_rows`` rows or ``max_bytes`` of pixels, so small volumes
-    share Arrow batches and large ones never build a huge batch."""
+    """Buffers output rows across volumes and hands them out as one Arrow
+    batch per ``max_rows`` rows or ``max_bytes`` of pixels, so small volumes
+    share batches and large ones never build a huge one."""
 
-    def __init__(self, max_rows: int, max_bytes: int = 32 * 1024 * 1024, carry=()):
-        self.max_rows, self.max_bytes, self.carry = max_rows, max_bytes, carry
+    def __init__(self, schema: T.StructType, max_rows: int, max_bytes: int = 32 * 1024 * 1024):
+        self.schema, self.max_rows, self.max_bytes = to_arrow_schema(schema), max_rows, max_bytes
         self._reset()
 
     def _reset(self):
-        self.cols = {c: [] for c in _columns(self.carry)}
+        self.cols = {c: [] for c in self.schema.names}
         self.n = self.nbytes = 0
 
     def add(self, **row):
-        for c in self.cols:
-            self.cols[c].append(row.get(c))
+        for c, values in self.cols.items():
+            values.append(row.get(c))
         self.n += 1
         px = row.get("pixels")
         self.nbytes += 0 if px is None else px.nbytes
@@ -185,71 +295,79 @@ class _Rows:
     def full(self) -> bool:
         return self.n >= self.max_rows or self.nbytes >= self.max_bytes
 
-    def flush(self) -> pd.DataFrame:
-        c = self.cols
-        out = pd.DataFrame({
-            "volume_id": c["volume_id"],
-            "axis": pd.array(c["axis"], dtype="Int32"),
-            "slice_no": pd.array(c["slice_no"], dtype="Int32"),
-            "height": pd.array(c["height"], dtype="Int32"),
-            "width": pd.array(c["width"], dtype="Int32"),
-            "dim": pd.array(c["dim"], dtype="Int32"),
-            "pixels": pd.Series(c["pixels"], dtype=object),
-            "shape": pd.Series(c["shape"], dtype=object),
-            "pixdim": pd.Series(c["pixdim"], dtype=object),
-            "status": pd.Series(c["status"], dtype=object),
-            "message": pd.Series(c["message"], dtype=object),
-            **{k: pd.Series(c[k], dtype=object) for k in self.carry},
-        }, columns=_columns(self.carry))
+    def flush(self) -> pa.RecordBatch:
+        cols = []
+        for field in self.schema:
+            values = self.cols[field.name]
+            if field.name == "pixels":              # flat values: a NaN stays a NaN
+                ends = np.cumsum([0] + [0 if v is None else len(v) for v in values])
+                at = pa.array([None if v is None else int(a) for v, a in zip(values, ends)] + [int(ends[-1])], pa.int32())
+                flat = [v for v in values if v is not None]
+                cols.append(pa.ListArray.from_arrays(
+                    at, pa.array(np.concatenate(flat) if flat else np.empty(0)), type=field.type))
+            else:
+                cols.append(pa.array(values, field.type))
         self._reset()
-        return out
-
-
-def make_decoder(mode: str = "thinnest", n: int = 50, axes=(0, 1, 2), rot: int = 0,
-                 normalise: bool = True, rows_per_batch: int = 64, carry=()):
-    """The ``mapInPandas`` function for ``decode_volumes`` (exposed for tests)."""
+        return pa.RecordBatch.from_arrays(cols, schema=self.schema)
+
+
+def open_path(path: str, write: bool = False):
+    """A stream of a file's own bytes (or to them), wherever its path says it
+    is: the machine's folders, or any store that Arrow's file systems know."""
+    from pyarrow import fs
+    scheme, place, rest = re.fullmatch(r"(?:(\w[\w+.-]*):(?://([^/]*))?)?(.*)", path, re.S).groups()
+    if scheme in (None, "file"):
+        system, base = fs.LocalFileSystem(), ""
+    else:
+        system, base = fs.FileSystem.from_uri(f"{scheme}://{place or ''}/")
+    rest = base.rstrip("/") + rest
+    if write:
+        system.create_dir(rest.rpartition("/")[0])
+        return system.open_output_stream(rest, compression=None)
+    return system.open_input_stream(rest, compression=None)
+
+
+def make_decoder(schema: T.StructType, open_file, mode: str = "thinnest", n: int = 50, axes=(0, 1, 2),
+                 rot: int = 0, normalise: bool = True, rows_per_batch: int = 64, room: int = 64 << 20):
+    """The ``mapInArrow`` function for ``decode_volumes``: input columns are
+    the id, what ``open_file`` opens (a path or bytes), and the carried ones."""
     if mode not in ("thinnest", "central"):
         raise ValueError(f"unknown slicing mode {mode!r}")
-
-    def decode(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        out = _Rows(rows_per_batch, carry=carry)
-        for pdf in batches:
-            for vid, content, *kept in zip(pdf["volume_id"], pdf["content"], *[pdf[c] for c in carry]):
-                vid, kept = str(vid), dict(zip(carry, kept))
+    carry = schema.names[len(DECODED_COLUMNS):]
+
+    def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        out = _Rows(schema, rows_per_batch)
+        for batch in batches:
+            for i in range(batch.num_rows):
+                vid, source, *kept = (c[i].as_py() for c in batch.columns)
+                kept, begun = dict(zip(carry, kept)), False
                 try:
-                    hdr, data = read_header(content), None
-                    if len(hdr["shape"]) == 3:
-                        hdr, data = decode_nifti(content)
-                except (NiftiError, OSError, EOFError, zlib.error, ValueError) as e:
-                    out.add(volume_id=vid, status="error", message=str(e), **kept)
-                    continue
-                shape, pixdim = hdr["shape"], [float(x) for x in hdr["pixdim"]]
-                if len(shape) != 3:
-                    # Only 3-D volumes are sliced; others are reported
-                    out.add(volume_id=vid, shape=shape, pixdim=pixdim, status="skipped",
-                            message=f"{len(shape)}-D volume", **kept)
-                    continue
-                out.add(volume_id=vid, shape=shape, pixdim=pixdim, status="ok", **kept)
-                if mode == "thinnest":
-                    a = int(np.argmin(shape))
-                    picks = [(a, 0, shape[a])]
-                else:
-                    picks = [(a, *central_range(shape[a], n)) for a in axes]
-                for a, b, e in picks:
-                    planes = [_plane(data, a, j) for j in range(b, max(b, e))]
-                    if not planes:
+                    if source is None:
+                        raise NiftiError("no file")
+                    reader = PlaneReader(lambda: open_file(source))
+                    shape, pixdim = reader.header["shape"], reader.header["pixdim"]
+                    head = {"volume_id": vid, "shape": shape, "pixdim": pixdim, **kept}
+                    if len(shape) != 3:
+                        # Only 3-D volumes are sliced; others are reported
+                        out.add(**head, status="skipped", message=f"{len(shape)}-D volume")
                         continue
-                    if rot % 4:
-                        planes = [np.rot90(p, rot) for p in planes]
-                    stack = np.asarray(planes)
-                    if normalise:
-                        stack = normalise_stack(stack)
-                    h, w = stack.shape[1], stack.shape[2]
-                    for j in range(stack.shape[0]):
-                        out.add(volume_id=vid, axis=a, slice_no=j, height=h, width=w,
-                                dim=shape[a], pixels=stack[j].ravel(order="C"), **kept)
+                    if mode == "thinnest":
+                        a = int(np.argmin(shape))
+                        picks = [(a, 0, shape[a])]
+                    else:
+                        picks = [_to_range(shape, a, *central_range(shape[a], n)) for a in axes]
+                    for k, j, s in volume_slices(reader, picks, normalise, room):
+                        begun = True
+                        s = np.rot90(s, rot) if rot % 4 else s
+                        out.add(volume_id=vid, axis=picks[k][0], slice_no=j, height=s.shape[0], width=s.shape[1],
+                                dim=shape[picks[k][0]], pixels=s.ravel(order="C"), **kept)
                         if out.full():
                             yield out.flush()
+                    out.add(**head, status="ok")
+                except (NiftiError, OSError, EOFError, zlib.error, ValueError) as e:
+                    if begun:                        # sound at its first reading, not at a later one
+                        raise
+                    out.add(volume_id=vid, status="error", message=str(e), **kept)
                 if out.full():
                     yield out.flush()
         if out.n:
@@ -259,22 +377,40 @@ def make_decoder(mode: str = "thinnest", n: int = 50, axes=(0, 1, 2), rot: int =
 
 def decode_volumes(files: DataFrame, mode: str = "thinnest", n: int = 50, axes=(0, 1, 2),
                    rot: int = 0, normalise: bool = True, id_col: str = "volume_id",
-                   content_col: str = "content", rows_per_batch: int = 64, carry=()) -> DataFrame:
+                   content_col: str = "content", rows_per_batch: int = 64, carry=(),
+                   path_col: str | None = None) -> DataFrame:
     """S4 + A2/A4/A5/A6/A7 + P7: decode every volume file into slice rows and
-    one header row each. Only the id, the bytes and the text columns named in
-    ``carry`` enter the Python worker; these come out on every row of their
-    volume, so nothing has to be joined to pixels afterwards. Input batches
-    are bounded by Spark's own limit of bytes per Arrow batch."""
+    one header row each. Only the id, the text columns named in ``carry`` and
+    the file enter the Python worker: with ``path_col`` its path, opened in the
+    decoding task, else the bytes of ``content_col``. Carried columns come out
+    on every row of their volume, so nothing has to be joined to pixels. A task
+    holds a piece of one file, 64 MB of slices being gathered, and one output
+    batch, whatever the volumes' size."""
+    schema = T.StructType(DECODED.fields + [T.StructField(c, T.StringType()) for c in carry])
     src = files.select(F.col(id_col).cast("string").alias("volume_id"),
-                       F.col(content_col).alias("content"),
+                       F.col(path_col or content_col).alias("file"),
                        *[F.col(c).cast("string").alias(c) for c in carry])
-    fn = make_decoder(mode, n, axes, rot, normalise, rows_per_batch, tuple(carry))
-    schema = T.StructType(DECODED.fields + [T.StructField(c, T.StringType()) for c in carry])
-    # Arrow's pandas conversion turns NaN inside arrays into null; decoded
-    # pixels are never null, so a null element is a NaN put back here.
-    nan = F.lit(float("nan"))
-    return src.mapInPandas(fn, schema).withColumn(
-        "pixels", F.transform("pixels", lambda x: F.coalesce(x, nan)))
+    return src.mapInArrow(make_decoder(schema, open_path if path_col else io.BytesIO, mode, n, axes, rot,
+                                       normalise, rows_per_batch), schema)
+
+
+def packed(listing: DataFrame, order: str = "volume_file", length: str = "length",
+           bytes_per_task: int = 256 << 20) -> DataFrame:
+    """The listing's rows (paths and keys, no bytes of files) dealt over
+    tasks of about ``bytes_per_task`` bytes of files each, in the files' order."""
+    from ..operators.running import with_running_sum
+    rows = with_running_sum(listing, F.coalesce(length, F.lit(0)), [order], name="_before").withColumn(
+        "_bin", F.floor(F.col("_before") / bytes_per_task))
+    bins = rows.agg(F.max("_bin")).first()[0]
+    return rows.repartitionByRange(int(bins or 0) + 1, "_bin").drop("_bin", "_before")
+
+
+def list_volume_files(spark, path: str, glob: str = "*.nii.gz") -> DataFrame:
+    """``path, length, modified`` of the volume files below ``path``: Spark's
+    listing alone, no file is opened."""
+    return (spark.read.format("binaryFile").option("pathGlobFilter", glob)
+            .option("recursiveFileLookup", "true").load(path)
+            .select("path", "length", F.col("modificationTime").alias("modified")))
 
 
 def slices_of(decoded: DataFrame) -> DataFrame:

@@ -57,13 +57,16 @@ def subject_volume_stream(spark: SparkSession, volume_dir: str, subjects: DataFr
                           slices_path: str, products_path: str, out_dir: str, bucket: str,
                           checkpoint: str, n: int = 50,
                           files_per_trigger: int = 20, available_now: bool = True) -> StreamingQuery:
-    """E4 as a stream: each micro-batch of newly landed volume files is
-    decoded and appended (slices, then product rows)."""
+    """E4 as a stream: each micro-batch of newly listed volume files is
+    decoded (a task opens its own files) and appended (slices, ledger, then
+    product rows). A file that cannot be read is tried again when it is listed
+    again, or by ``process_subjects`` over the folder."""
     from ..plans.jobs import process_subjects
     src = (spark.readStream.format("binaryFile").schema(FILE_ROWS)
            .option("pathGlobFilter", "*.nii.gz")
            .option("recursiveFileLookup", "true").option("maxFilesPerTrigger", files_per_trigger)
-           .load(volume_dir).select(F.col("path").alias("volume_file"), "content"))
+           .load(volume_dir).select(F.col("path").alias("volume_file"), "path", "length",
+                                    F.col("modificationTime").alias("modified")))
 
     def run(batch: DataFrame, batch_id: int) -> None:
         # volumes and product rows that are landed already are left out, so a

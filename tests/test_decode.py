@@ -1,4 +1,4 @@
-"""Binary round trips: NIfTI volumes and zip archives written to a temp dir
+"""Round trips of files: NIfTI volumes and zip archives written to a temp dir
 and read back through Spark's whole-file source."""
 
 from __future__ import annotations
@@ -7,6 +7,7 @@ import gzip
 import io
 import os
 import zipfile
+import zlib
 
 import numpy as np
 
@@ -88,6 +89,42 @@ def test_decode_job_central_three_axes(spark, tmpdir_path):
             assert np.allclose(r.pixels, st[s].ravel())
 
 
+def test_slices_in_bounded_turns():
+    """Any room gives the same slices; a file is read again for each turn."""
+    rng = np.random.default_rng(8)
+    v = rng.normal(size=(7, 9, 5)).astype(np.float32)
+    raw, opened = V.encode_nifti(v), []
+
+    def open_file():
+        opened.append(1)
+        return io.BytesIO(raw)
+
+    picks = [(0, 0, 7), (1, 2, 8), (2, 1, 4)]
+    for room in (1, 1000, 1 << 20):
+        opened.clear()
+        got = {(i, j): s for i, j, s in V.volume_slices(V.PlaneReader(open_file, 64), picks, False, room)}
+        assert len(got) == 7 + 6 + 3
+        for (i, j), s in got.items():
+            assert np.array_equal(s, np.take(v.astype(float), picks[i][1] + j, axis=picks[i][0]))
+        turns = V._turns([7, 9, 5], picks, room)
+        assert len(opened) == 2 + len(turns)
+        size = [9 * 5 * 8, 7 * 5 * 8, 0]
+        assert all(sum((e - b) * size[i] for i, b, e in t) <= room or sum(e - b for i, b, e in t if i < 2) == 1
+                   for t in turns)
+
+
+def test_damage_is_found_before_any_slice():
+    raw = V.encode_nifti(np.arange(600, dtype=np.float32).reshape(10, 10, 6))
+    two = raw + b"\0" * 7                                  # padding after the end is none
+    assert len(list(V.PlaneReader(lambda: io.BytesIO(two), 50).planes())) == 6
+    for bad in (raw[:-20], raw[:-8] + b"\1" * 8, gzip.compress(gzip.decompress(raw)[:900])):
+        try:
+            list(V.volume_slices(V.PlaneReader(lambda: io.BytesIO(bad), 50), [(2, 0, 6)], False, 1 << 20))
+        except (V.NiftiError, EOFError, OSError, zlib.error):
+            continue
+        raise AssertionError("damage not found")
+
+
 def _zip(members):
     buf = io.BytesIO()
     with zipfile.ZipFile(buf, "w") as z:

@@ -136,17 +136,64 @@ def test_shared_file_names_stay_apart(spark, tmpdir_path):
         {k: 3 for k in roi}
 
 
-def test_no_exchange_above_the_decoder(spark):
-    from cortexlake.sources.volumes import decode_volumes
-    files = spark.createDataFrame([("k", "f", bytearray(b""))], VOLUME_FILES)
-    keys = files.select("object_key", F.lit("t").alias("output_tag"))
+def _plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_no_bytes_are_shuffled(spark, tmpdir_path):
+    """Above and below the decoder: only the listing is exchanged."""
+    _nifti_dir(tmpdir_path, [1, 2, 3])
+    files = V.list_volume_files(spark, os.path.join(tmpdir_path, "hcp")).withColumn("volume_file", F.col("path"))
+    subjects = spark.createDataFrame([(s,) for s in (1, 2, 3)], "subject long")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        plan = decode_volumes(files.join(keys, "object_key"), id_col="volume_file", carry=("output_tag",)) \
-            ._jdf.queryExecution().executedPlan().toString()
+        todo = J._pending(J.subject_volumes(subjects, files, "out"), os.path.join(tmpdir_path, "none"), "hcp")
+        decoded = J._decoded(todo, files, ("subject", "object_key", "output_prefix"), mode="central", n=2)
+        plan = _plan(decoded)
+        assert "content" not in plan and "Exchange" not in plan[:plan.index("MapInArrow")]
+        assert decoded.filter("slice_no is not null").count() == 3 * 3 * 2
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-    assert "Exchange" not in plan[:plan.index("MapInPandas")]
+    assert V.packed(files, bytes_per_task=1).rdd.getNumPartitions() >= 3
+
+
+def test_bad_file_then_mended(spark, tmpdir_path):
+    """The first batch holds nothing but a file that cannot be read; mended, it
+    lands; further runs add nothing; a run that died does not count."""
+    from cortexlake.sinks import writers as W
+    subjects = [100206, 100307]
+    _nifti_dir(tmpdir_path, subjects, shape=(6, 8, 10))
+    folder = os.path.join(tmpdir_path, "hcp")
+    bad = next(os.path.join(d, f) for d, _, fs in os.walk(folder) for f in fs if "100206" in f)
+    good = open(bad, "rb").read()
+    slices_p, prod_p = os.path.join(tmpdir_path, "slices"), os.path.join(tmpdir_path, "products")
+
+    def run(some):
+        files = V.list_volume_files(spark, folder).withColumn("volume_file", F.col("path"))
+        subj = spark.createDataFrame([(s,) for s in some], "subject long")
+        J.process_subjects(subj, files, slices_p, prod_p, "out", "bkt", n=4)
+        want = J.subject_volumes(subj, files, "out").select("object_key")
+        return {r.object_key.split("/")[1]: r.outcome
+                for r in J.volume_outcomes(want, slices_p, "hcp").collect()}
+
+    with open(bad, "wb") as f:
+        f.write(good[:len(good) // 2])
+    assert run(subjects[:1]) == {"100206": "error"}
+    assert run(subjects) == {"100206": "error", "100307": "ok"}
+    with open(bad, "wb") as f:
+        f.write(good)
+    # slices of a run that never reached the ledger
+    dead = W.landed_slices(spark, slices_p).withColumn("slice_no", F.lit(99))
+    dead.drop("run", "target_key").write.mode("overwrite").parquet(os.path.join(tmpdir_path, "dead"))
+    W.append_slices(spark.read.parquet(os.path.join(tmpdir_path, "dead")), slices_p, "run-dead")
+    for _ in range(3):
+        assert run(subjects) == {"100206": "ok", "100307": "ok"}
+    cut = W.landed_slices(spark, slices_p)
+    assert cut.count() == cut.select("target_key").distinct().count() == 2 * 3 * 4
+    assert spark.read.parquet(prod_p).count() == 6
+    ledger = spark.read.parquet(W.ledger_path(slices_p))
+    assert sorted((r.subject, r.attempt, r.status) for r in ledger.collect()) == [
+        ("100206", 1, "error"), ("100206", 2, "error"), ("100206", 3, "ok"), ("100307", 1, "ok")]
 
 
 def test_process_series_end_to_end(spark, tmpdir_path):
@@ -261,3 +308,65 @@ def test_bounded_store_pages(spark):
     pages = K.stores_json(stores, images, "bkt", page_size=128).collect()
     assert max(r.n_images for r in pages) <= 128
     assert sum(r.n_images for r in pages) == 1000
+
+
+def test_requests_one_after_the_other(spark, tmpdir_path):
+    import random
+    r = random.Random(4)
+    stores = [(i, f"n{i % 5}") for i in range(12)] + [(50, "alone"), (51, None)]
+    images = [(100 + i, "x", ["/a"], u) for i, (u, _) in enumerate(stores)]
+    names = [f"n{i}" for i in range(5)] + ["new1", "new2", "hot"]
+    log = [(s, r.choice(["insert", "delete"]), "hot" if s % 3 == 0 else r.choice(names)) for s in range(60)]
+    log += [(60, "insert", "back"), (61, "delete", "back"), (62, "insert", "back"), (63, "insert", None)]
+    left = {n: sorted(u for u, m in stores if m == n) for n in {m for _, m in stores} | {n for _, _, n in log}}
+    for _, op, n in log:
+        if n is not None and op == "insert" and not left[n]:
+            left[n] = ["new"]
+        elif n is not None and op == "delete":
+            left[n] = left[n][1:]
+    path = os.path.join(tmpdir_path, "replayed")
+    J.replay_store_requests(
+        spark.createDataFrame(stores, "uid long, name string"),
+        spark.createDataFrame(images, "uid long, name string, images array<string>, store_id int"),
+        spark.createDataFrame(r.sample(log, len(log)), "seq long, op string, name string"), path)
+    old = {u for u, _ in stores}
+    got = spark.read.parquet(path + "/stores").collect()
+    assert sorted(((x.name, x.uid if x.uid in old else "new") for x in got), key=str) == sorted(
+        ((n, u) for n, us in left.items() for u in us), key=str)
+    assert len({x.uid for x in got}) == len(got)
+    stay = {u for us in left.values() for u in us}
+    assert {x.uid: x.store_id for x in spark.read.parquet(path + "/images").collect()} == {
+        i: u if u in stay else None for i, _, _, u in images}
+
+
+def test_bundle_parts(spark):
+    import random
+    r = random.Random(6)
+    rows = [("big" if i % 3 else f"c{i % 7}", i, 0, r.choice([0, 10, 90, 250])) for i in range(400)] + [(None, 1, 0, 5)]
+    df = spark.createDataFrame(rows, "name string, uid long, image_no int, bytes long").repartition(6)
+    got = {(x.name, x.uid): (x.part, x.part_offset) for x in K.export_parts(df, 200).collect()}
+    at, first, want = {}, {}, {}
+    for name, uid, _, size in sorted(rows, key=lambda x: (str(x[0]), x[1])):
+        before = at.get(name, 0)
+        part = before // 200
+        want[name, uid] = (part, before - first.setdefault((name, part), before))
+        at[name] = before + size
+    assert got == want
+
+
+def test_published_versions(spark, tmpdir_path):
+    import pytest
+    from cortexlake.sinks import writers as W
+    path = os.path.join(tmpdir_path, "manifest")
+    with pytest.raises(FileNotFoundError):
+        W.read_published(spark, path, SC.MANIFEST_FILE)
+    one = C.build_manifest(spark.createDataFrame(CATALOG, schema=SC.SERIES_CATALOG))
+    W.publish(one, path)
+    fail = F.udf(lambda x: 1 / 0, "string")
+    with pytest.raises(Exception):
+        W.publish(one.withColumn("object_key", fail("object_key")), path)      # dies while it writes
+    assert W.read_published(spark, path, one.schema).count() == 3
+    W.publish(one.limit(1), path)
+    assert W.read_published(spark, path, one.schema).count() == 1
+    last = W.published(spark, path)
+    assert last["number"] == 2 and last["rows"] == 1 and last["files"] >= 1
