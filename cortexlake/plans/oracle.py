@@ -322,7 +322,7 @@ oracle("subject_metadata", with_ctes(fx.VOLUME_SHAPES_SQL, _SUBJ_AX) +
 # whole volume jobs: of sound files; each volume's thinnest extent is two
 _SERIES_TAG = "concat(PatientID, '_3T', SeriesDate)"
 oracle("series_products", with_ctes(fx.SERIES_CATALOG_SQL, MANIFEST_CTE, fx.DICOM_FILES_SQL, _FIRST) +
-       "select coalesce(f.SeriesInstanceUID, 'None') as series_uid, coalesce(f.SeriesDate, 'None') as series_date, "
+       "select distinct coalesce(f.SeriesInstanceUID, 'None') as series_uid, coalesce(f.SeriesDate, 'None') as series_date, "
        f"{sql_axis('m.object_key')} as scan_axis, case when {sql_axis('m.object_key')} like 'other%' then 'other' "
        f"else {sql_axis('m.object_key')} end as axis_family, coalesce(f.Manufacturer, 'None') as manufacturer, "
        "coalesce(f.ManufacturerModelName, 'None') as model_name, "
@@ -382,10 +382,10 @@ oracle("export_cohort", _CP +
        f"'{HOST}' || image as url from (select name, unnest(images) as image, "
        "unnest(range(0, len(images))) as image_no from cohorts) t")
 oracle("export_parts", _CP +
-       "select name, part, cast(row_number() over (partition by name, part order by series_uid, image_no) as int) "
+       "select name, part, cast(row_number() over (partition by name, part order by series_uid, image_no, entry) as int) "
        "as entry_no, entry, bytes, before - min(before) over (partition by name, part) as part_offset from "
        "(select *, cast(before // 65536 as bigint) as part from (select *, cast(sum(bytes) over (partition by name "
-       "order by series_uid, image_no) - bytes as bigint) as before from (select *, "
+       "order by series_uid, image_no, entry) - bytes as bigint) as before from (select *, "
        "cast(1000 + 37 * length(entry) % 4096 as bigint) as bytes from (select name, series_uid, image_no, "
        "url_decode(image) as entry from (select name, series_uid, unnest(images) as image, "
        "unnest(range(0, len(images))) as image_no from cohorts) t) u) v) w) x")

@@ -377,11 +377,10 @@ def q_series_products(spark, sf_dir):
     """The volume of vec_id belongs to the series of the order of that number."""
     cat = _catalog(spark, sf_dir).select(
         F.col("series_uid").alias("_uid"), "object_key",
-        F.concat(F.lit("/work/"), F.col("PatientID"), F.lit("_3T("), F.col("SeriesDate"), F.lit(").nii.gz"))
-        .alias("volume_file"))
-    files = fx.stored_volumes(spark, sf_dir)
+        F.concat(F.lit("/"), F.col("PatientID"), F.lit("_3T("), F.col("SeriesDate"), F.lit(").nii.gz")).alias("_name"))
     uid = F.concat(F.lit(fx.SERIES_ROOT), F.lpad("volume_id", 40, "7"))
-    files = files.join(cat, uid == F.col("_uid")).drop("_uid")
+    files = fx.stored_volumes(spark, sf_dir).join(cat, uid == F.col("_uid")).withColumn(
+        "volume_file", F.concat(F.lit("/work/"), "volume_id", "_name"))
     place = scratch_path(spark, f"series-{uuid.uuid4().hex}")
     J.process_series(C.build_manifest(fx.series_catalog(spark, sf_dir)), files, fx.dicom_files(spark, sf_dir),
                      f"{place}/slices", f"{place}/products", TCIA_OUT_DIR, BUCKET)
@@ -477,8 +476,9 @@ def q_export_parts(spark, sf_dir):
     c = _cohorts(spark, sf_dir).withColumn("uid", F.col("series_uid"))
     e = K.export_manifest(c, bucket=BUCKET).withColumn(
         "bytes", (F.lit(1000) + F.lit(37) * F.length("entry") % 4096).cast("long"))
-    parts = K.export_parts(e, 65536)
-    no = F.row_number().over(Window.partitionBy("name", "part").orderBy("uid", "image_no"))
+    order = ("uid", "image_no", "entry")
+    parts = K.export_parts(e, 65536, order=order)
+    no = F.row_number().over(Window.partitionBy("name", "part").orderBy(*order))
     return parts.select("name", "part", no.alias("entry_no"), "entry", "bytes", "part_offset")
 
 
