@@ -57,7 +57,7 @@ def _map(docs: DataFrame, schema: str, row) -> DataFrame:
                 [b.column(0), *(pa.array([r[i] for r in out], t) for i, (_, t) in enumerate(cols))],
                 ["doc_id", *(n for n, _ in cols)])
 
-    kinds = {"long": pa.int64(), "string": pa.string(), C.BYTES: pa.binary()}
+    kinds = {"long": pa.int64(), "string": pa.string(), C.BYTES: C.ARROW_BYTES}
     cols = [(n, kinds[t]) for n, t in (x.split() for x in schema.split(","))]
     return docs.mapInArrow(run, "doc_id long, " + schema)
 

@@ -9,6 +9,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_type
 
 from ..session import scratch_path
 
@@ -16,6 +17,7 @@ from ..session import scratch_path
 SPACE = r"[\x20\x09-\x0D]"
 #: Type name of a column of bytes.
 BYTES = T.BinaryType().simpleString()
+ARROW_BYTES = to_arrow_type(T.BinaryType())
 #: Stands for a missing doc_id where ids are ordered: after every real id.
 NO_ID = (1 << 63) - 1
 

@@ -3,8 +3,9 @@
 Per site (host), the share of its pages that contain a line tells boilerplate
 from content: lines on more than ``max_ratio`` of the site's pages, and on at
 least ``min_pages`` of them, are dropped from every page of the site. Built-in
-functions only. A page adds a line at most once; counts are pre-aggregated in
-the map side, so a hot line or site costs one row per task. The boilerplate
+functions only. A page adds a line at most once, and rows with the same set of
+lines are one page; counts are pre-aggregated in the map side, so a hot line or
+site costs one row per task. The boilerplate
 lists are short by construction: a site has at most (lines per page) /
 max_ratio of them."""
 
@@ -22,21 +23,25 @@ def _key(line: Column) -> Column:
     return F.struct(F.xxhash64(t).alias("a"), F.xxhash64(F.lit(1), t).alias("b"))
 
 
-def boilerplate(docs: DataFrame, site_col: str, text_col: str = "text", max_ratio: float = 0.05,
-                min_pages: int = 10, copies: bool = True) -> DataFrame:
-    """``site, lines``: per site the keys of its boilerplate lines. Without
-    ``copies``, rows of a site with the same set of lines are one page."""
+def line_sets(docs: DataFrame, site_col: str, text_col: str = "text", *others: str) -> DataFrame:
+    """``site, keys`` (the different lines of a row) and the columns ``others``."""
+    lines = F.split(F.col(text_col).cast("string"), "\n")
     keys = F.array_distinct(F.transform(
-        F.filter(F.split(F.col(text_col).cast("string"), "\n"), lambda x: F.btrim(x, F.lit(" \t\r")) != ""), _key))
-    pages = docs.select(F.col(site_col).cast("string").alias("site"), keys.alias("keys"))
-    if not copies:
-        pages = C.saved(pages.select("site", "keys", F.xxhash64(F.array_sort("keys")).alias("a"),
-                                     F.xxhash64(F.lit(1), F.array_sort("keys")).alias("b"))
-                        .groupBy("site", "a", "b").agg(F.first("keys").alias("keys"))
-                        .select("site", "keys"), "pages")
+        F.filter(lines, lambda x: F.btrim(x, F.lit(" \t\r")) != ""), _key))
+    none = F.array().cast("array<struct<a:bigint,b:bigint>>")
+    return docs.select(F.col(site_col).cast("string").alias("site"), F.coalesce(keys, none).alias("keys"), *others)
+
+
+def boilerplate(sets: DataFrame, max_ratio: float = 0.05, min_pages: int = 10) -> DataFrame:
+    """``site, lines``: per site the keys of its boilerplate lines. Rows of
+    ``sets`` (``site, keys``) that have a site and its set of lines in common
+    are one page: copies say nothing about a line."""
+    pages = C.saved(sets.select("site", "keys", F.xxhash64(F.array_sort("keys")).alias("a"),
+                                F.xxhash64(F.lit(1), F.array_sort("keys")).alias("b"))
+                    .groupBy("site", "a", "b").agg(F.first("keys").alias("keys"))
+                    .select("site", "keys"), "pages")
     totals = pages.groupBy("site").agg(F.count("*").alias("pages"))
-    lines = (pages.filter(F.col("keys").isNotNull())
-             .select("site", F.explode("keys").alias("k"))
+    lines = (pages.select("site", F.explode("keys").alias("k"))
              .groupBy("site", "k").agg(F.count("*").alias("n"))
              .filter(F.col("n") >= min_pages))
     return (lines.join(totals, lines["site"].eqNullSafe(totals["site"]))
@@ -44,19 +49,24 @@ def boilerplate(docs: DataFrame, site_col: str, text_col: str = "text", max_rati
             .groupBy(lines["site"]).agg(F.collect_list("k").alias("lines")))
 
 
-def line_dedup(docs: DataFrame, site_col: str = "source", text_col: str = "text",
-               max_ratio: float = 0.05, min_pages: int = 10, copies: bool = True) -> DataFrame:
+def line_dedup(docs: DataFrame, site_col: str = "source", text_col: str = "text", max_ratio: float = 0.05,
+               min_pages: int = 10, pages: DataFrame | None = None) -> DataFrame:
     """Every input row with all its columns in the struct ``row``, the text
     that stays (``kept``) and ``n_lines``, ``n_removed``.
 
     Lines end at line feeds; a line is compared without outer blanks, tabs and
     carriage returns; lines that are empty so are never counted or dropped;
-    kept lines are unchanged. Null text stays null (no lines); an empty text
-    stays empty; a null site is a site of its own; repeated rows count as
-    pages of their own (as in ``ORACLE``) or, without ``copies``, rows with
-    the same set of lines as one; a site with under ``min_pages`` pages keeps
-    all."""
-    drop = C.saved(boilerplate(docs, site_col, text_col, max_ratio, min_pages, copies), "boilerplate") \
+    kept lines are unchanged. Rows of a site with the same set of lines count
+    as one page, so groups of copies do not make their own text boilerplate;
+    ``pages`` (from ``line_sets``) names the rows that count, all by default:
+    where near copies are known, one of each group. Null text stays null (no
+    lines; it counts like a text without lines); an empty text stays empty; a
+    null site is a site of its own; repeated rows are kept as they are; texts
+    of any length are split whole; a site with under ``min_pages`` pages keeps
+    all; an empty table gives an empty result; columns of any name go along
+    inside ``row``."""
+    sets = line_sets(docs, site_col, text_col) if pages is None else pages
+    drop = C.saved(boilerplate(sets, max_ratio, min_pages), "boilerplate") \
         .select(F.col("site").alias("_site"), F.col("lines").alias("_lines"))
     rows = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("row"))
     text = F.col("row")[text_col].cast("string")
@@ -76,8 +86,11 @@ WITH d AS (SELECT row_number() OVER () AS r, doc_id, source, text FROM documents
 l AS (SELECT r, doc_id, source, unnest(string_split(text, chr(10))) AS line,
              generate_subscripts(string_split(text, chr(10)), 1) AS i FROM d),
 k AS (SELECT *, trim(line, ' ' || chr(9) || chr(13)) AS key FROM l),
-n AS (SELECT source, key, count(DISTINCT r) AS n FROM k WHERE key <> '' GROUP BY source, key),
-p AS (SELECT source, count(*) AS pages FROM documents GROUP BY source),
+s AS (SELECT DISTINCT source, coalesce(list_sort(list_distinct(list_filter(list_transform(
+        string_split(text, chr(10)), lambda x: trim(x, ' ' || chr(9) || chr(13))), lambda x: x <> ''))),
+        []) AS page FROM documents),
+n AS (SELECT source, key, count(*) AS n FROM (SELECT source, unnest(page) AS key FROM s) u GROUP BY source, key),
+p AS (SELECT source, count(*) AS pages FROM s GROUP BY source),
 b AS (SELECT n.source, key FROM n JOIN p ON n.source IS NOT DISTINCT FROM p.source
       WHERE n >= 10 AND n > pages * 0.05),
 f AS (SELECT r, i, line, b.key IS NOT NULL AS cut FROM k

@@ -93,7 +93,7 @@ def token_pieces(docs: DataFrame, vocabulary: str = "word_bpe_49k.json", capacit
                     part = ids[i:i + step]
                     rows.append((doc_id, k, i // 4, len(part) // 4, zlib.crc32(part))
                                 + ((part,) if with_ids else ()))
-            kinds = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.binary()]
+            kinds = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), C.ARROW_BYTES]
             names = ["doc_id", "piece", "start", "length", "ids_crc32", "ids"]
             cols = list(zip(*rows)) or [[]] * (5 + with_ids)
             yield pa.RecordBatch.from_arrays(

@@ -217,7 +217,7 @@ def _send(window: int, chars: int, buckets: Buckets):
             for i in range(0, len(rows), 200):
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(c, t) for c, t in zip(zip(*rows[i:i + 200]),
-                                                    (pa.int64(), pa.string(), pa.binary()))],
+                                                    (pa.int64(), pa.string(), C.ARROW_BYTES))],
                     ["bucket", "block", "payload"])
     return run
 

@@ -83,6 +83,32 @@ def test_copies_are_one_page_in_the_pipeline(spark, docs_of):
         assert got[i] == (t.split("\n")[1] if i < 40 else t)
 
 
+def test_copies_are_one_page(docs_of):
+    copy = prose(9999, 5) + "\n" + prose(9998, 5)
+    rows = [(i, f"menu here\n{prose(i, 5)}", "en", "a") for i in range(40)]
+    rows += [(100 + i, copy + " \n" * (i % 2), "en", "a") for i in range(60)] + [(300, None, "en", "a")]
+    for r in line_dedup.line_dedup(docs_of(rows)).collect():
+        t = r.row["text"]
+        assert r.kept == (t.split("\n")[1] if r.row["doc_id"] < 40 else t)
+
+
+def test_near_copies_keep_their_lines_in_the_pipeline(spark, docs_of):
+    """A tenth, and a third, of a source are near copies that differ in their
+    first line: the boilerplate goes, the kept document's own lines stay."""
+    import corpus_pipeline as P
+    for n, others in ((12, 110), (40, 80)):
+        body = "\n".join(prose(7000 + k, 12) for k in range(40))
+        rows = [(i, f"menu here\n{prose(i, 30)}", "en", "a") for i in range(others)]
+        rows += [(1000 + i, f"{prose(5000 + i, 3)}\n{body}\nmenu here", "en", "a") for i in range(n)]
+        docs = saved(docs_of(rows), "near-lines")
+        lines = saved(P.stage_lines(spark, docs, ""), "near-lines")
+        got = {r.doc_id: r.text for r in lines.collect()}
+        for i, t, _, _ in rows:
+            assert got[i] == "\n".join(x for x in t.split("\n") if x != "menu here")
+        kept = [r.doc_id for r in P.stage_near(spark, lines, "").collect()]
+        assert [i for i in kept if i >= 1000] == [1000] and len(kept) == others + 1
+
+
 # ------------------------------------------------------------ substring
 def brute_substring(rows, k=13):
     first: dict = {}

@@ -34,6 +34,19 @@ def test_top_k(spark, shard_rows):
     assert topk.top_k(empty, empty).count() == 0
 
 
+def test_ball_tree_cuts_subtrees():
+    rng = np.random.default_rng(5)
+    x = np.floor(256 * (rng.normal(size=(40, 8))[rng.integers(0, 40, 20_000)] + 0.02 * rng.normal(size=(20_000, 8))))
+    tree = topk.BallTree(np.arange(len(x)), x)
+    for q in range(0, 400, 10):
+        s, i = tree.search(x[q], q, 5, float("-inf"))
+        score = x @ x[q]
+        score[q] = -np.inf
+        want = np.lexsort((np.arange(len(x)), -score))[:5]
+        assert i.tolist() == want.tolist() and s.tolist() == score[want].tolist()
+    assert tree.visited < 0.25 * 40 * len(tree.ranges)
+
+
 # ----------------------------------------------------------- language ID
 def brute_word(word, p, index):
     n, total = len(word), 0.0
@@ -128,6 +141,65 @@ def test_alignment():
     assert html_extract.align("y()", a) == {}
 
 
+def test_inline_words_stay_and_unclosed_elements_end():
+    text = lambda body: html_extract.main_text(f"<body>{body}</body>", set())
+    assert text("<p>Prices <span class=share>rose 3 points</span> today</p>") == "Prices rose 3 points today"
+    assert text("<p>a <span hidden>b</span>c</p>") == "a c"
+    assert text("<p>one</p><canvas id=c><p>two</p><p>three</p>") == "one two three"
+    assert text("<p>a<svg><path/></svg>b</p><p>c<svg>x</p><p>d</p><p>e<svg>y</svg>f</p>") == "ab c d ef"
+    assert text("<p>a</p><script>var s='<p>no</p>';</script><p>b</p><style>p{") == "a b"
+
+
+def test_long_comments_go():
+    body = "<div><h1>Title</h1><p>A short story about {0}, told at once.</p></div><div id=comments>" + \
+        "".join(f"<div><p>reader {k}</p><p>said something about {{0}}</p></div>" for k in range(5)) + "</div>"
+    assert html_extract.main_text(body.format("bees"), set()) == "Title A short story about bees, told at once."
+
+
+def test_long_lists_fold_and_align():
+    import time
+    page = lambda n: "<dl>" + "".join(f"<dt>t{i}</dt><dd>d{i}</dd>" for i in range(n)) + "</dl>"
+    start = time.time()
+    shapes = [html_extract.skeleton(html_extract.parse(page(n))[0]) for n in (5000, 4000, 1)]
+    assert set(shapes) == {"(dl(dt(),dd()))"} and html_extract.align(*shapes[:2]) == {0: 0, 1: 1, 2: 2, 3: 3}
+    mixed = html_extract.parse("<h2>a</h2><p>b</p><p>c</p><h2>d</h2><p>e</p>")[0]
+    assert html_extract.skeleton(mixed) == "(h2(),p())" and [c.number for c in mixed.children] == [1, 2, 2, 1, 2]
+    # nothing to fold: every sibling differs from those around it
+    odd = "".join(f"<{('h2', 'p', 'div', 'ul', 'h3')[(i * i + i // 7) % 5]} class=c{'x' * (i % 11)}>x" for i in range(3))
+    assert html_extract.skeleton(html_extract.parse(odd)[0])
+    tags = np.random.default_rng(3).choice(["h2", "p", "ul", "h3", "dl"], 1500)
+    long = "x(" + ",".join(f"{t}()" for t in tags) + ")"
+    assert html_extract.align(long, long) == {i: i for i in range(1501)}
+    assert time.time() - start < 30
+
+
+def brute_matching(a, b):
+    """Most nodes that an order-keeping matching by tag pairs, by plain recursion."""
+    if a[0] != b[0]:
+        return 0
+    p, q = a[1], b[1]
+    best = [[0] * (len(q) + 1) for _ in range(len(p) + 1)]
+    for i in range(len(p)):
+        for j in range(len(q)):
+            best[i + 1][j + 1] = max(best[i][j + 1], best[i + 1][j], best[i][j] + brute_matching(p[i], q[j]))
+    return 1 + best[-1][-1]
+
+
+def test_alignment_matches_most_nodes():
+    import random
+    r = random.Random(8)
+
+    def tree(depth):
+        return (r.choice("xyz"), [tree(depth - 1) for _ in range(r.randint(0, 4))] if depth else [])
+
+    def text(t):
+        return f"{t[0]}({','.join(map(text, t[1]))})"
+
+    for _ in range(60):
+        a, b = ("r", [tree(2) for _ in range(3)]), ("r", [tree(2) for _ in range(3)])
+        assert len(html_extract.align(text(a), text(b))) == brute_matching(a, b)
+
+
 def test_deep_pages(spark):
     deep = ["<div>" * 5000, "<blockquote><center>" * 2000, "".join(f"<div class=c{'x' * (i % 7)}>" for i in range(3000))]
     df = spark.createDataFrame([(i, "http://h/", page(i, f"<p>Read our letter</p>{deep[i % 3]}<p>story {i}"))
@@ -184,7 +256,7 @@ def test_template_is_what_stays_the_same(spark):
 
 def test_a_page_carries_its_own_skeletons_constants(spark):
     body = "<div><p>Read our weekly letter</p></div>{0}<section><p>story {1}</p></section>"
-    df = spark.createDataFrame([(i, "http://h/", page(i, body.format("<h2></h2><ul></ul>" * i, i))) for i in range(40)],
+    df = spark.createDataFrame([(i, "http://h/", page(i, body.format("<ul>" * i + "</ul>" * i, i))) for i in range(40)],
                                "page_id long, url string, html string")
     known = html_extract.templates(df.selectExpr("url AS site", "html")).collect()
     assert len(known) == 40 and all(len(r.constants) == 1 for r in known)
