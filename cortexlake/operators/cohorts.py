@@ -85,6 +85,50 @@ def count_cases(cohorts: DataFrame) -> DataFrame:
         F.sum(F.size("images")).alias("n_images"))
 
 
+def case_numbers(cohorts: DataFrame, known: DataFrame | None = None) -> DataFrame:
+    """``series_uid, number`` of the cases of ``cohorts`` that ``known`` (the
+    same columns) has not, numbered on from its largest: dense, without a
+    window over all of them."""
+    new, first = cohorts.select("series_uid").filter("series_uid is not null").distinct(), 0
+    if known is not None:
+        first = known.agg(F.coalesce(F.max("number") + 1, F.lit(0))).first()[0]
+        new = new.join(known, "series_uid", "left_anti")
+    return with_running_sum(new, F.lit(1), ["series_uid"], name="_n").select(
+        "series_uid", (F.col("_n") + first).cast("long").alias("number"))
+
+
+def case_state(cohorts: DataFrame, numbers: DataFrame) -> DataFrame:
+    """G4 of one delivery, to be kept and merged: per cohort and page of 32,768
+    numbers a bitmap of its cases, and with page -1 its sets and images."""
+    page, bit = F.bitmap_bucket_number("number"), F.bitmap_bit_position("number")
+    bits = cohorts.select("name", "series_uid").join(numbers, "series_uid").groupBy("name", page.alias("page")).agg(
+        F.bitmap_construct_agg(bit).alias("bits"), F.lit(0).cast("long").alias("n_sets"),
+        F.lit(0).cast("long").alias("n_images"))
+    sums = cohorts.groupBy("name").agg(F.count("*").alias("n_sets"),
+                                       F.sum(F.size("images")).cast("long").alias("n_images"))
+    return bits.unionByName(sums.select("name", F.lit(-1).cast("long").alias("page"),
+                                        F.lit(None).cast(bits.schema["bits"].dataType).alias("bits"),
+                                        "n_sets", "n_images"))
+
+
+def merged_cases(*states: DataFrame) -> DataFrame:
+    """The state of several deliveries: bitmaps are joined bit by bit, so a case
+    that comes again counts once; earlier deliveries are not read again."""
+    out = states[0]
+    for s in states[1:]:
+        out = out.unionByName(s)
+    return out.groupBy("name", "page").agg(F.bitmap_or_agg("bits").alias("bits"), F.sum("n_sets").alias("n_sets"),
+                                           F.sum("n_images").alias("n_images"))
+
+
+def cases_of(state: DataFrame) -> DataFrame:
+    """``count_cases`` out of a (merged) state."""
+    return state.groupBy("name").agg(
+        F.sum("n_sets").cast("long").alias("n_sets"),
+        F.sum(F.when(F.col("page") >= 0, F.bitmap_count("bits")).otherwise(0)).cast("long").alias("n_cases"),
+        F.sum("n_images").cast("long").alias("n_images"))
+
+
 # --------------------------------------------------------- lookups
 def images_by_name(images: DataFrame, name: str) -> DataFrame:
     """Every image set of that name (an empty result is "not found")."""

@@ -123,6 +123,25 @@ def minmax_normalise(slices: DataFrame, keys=STACK_KEYS, pixels: str = "pixels")
                                         F.col("has_nan"))).drop("gmin", "gmax", "has_nan")
 
 
+def write_stacks(slices: DataFrame, table: str, buckets: int, keys=STACK_KEYS) -> None:
+    """K5 for stacks that are read again and again: the slices as a table in
+    ``buckets`` buckets by ``stack`` (their ``keys`` as one value)."""
+    stack = F.concat_ws("/", *[F.col(k).cast("string") for k in keys])
+    (slices.withColumn("stack", stack).repartition(buckets, "stack").write.mode("errorifexists")
+     .bucketBy(buckets, "stack").sortBy("stack").saveAsTable(table))
+
+
+def minmax_normalise_stored(stacks: DataFrame, pixels: str = "pixels") -> DataFrame:
+    """A7 on a table of ``write_stacks``: a bucket holds all slices of its
+    stacks, so extrema are taken and meet the pixels where they lie; nothing
+    is exchanged, whatever the sizes. The merge join streams a stack's slices
+    past its one row of extrema."""
+    ext = stack_extrema(stacks, ("stack",), pixels)
+    return stacks.join(ext.hint("merge"), "stack").withColumn(
+        pixels, _scaled(F.col(pixels), F.col("gmin"), F.col("gmax"), F.col("has_nan"))) \
+        .drop("gmin", "gmax", "has_nan", "stack")
+
+
 def scale_range(slices: DataFrame, keys=STACK_KEYS, pixels: str = "pixels") -> DataFrame:
     """min/max of each (normalised) stack and whether it spans [0, 1]."""
     e = stack_extrema(slices, keys, pixels)

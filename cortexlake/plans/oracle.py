@@ -95,6 +95,7 @@ oracle("uid_suffix_last5", with_catalog(
     "select SeriesInstanceUID as series_uid, right(StudyInstanceUID, 5) as study_sfx, "
     "right(SeriesInstanceUID, 5) as instance_sfx from series_catalog"))
 oracle("object_key", with_catalog("select series_uid, object_key from manifest", True))
+oracle("published_manifest", ORACLE["object_key"])
 oracle("object_key_onepass", with_catalog(
     f"select SeriesInstanceUID as series_uid, {sql_key('onepass')} as object_key from series_catalog"))
 oracle("select_roi", with_catalog(
@@ -218,6 +219,7 @@ oracle("minmax_normalise", _NORM +
        "select cast(volume_id as varchar) as volume_id, slice_no, cast(pixel as int) as pixel, "
        "case when gmax = gmin then 'NaN'::double else (pixels[pixel + 1] - gmin) / (gmax - gmin) end "
        "as value from px")
+oracle("minmax_normalise_stored", ORACLE["minmax_normalise"])
 oracle("scale_range_check", _NORM +
        ", nv as (select volume_id, (pixels[pixel + 1] - gmin) / (gmax - gmin) as v from px) "
        "select cast(volume_id as varchar) as volume_id, min(v) as scale_min, max(v) as scale_max, "
@@ -372,6 +374,7 @@ oracle("build_cohorts", _CP +
 oracle("count_cases", _CP +
        "select name, count(*) as n_sets, count(distinct series_uid) as n_cases, "
        "cast(sum(len(images)) as bigint) as n_images from cohorts group by name")
+oracle("count_cases_merged", ORACLE["count_cases"])
 oracle("images_by_name", _CP +
        "select name, series_uid, cast(len(images) as int) as n_images from cohorts where name = 'notumor_sag'")
 oracle("first_store_by_name", _CP +

@@ -24,8 +24,8 @@ from ..plans import jobs as J
 from ..sources import archives as A
 from ..sources import volumes as V
 from ..schemas import PRODUCTS
-from ..session import read_table, scratch_path
-from ..sinks.writers import landed_slices
+from ..session import cut_lineage, read_table, scratch_path
+from ..sinks.writers import landed_slices, publish, read_published
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -92,6 +92,15 @@ def q_object_key(spark, sf_dir):
     return C.build_manifest(fx.series_catalog(spark, sf_dir), "twopass")
 
 
+@query("published_manifest")
+def q_published_manifest(spark, sf_dir):
+    """K1, K2: the manifest as readers find it once it is published."""
+    rows, path = C.build_manifest(fx.series_catalog(spark, sf_dir)), scratch_path(spark, f"manifest-{uuid.uuid4().hex}")
+    publish(rows.limit(0), path)
+    publish(rows, path)
+    return read_published(spark, path, rows.schema)
+
+
 @query("object_key_onepass")
 def q_object_key_onepass(spark, sf_dir):
     return C.build_manifest(fx.series_catalog(spark, sf_dir), "onepass")
@@ -268,6 +277,13 @@ def q_minmax_normalise(spark, sf_dir):
     return _pixels_long(nm, ["volume_id", "slice_no"])
 
 
+@query("minmax_normalise_stored")
+def q_minmax_normalise_stored(spark, sf_dir):
+    table = f"stacks_{uuid.uuid4().hex}"
+    S.write_stacks(S.slice_central(fx.slices_table(spark, sf_dir), 50), table, 8)
+    return _pixels_long(S.minmax_normalise_stored(spark.table(table)), ["volume_id", "slice_no"])
+
+
 @query("scale_range_check")
 def q_scale_range_check(spark, sf_dir):
     st = S.slice_central(fx.slices_table(spark, sf_dir), 50)
@@ -451,6 +467,18 @@ def q_count_cases(spark, sf_dir):
         "name", "n_sets", "n_cases", F.col("n_images").cast("long").alias("n_images"))
 
 
+@query("count_cases_merged")
+def q_count_cases_merged(spark, sf_dir):
+    """G4 kept up over two deliveries, the second with cases of the first."""
+    c = _cohorts(spark, sf_dir)
+    late = F.pmod(F.xxhash64("series_uid", "scan_axis", "source", F.size("images")), F.lit(3)) == 0
+    first, second = c.filter(~late), c.filter(late)
+    numbers = cut_lineage(K.case_numbers(first))
+    state = cut_lineage(K.case_state(first, numbers))
+    numbers = numbers.unionByName(K.case_numbers(second, numbers))
+    return K.cases_of(K.merged_cases(state, K.case_state(second, numbers)))
+
+
 @query("images_by_name")
 def q_images_by_name(spark, sf_dir):
     c = K.images_by_name(_cohorts(spark, sf_dir), "notumor_sag")

@@ -370,3 +370,47 @@ def test_published_versions(spark, tmpdir_path):
     assert W.read_published(spark, path, one.schema).count() == 1
     last = W.published(spark, path)
     assert last["number"] == 2 and last["rows"] == 1 and last["files"] >= 1
+
+
+def test_large_catalog_in_many_tasks(spark, tmpdir_path):
+    import random
+    r = random.Random(1)
+    text = ["plain", 'a},{"b":1},{c', "},", "{}},{},{", 'say \\"hi\\"', "é中", "x" * 300, None, ""]
+    rows = [{"Collection": r.choice(text), "PatientID": f"P{i}", "SeriesNumber": i, "Other": {"a": {"b": [1]}, "c": {}},
+             "SeriesDescription": r.choice(text), "SeriesInstanceUID": f"1.{i}"} for i in range(300)]
+    files = {"one_line": json.dumps(rows), "many_lines": json.dumps(rows, indent=2, ensure_ascii=False),
+             "empty": "[]", "single": json.dumps(rows[:1])}
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "400b")
+    spark.conf.set("spark.sql.files.openCostInBytes", "400b")
+    try:
+        for name, body in files.items():
+            path = os.path.join(tmpdir_path, name + ".json")
+            with open(path, "w") as f:
+                f.write(body)
+            got = SC.read_large_catalog(spark, path)
+            want = SC.read_series_catalog(spark, path).filter("SeriesInstanceUID is not null")
+            assert sorted(map(str, got.collect())) == sorted(map(str, want.collect())), name
+        lines = spark.read.option("lineSep", "},").text(os.path.join(tmpdir_path, "one_line.json"))
+        assert lines.rdd.getNumPartitions() > 50
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+
+
+def test_stored_stacks_are_normalised_where_they_lie(spark):
+    import uuid
+
+    from cortexlake.operators import slices as S
+    rows = [(f"v{i % 5}", i % 2, i, [float(i * k % 7) for k in range(4)]) for i in range(60)] + [("n", 0, 0, [1.0, float("nan")])]
+    df = spark.createDataFrame(rows, "volume_id string, axis int, slice_no int, pixels array<double>")
+    table = f"stacks_{uuid.uuid4().hex}"
+    S.write_stacks(df, table, 4)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        got = S.minmax_normalise_stored(spark.table(table))
+        plan = _plan(got)
+        assert "Exchange" not in plan and "SortMergeJoin" in plan
+        assert sorted(map(str, got.collect())) == sorted(map(str, S.minmax_normalise(df).select(got.columns).collect()))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.sql(f"drop table {table}")
