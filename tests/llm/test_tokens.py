@@ -124,3 +124,16 @@ def test_packing(docs_of, odd_texts, run_items):
     bound = packing.lower_bound(*np.unique([w[3] for w in want], return_counts=True), 256)
     assert bound <= len(bins) <= bound + 1
     assert packing.best_fit_packing(docs_of([])).count() == 0
+
+
+def test_tier_one_answers_frequent_pre_tokens(docs_of):
+    from tokenizers import Tokenizer
+    t = Tokenizer.from_file(C.vocabulary("byte_bpe_50k.json"))
+    rows = [(i, "odd" + " the" * 9 + " cat's" * 4 + f" seldom{'abcdefghij'[i % 10]}" + " " + "y" * 99) for i in range(200)]
+    docs = docs_of(rows)
+    assert token_counts.frequent(docs, "byte_bpe_50k.json", 2000, 3) == [" the", "'s", " cat"]
+    some = token_counts.frequent(docs, "byte_bpe_50k.json", 20, 1 << 16)
+    assert " the" in some and all(len(p) <= 64 for p in some)
+    for n, entries in ((2000, 1 << 16), (2000, 1), (1, 0)):
+        got = {r.doc_id: r.n_tokens for r in token_counts.count_tokens(docs, sample_docs=n, entries=entries).collect()}
+        assert got == {i: len(t.encode(x, add_special_tokens=False).ids) for i, x in rows}
