@@ -207,7 +207,8 @@ def simhash_components(docs: DataFrame, shingle: int = 4, radius: int = 4,
     Null and empty texts have fingerprint zero and are linked like any other;
     a document of fewer words than a shingle has one shingle. Null ids take
     part but are never a component's id (null if it has no other); repeated
-    rows share their component; other columns are ignored."""
+    rows share their component; texts of any length are read whole; an empty
+    table gives an empty result; other columns are ignored."""
     prints = C.saved(fingerprints(docs, shingle, id_col, text_col), "prints")
     by_print = C.saved(prints.groupBy("print").agg(F.min("doc_id").alias("least"))
                        .join(roots(prints, radius, bucket_limit), "print"), "roots")
