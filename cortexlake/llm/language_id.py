@@ -4,40 +4,42 @@ A language is a unigram model over the pieces of a fixed public vocabulary.
 The probability of a word is the sum over all its segmentations into pieces,
 by the forward algorithm; a text's is the product over its words. Piece
 probabilities start from piece occurrences and are refined by expectation
-maximisation over the same lattice. The forward pass is one numpy recursion
-over all words of a length at once; per-word results live in a bounded memory
-of the Python worker."""
+maximisation over the same lattice. All letter pieces take part and words stay
+whole, however long. The forward pass is one numpy recursion over many words of
+a length at once; per-word results live in a bounded memory of the Python
+worker."""
 
 from __future__ import annotations
 
 import functools
 import itertools
-import re
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import common as C
 
 UNDETERMINED = "und"
-#: A run of letters longer than this is scored in stretches of this length.
-STRETCH = 20
-LONGEST = 8          # longest piece used
 FLOOR = 1e-7         # probability of a letter that is no piece, and of unseen pieces
-_LETTERS = re.compile(r"[^\W\d_]+")
+STEP = 8             # positions between two rescalings of the recursion
+LETTERS = 65_536     # letters of a batch of words that are held as a lattice at once
+_WORD = regex.compile(r"\p{L}[\p{L}\p{M}]*")
+_PIECE = regex.compile(r" ?[\p{L}\p{M}]*")
 
 
 class Pieces:
-    """Letter-only pieces of a public vocabulary, lower case, of at most
-    ``LONGEST`` letters, indexed from 1 (0 is the unknown letter); a piece that
-    starts a word carries a leading blank. Kept as a trie in arrays: the child
-    of node x over letter c is found by bisection for x * letters + c."""
+    """Pieces of letters and marks of a public vocabulary, lower case, indexed
+    from 1 (0 is the unknown letter); a piece that starts a word carries a
+    leading blank. Kept as a trie in arrays: the child of node x over letter c
+    is found by bisection for x * letters + c."""
 
     def __init__(self, found: list[str]):
         self.size = len(found) + 1
+        self.longest = max(map(len, found), default=1)
         letters = sorted(set("".join(found)))
         self.width = len(letters) + 1
         self.code = np.zeros(0x110000, np.int64)
@@ -67,91 +69,140 @@ def pieces(vocabulary: str) -> Pieces:
     import sentencepiece
     m = sentencepiece.SentencePieceProcessor(model_file=C.vocabulary(vocabulary))
     found = (m.id_to_piece(i).replace("▁", " ").lower() for i in range(m.get_piece_size()))
-    return Pieces(sorted({p for p in found
-                          if p.strip().isalpha() and " " not in p[1:] and len(p) <= LONGEST}))
+    return Pieces(sorted({p for p in found if p and _PIECE.fullmatch(p)}))
 
 
 def words_of(unit: str) -> list[str]:
-    """Scored words of a stretch without white space: its runs of letters in
-    lower case, with the blank that starts a word."""
-    out = []
-    for w in _LETTERS.findall(unit.lower()):
-        w = " " + w
-        out += [w] if len(w) <= STRETCH else [w[i:i + STRETCH] for i in range(0, len(w), STRETCH)]
-    return out
+    """Scored words of a stretch without white space: its runs of letters and
+    the marks on them, whole and in lower case, with the blank that starts a
+    word."""
+    return [" " + w for w in _WORD.findall(unit.lower())]
 
 
-def lattice(words: list[str], index: Pieces) -> np.ndarray:
-    """For words of one length n: piece index of word[j-l:j] at [:, j, l], -1
-    where that is no piece; single characters are always allowed."""
+def lattice(words: list[str], index: Pieces, start: int = 0, stop: int | None = None) -> np.ndarray:
+    """For words of one length n: piece index of word[j-l:j] at
+    [:, j - start, l] for the ends j from ``start`` to ``stop`` (n), -1 where
+    that is no piece; single characters are always allowed."""
     k, n = len(words), len(words[0])
-    top = min(LONGEST, n)
-    code = index.code[np.frombuffer("".join(words).encode("utf-32-le", "surrogatepass"), "<u4")
-                      .reshape(k, n)]
-    out = np.full((k, n + 1, top + 1), -1, np.int32)
-    node = np.zeros((k, n), np.int64)
-    for l in range(1, top + 1):
-        node = index.step(node[:, :n - l + 1], code[:, l - 1:])
-        out[:, l:, l] = index.piece[node]
-    out[:, 1:, 1] = np.maximum(out[:, 1:, 1], 0)
+    stop = n if stop is None else stop
+    top = min(index.longest, n)
+    low = max(0, start - top)                                # first character that a piece may start at
+    code = index.code[np.frombuffer("".join(w[low:stop] for w in words).encode("utf-32-le", "surrogatepass"), "<u4")
+                      .reshape(k, stop - low)]
+    out = np.full((k, stop - start + 1, top + 1), -1, np.int32)
+    node = np.zeros((k, stop - low), np.int64)
+    for l in range(1, min(top, stop - low) + 1):
+        node = index.step(node[:, :stop - low - l + 1], code[:, l - 1:])
+        if (node == index.dead).all():
+            break
+        first = low + l                                      # end of the first piece of this length
+        skip = max(0, start - first)
+        out[:, first + skip - start:, l] = index.piece[node[:, skip:]]
+    single = out[:, 1 if start == 0 else 0:, 1]
+    np.maximum(single, 0, out=single)
     return out
 
 
+class Forward:
+    """The forward recursion over words of one length, a part of their ends at
+    a time: of what was before only the last positions are held, with their
+    common scale, so runs of any length neither underflow nor fill memory.
+    ``p[piece, lang]``."""
+
+    def __init__(self, k: int, p: np.ndarray, top: int):
+        self.p = np.vstack([p, np.zeros((1, p.shape[1]))])   # index -1: no piece
+        self.top, self.scale = top, np.zeros((k, p.shape[1]))
+        self.tail = np.zeros((k, top, p.shape[1]))
+        self.tail[:, -1] = 1.0                               # position 0: the empty prefix
+
+    def over(self, lat: np.ndarray, every: bool = False) -> np.ndarray:
+        """Logarithms of the total probability of the characters up to the last
+        end of ``lat`` (its first is where the part before stopped) over all
+        segmentations; ``every``: up to each end, [word, end, lang]."""
+        top, m = self.top, lat.shape[1] - 1
+        alpha = np.concatenate([self.tail, np.zeros((len(lat), m, self.tail.shape[2]))], axis=1)
+        logs = [self.last()] if every else []
+        used = (lat >= 0).any(axis=0)
+        for j in range(1, m + 1):
+            at = top - 1 + j
+            ls = np.flatnonzero(used[j])
+            alpha[:, at] = (alpha[:, at - ls] * self.p[lat[:, j, ls]]).sum(axis=1)
+            if j % STEP == 0:
+                held = alpha[:, at - top + 1:at + 1]
+                most = np.maximum(held.max(axis=1), 1e-300)
+                held /= most[:, None]
+                self.scale += np.log(most)
+            if every:
+                logs.append(np.log(np.maximum(alpha[:, at], 1e-300)) + self.scale)
+        self.tail = alpha[:, -top:].copy()
+        return np.stack(logs, axis=1) if every else self.last()
+
+    def last(self) -> np.ndarray:
+        return np.log(np.maximum(self.tail[:, -1], 1e-300)) + self.scale
+
+
+def log_forward(lat: np.ndarray, p: np.ndarray) -> np.ndarray:
+    """[word, j, lang]: log of the total probability of the first j characters."""
+    return Forward(len(lat), p, lat.shape[2] - 1).over(lat, every=True)
+
+
 def forward(lat: np.ndarray, p: np.ndarray) -> np.ndarray:
     """alpha[w, j, lang]: total probability of the first j characters over all
     segmentations; ``p[piece, lang]``."""
-    k, n = lat.shape[0], lat.shape[1] - 1
-    alpha = np.zeros((k, n + 1, p.shape[1]))
-    alpha[:, 0] = 1.0
-    padded = np.vstack([p, np.zeros((1, p.shape[1]))])       # index -1: no piece
-    for j in range(1, n + 1):
-        for l in range(1, min(j, lat.shape[2] - 1) + 1):
-            alpha[:, j] += alpha[:, j - l] * padded[lat[:, j, l]]
-    return alpha
+    return np.exp(log_forward(lat, p))
 
 
-def log_probabilities(words: list[str], index: Pieces, p: np.ndarray) -> np.ndarray:
-    """log P(word | language) for every word, rows in the order given."""
-    out = np.zeros((len(words), p.shape[1]))
+def _backward(lat: np.ndarray) -> np.ndarray:
+    """The lattice of the words read from their ends."""
+    out = np.full_like(lat, -1)
+    for l in range(1, lat.shape[2]):
+        out[:, l:, l] = lat[:, l:, l][:, ::-1]
+    return out
+
+
+def _batches(words: list[str]):
+    """(rows, length) of words of one length, of bounded size together."""
     by_length: dict = {}
     for i, w in enumerate(words):
         by_length.setdefault(len(w), []).append(i)
-    for rows in by_length.values():
-        for i in range(0, len(rows), 4096):
-            some = rows[i:i + 4096]
-            lat = lattice([words[r] for r in some], index)
-            out[some] = np.log(np.maximum(forward(lat, p)[:, -1], 1e-300))
+    for n, rows in by_length.items():
+        some = max(1, LETTERS // n)
+        for i in range(0, len(rows), some):
+            yield rows[i:i + some], n
+
+
+def log_probabilities(words: list[str], index: Pieces, p: np.ndarray) -> np.ndarray:
+    """log P(word | language) for every word, rows in the order given."""
+    out = np.zeros((len(words), p.shape[1]))
+    for rows, n in _batches(words):
+        ws = [words[r] for r in rows]
+        run = Forward(len(ws), p, min(index.longest, n))
+        for start in range(0, n, LETTERS):
+            run.over(lattice(ws, index, start, min(n, start + LETTERS)))
+        out[rows] = run.last()
     return out
 
 
 def fit(words: list[str], counts: np.ndarray, index: Pieces, rounds: int) -> np.ndarray:
     """Piece probabilities of one language by EM over counted words."""
-    size = index.size
-    groups: dict = {}
-    for w, c in zip(words, counts):
-        groups.setdefault(len(w), ([], []))[0].append(w)
-        groups[len(w)][1].append(c)
-    lattices = [(lattice(ws, index), np.array(cs, float)) for ws, cs in groups.values()]
-    p = None
+    size, counts, p = index.size, np.asarray(counts, float), None
     for _ in range(rounds + 1):
         seen = np.zeros(size)
-        for lat, c in lattices:
-            n, top = lat.shape[1] - 1, lat.shape[2] - 1
-            if p is None:                                    # every occurrence counts alike
-                for j in range(1, n + 1):
-                    for l in range(1, min(j, top) + 1):
-                        ok = lat[:, j, l] >= 0
-                        seen += np.bincount(lat[ok, j, l], c[ok], size)
-                continue
-            alpha = forward(lat, p[:, None])[:, :, 0]
-            beta, padded = np.zeros_like(alpha), np.append(p, 0.0)
-            beta[:, n] = 1.0
-            scale = c / np.maximum(alpha[:, n], 1e-300)
-            for j in range(n, 0, -1):
-                for l in range(1, min(j, top) + 1):
-                    step = padded[lat[:, j, l]] * beta[:, j]
-                    beta[:, j - l] += step
-                    seen += np.bincount(np.maximum(lat[:, j, l], 0), alpha[:, j - l] * step * scale, size)
+        for rows, n in _batches(words):
+            lat, c = lattice([words[r] for r in rows], index), counts[rows]
+            if p is not None:
+                alpha = log_forward(lat, p[:, None])[:, :, 0]
+                beta = log_forward(_backward(lat), p[:, None])[:, ::-1, 0]
+                padded = np.append(p, 0.0)
+            for l in range(1, lat.shape[2]):
+                piece = lat[:, l:, l]
+                row, at = np.nonzero(piece >= 0)             # a piece ends at l + at
+                if p is None:                                # every occurrence counts alike
+                    weight = c[row]
+                else:
+                    share = alpha[row, at] + beta[row, at + l] - alpha[row, n]
+                    weight = c[row] * padded[piece[row, at]] * np.exp(share)
+                seen += np.bincount(piece[row, at], weight, size)
         p = np.maximum(seen / max(seen.sum(), 1.0), FLOOR)
         p[0] = FLOOR
         p /= p.sum()
@@ -161,11 +212,13 @@ def fit(words: list[str], counts: np.ndarray, index: Pieces, rounds: int) -> np.
 # ---------------------------------------------------------------- training
 def train(docs: DataFrame, sample_docs: int = 2000, rounds: int = 2,
           vocabulary: str = "piece_bpe_32k.model", text_col: str = "text",
-          lang_col: str = "lang", id_col: str = "doc_id") -> tuple[list[str], np.ndarray]:
+          lang_col: str = "lang", id_col: str = "doc_id", sample_letters: int = 100_000) -> tuple[list[str], np.ndarray]:
     """Languages and ``p[piece, language]``, learned from labelled rows.
 
     ``sample_docs`` bounds the fit: of each language about so many documents
-    are taken, those with the lowest hash of their id (all, if it has fewer).
+    are taken, those with the lowest hash of their id (all, if it has fewer);
+    runs of over ``sample_letters`` letters are not in the sample (scoring
+    reads them whole).
     Rows without text, label or id teach nothing."""
     rows = docs.select(F.col(lang_col).cast("string").alias("lang"), F.col(text_col).alias("text"),
                        F.col(id_col).cast("long").alias("doc_id")).filter(
@@ -181,7 +234,7 @@ def train(docs: DataFrame, sample_docs: int = 2000, rounds: int = 2,
     def cut(batches):
         for b in C.slices(batches):
             for lang, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
-                words = words_of(text)
+                words = [w for w in words_of(text) if len(w) <= sample_letters]
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([lang] * len(words), pa.string()), pa.array(words, pa.string())],
                     ["lang", "word"])
@@ -271,7 +324,9 @@ def predict(docs: DataFrame, model: tuple[list[str], np.ndarray],
 
     Only the text is looked at, all of it. ``und`` with score 0 where the text
     is null or has no letter (or nothing was learned); ties go to the language
-    first in order; texts of any length are scored whole."""
+    first in order; texts and words of any length are scored whole; repeated
+    rows get the same answer each; an empty table stays empty; further columns
+    of any name stay inside ``row``."""
     shared = docs.sparkSession.sparkContext.broadcast(model)       # pieces x languages
 
     def run(batches):

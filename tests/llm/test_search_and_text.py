@@ -80,6 +80,76 @@ def test_fit_raises_the_likelihood():
     assert like[1] > like[0] and all(abs(x.sum() - 1) < 1e-9 for x in p)
 
 
+def test_long_words_and_marks_stay_whole():
+    long = "donaudampfschifffahrtsgesellschaftskapitaen"
+    assert language_id.words_of(f"({long.upper()}-2) हिन्दी \u0301 a\u0301b²c") == [
+        " " + long, " हिन्दी", " a\u0301b", " c"]
+    index = language_id.pieces("piece_bpe_32k.model")
+    assert index.longest > 8
+    p = np.random.default_rng(2).random((index.size, 3)) * 1e-4
+    word = " " + long
+    got = language_id.log_probabilities([word, " und"], index, p)
+    lat = language_id.lattice([word], index)
+    for lang in range(3):                                    # plain recursion, in exact sums
+        alpha = [1.0]
+        for j in range(1, len(word) + 1):
+            alpha.append(math.fsum(alpha[j - l] * p[lat[0, j, l], lang]
+                                   for l in range(1, min(j, index.longest) + 1) if lat[0, j, l] >= 0))
+        assert math.isclose(got[0, lang], math.log(alpha[-1]), rel_tol=1e-9)
+
+
+def test_words_in_parts(monkeypatch):
+    index = language_id.pieces("piece_bpe_32k.model")
+    p = np.random.default_rng(3).random((index.size, 2)) * 1e-3
+    word = " " + "thequickbrownfoxandthelazydog" * 40                # its probability is below any double
+    whole = language_id.log_probabilities([word], index, p)
+    monkeypatch.setattr(language_id, "LETTERS", 100)
+    assert np.allclose(language_id.log_probabilities([word], index, p), whole, rtol=1e-12)
+    alone = language_id.log_probabilities([" thequick"], index, p)
+    assert whole.max() < -1000 and np.isfinite(whole).all() and (alone > whole).all()
+
+
+def test_fit_counts_all_segmentations():
+    """One round of EM against sums over all segmentations."""
+    found = sorted([" a", "a", "b", "ab", "ba", " ab", "aba"])
+    index = language_id.Pieces(found)
+    names = {x: i for i, x in enumerate(found, 1)}
+    words, counts = [" aba", " abab", "bab"], np.array([3.0, 1.0, 2.0])
+    start = language_id.fit(words, counts, index, 0)
+    seen = np.zeros(index.size)
+    for w, c in zip(words, counts):
+        every = []
+        for cuts in itertools.product([0, 1], repeat=len(w) - 1):
+            ends = [i + 1 for i, x in enumerate(cuts) if x] + [len(w)]
+            used = [names.get(w[a:b], 0 if b - a == 1 else None) for a, b in zip([0] + ends, ends)]
+            if None not in used:
+                every.append((math.prod(start[used]), used))
+        total = sum(x for x, _ in every)
+        for x, used in every:
+            for u in used:
+                seen[u] += c * x / total
+    want = np.maximum(seen / seen.sum(), language_id.FLOOR)
+    want[0] = language_id.FLOOR
+    assert np.allclose(language_id.fit(words, counts, index, 1), want / want.sum())
+
+
+def test_posterior_of_whole_texts():
+    """Scores of whole texts against a plain product over their words."""
+    index = language_id.pieces("piece_bpe_32k.model")
+    p = np.random.default_rng(4).dirichlet(np.ones(index.size), 3).T + 1e-9
+    texts = ["the cat, the dog", "Wörter — über 12 Straßen " + "x" * 40, "हिन्दी भाषा", "", None, "12 !", "e\u0301te\u0301 de"]
+    got = language_id.Scorer(["a", "b", "c"], p, "piece_bpe_32k.model")(texts)
+    for t, (lang, score) in zip(texts, got):
+        words = language_id.words_of(t or "")
+        if not words:
+            assert (lang, score) == ("und", 0.0)
+            continue
+        total = sum(language_id.log_probabilities([w], index, p)[0] for w in words)
+        post = np.exp(total - total.max())
+        post /= post.sum()
+        assert lang == "abc"[int(post.argmax())] and math.isclose(score, post.max(), rel_tol=1e-9)
+
+
 def test_held_out_accuracy(spark):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     got = language_id.language_id(docs).join(docs.select("doc_id", "lang"), "doc_id").filter("held_out")
