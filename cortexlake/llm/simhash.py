@@ -9,12 +9,14 @@ meets in a bucket; there is no probability of a miss.
 
 Equal fingerprints are merged before (a group of copies is one row), buckets
 are searched by growing trees, which give a spanning forest of the links
-instead of all pairs, and buckets over ``bucket_limit`` are divided by a second
-covering family, which leaves so few free bits that their size is bounded. The
-links' components come from alternating star contraction."""
+instead of all pairs, and buckets over ``bucket_limit`` are divided by further
+covering families, until the bits left free bound their size. The links'
+components come from alternating star contraction."""
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pandas as pd
 import pyarrow as pa
@@ -25,6 +27,9 @@ from pyspark.sql import functions as F
 from . import common as C
 
 SEED = 42
+#: Dealings of the vectors (``step`` of covering_masks), one after the other
+#: where buckets are too full.
+FAMILIES = (1, 14, 21, 27, 18, 2)
 
 
 # ------------------------------------------------------------ fingerprints
@@ -77,11 +82,13 @@ def _signed(mask: int) -> int:
     return mask - (1 << 64) if mask >> 63 else mask
 
 
-def _tables(prints: DataFrame, masks: list[int], keys: list[Column]) -> DataFrame:
-    cover = F.array(*[F.struct(F.lit(i).cast("int").alias("mask"),
-                               F.col("print").bitwiseAND(F.lit(_signed(m))).alias("key"))
-                      for i, m in enumerate(masks)])
-    return prints.select(*keys, "print", F.inline(cover))
+def _tables(rows: DataFrame, masks: list[int]) -> DataFrame:
+    """``bits, key, print``: a row for every set of kept bits that a mask adds
+    to the row's own ``bits``."""
+    more = F.explode(F.array(*[F.lit(_signed(m)) for m in masks])).alias("_mask")
+    return rows.select("print", "bits", more).select(
+        "print", F.col("bits").bitwiseOR(F.col("_mask")).alias("bits")).select(
+        "bits", F.col("print").bitwiseAND(F.col("bits")).alias("key"), "print")
 
 
 def bucket_forest(prints: np.ndarray, radius: int) -> tuple[list, list]:
@@ -148,16 +155,26 @@ def _meet(tables: DataFrame, keys: list[str], radius: int, limit: int | None):
 
 def near_links(prints: DataFrame, radius: int = 4, bucket_limit: int = 16_384) -> DataFrame:
     """``u, v``: links between distinct fingerprints (column ``print``) that
-    span every group of fingerprints at most ``radius`` bits apart."""
-    masks = covering_masks(radius)
-    links, heavy = _meet(_tables(prints, masks, []), ["mask", "key"], radius, bucket_limit)
-    heavy = C.saved(heavy.select(F.col("mask").alias("mask1"), F.col("key").alias("key1"), "print"),
-                    "heavy")
-    if not heavy.isEmpty():
-        # a second family divides them: what is free under both masks is few bits
-        again, _ = _meet(_tables(heavy, covering_masks(radius, 7), [F.col("mask1"), F.col("key1")]),
-                         ["mask1", "key1", "mask", "key"], radius, None)
-        links = links.unionByName(again)
+    span every group of fingerprints at most ``radius`` bits apart.
+
+    A pair that meets under the bits kept so far meets under some mask of the
+    next family too, so buckets over ``bucket_limit`` are not searched but
+    divided by it. For radius 4 the families leave at most 14 bits free under
+    all masks together: no bucket of over 16,384 fingerprints is ever searched."""
+    families = [step for step in FAMILIES if math.gcd(step, (1 << (radius + 1)) - 1) == 1]
+    rows, links = prints.select("print", F.lit(0).cast("long").alias("bits")), None
+    for i, step in enumerate(families):
+        tables = _tables(rows, covering_masks(radius, step))
+        if i:
+            tables = tables.distinct()                       # masks that keep the same bits
+        found, heavy = _meet(tables, ["bits", "key"], radius,
+                             bucket_limit if step != families[-1] else None)
+        links = found if links is None else links.unionByName(found)
+        if heavy is None:
+            break
+        rows = C.saved(heavy.select("print", "bits").distinct(), "heavy")
+        if rows.isEmpty():
+            break
     return C.saved(links.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
                    .distinct(), "links")
 

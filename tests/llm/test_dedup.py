@@ -171,9 +171,29 @@ def test_masks_cover():
         for _ in range(4000):
             bits = sum(1 << b for b in rng.sample(range(64), 4))
             assert any(not m & bits for m in masks)
-    both = [bin(~(a | b) & (1 << 64) - 1).count("1") for a in simhash.covering_masks(4)
-            for b in simhash.covering_masks(4, 7)]
-    assert max(both) <= 33
+
+
+def test_families_bound_every_bucket():
+    kept = np.zeros(1, np.uint64)
+    for step in simhash.FAMILIES:
+        masks = np.array(simhash.covering_masks(4, step), np.uint64)
+        rng = random.Random(step)
+        for _ in range(500):
+            bits = np.uint64(sum(1 << b for b in rng.sample(range(64), 4)))
+            assert (masks & bits == 0).any()
+        kept = np.unique((kept[:, None] | masks).ravel())
+        kept = kept[64 - np.bitwise_count(kept).astype(int) > 14]
+    assert not len(kept)                                      # 2^14 fingerprints at most
+
+
+def test_crowded_bucket(spark):
+    """Tens of thousands of fingerprints under one mask."""
+    mask = simhash.covering_masks(4)[0]
+    free = [b for b in range(64) if not mask >> b & 1][:16]
+    rows = [(simhash._signed(sum(1 << b for i, b in enumerate(free) if x >> i & 1)),) for x in range(0, 1 << 16, 3)]
+    rows.append((simhash._signed(sum(1 << b for b in range(64) if mask >> b & 1)),))
+    roots = simhash.roots(spark.createDataFrame(rows, "print long"), bucket_limit=2_000)
+    assert sorted(n for n, in roots.groupBy("root").count().select("count").collect()) == [1, len(rows) - 1]
 
 
 def components_of(prints, radius=4):
