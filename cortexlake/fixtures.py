@@ -164,7 +164,7 @@ def volume_shapes(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.array(F.lit(1.0), (F.col("p_retailprice") / 1000).cast("float"),
                 (F.col("p_size") / 8).cast("float"), ((k % 7 + 1) * 0.25).cast("float"),
                 F.lit(1.0), F.lit(0.0), F.lit(0.0), F.lit(0.0)).cast("array<float>").alias("pixdim"),
-    )
+    ).withColumn("pixdim_text", F.transform("pixdim", lambda x: x.cast("double").cast("string")))
 
 
 VOLUME_SHAPES_SQL = """volume_shapes as (

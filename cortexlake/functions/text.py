@@ -9,7 +9,6 @@ from __future__ import annotations
 
 import sys
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -170,30 +169,3 @@ def job_tag(key: ColumnOrName) -> Column:
     """key without ``/blob.zip`` and with ``/`` -> ``-`` (log names)."""
     return F.replace(F.replace(_c(key), F.lit("/" + ARCHIVE_NAME), F.lit("")),
                      F.lit("/"), F.lit("-"))
-
-
-# -------------------------------------------------------------------- F16
-def _py_float_text(x: pd.Series, is_null: pd.Series) -> pd.Series:
-    return pd.Series([None if n else "{}".format(float(v)) for v, n in zip(x, is_null)],
-                     dtype=object)
-
-
-_py_float_text_udf = None
-
-
-def with_python_str(df: DataFrame, src: str, out: str) -> DataFrame:
-    """F16: add ``out``, the text of ``src`` exactly as Python's
-    ``"{}".format(x)`` writes a float (a float32 input is widened to double
-    first, as NumPy scalars are; e.g. ``0.699999988079071``).
-
-    Python's shortest-repr layout (``1e-05``, ``100.0``) differs from Spark's
-    Java text (``1.0E-5``) and Java 17 does not always give the shortest
-    digits, so this one column is produced by a small Arrow-batched pandas
-    UDF: exact by construction, applied to metadata rows only (one per
-    series and axis), never to pixels. Nulls are passed as a flag because
-    Arrow hands a null double to pandas as NaN."""
-    global _py_float_text_udf
-    if _py_float_text_udf is None:
-        _py_float_text_udf = F.pandas_udf(_py_float_text, "string")
-    x = F.col(src).cast("double")
-    return df.withColumn(out, _py_float_text_udf(x, x.isNull()))

@@ -75,13 +75,12 @@ def subject_metadata_rows(headers: DataFrame, bucket: str, out_dir: str,
                           n: int = 50) -> DataFrame:
     """D7 rows of subject volumes (P10 + A3 + A11 + A10): one per subject and
     axis, from the decoded header rows alone (``subject, axis, axis_name,
-    shape, pixdim``); link count = slices kept by the bounds rule."""
+    shape, pixdim_text``); link count = slices kept by the bounds rule. The
+    spacing text (F16) was written where the header was read."""
     dim = F.element_at("shape", F.col("axis") + 1)
     b, e = G.central_bounds(dim, n)
-    rx, ry = G.inplane_resolution("axis", "pixdim")
-    h = headers.withColumns({"_n": F.greatest(e - b, F.lit(0)), "_rx": rx, "_ry": ry})
-    h = T.with_python_str(h, "_rx", "pixel_spacing_x")
-    h = T.with_python_str(h, "_ry", "pixel_spacing_y")
+    rx, ry = G.inplane_resolution("axis", "pixdim_text")
+    h = headers.withColumns({"_n": F.greatest(e - b, F.lit(0)), "pixel_spacing_x": rx, "pixel_spacing_y": ry})
     s = F.col("subject")
     return h.select(
         s.cast("string").alias("series_uid"),

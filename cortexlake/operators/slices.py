@@ -67,29 +67,27 @@ def with_inplane_resolution(df: DataFrame, axis: str = "axis", pixdim: str = "pi
 def slice_all(volumes: DataFrame, axis: int | None = None, shape: str = "shape",
               voxels: str = "voxels", keep: tuple[str, ...] = ("volume_id",)) -> DataFrame:
     """A6 on volumes held as flat arrays (small volumes or chunks): one row
-    per slice along ``axis`` (default: the smallest extent, A5), no rotation.
+    per slice along ``axis`` (default: every volume's smallest extent, A5, in
+    the same pass), no rotation.
     Large volumes are sliced by the decode job instead, never held in a cell."""
-    out = []
-    axes = [axis] if axis is not None else [0, 1, 2]
-    for a in axes:
-        v = volumes
-        if axis is None:
-            v = v.filter(G.slice_axis_of(shape) == a)
-        s = F.col(shape)
-        h, w = G.plane_shape(a, s)
-        ext = F.element_at(s, a + 1)
-        v = v.select(*keep, shape, voxels, F.lit(a).alias("axis"), ext.cast("int").alias("dim"),
-                     h.cast("int").alias("height"), w.cast("int").alias("width"),
-                     F.posexplode(F.sequence(F.lit(0), ext - 1)).alias("slice_no", "_j"))
-        px = F.transform(F.sequence(F.lit(0), F.col("height") * F.col("width") - 1),
-                         lambda p: F.element_at(F.col(voxels),
-                                                G.voxel_index(a, F.col("slice_no"), p, s) + 1))
-        out.append(v.select(*keep, "axis", F.col("slice_no").cast("int").alias("slice_no"),
-                            "height", "width", px.alias("pixels"), "dim"))
-    res = out[0]
-    for o in out[1:]:
-        res = res.unionByName(o)
-    return res
+    s, j, a = F.col(shape), F.col("slice_no"), F.col("axis")
+
+    def along(of):
+        """``of`` the axis, which every row has of its own if none is given."""
+        if axis is not None:
+            return of(axis)
+        return F.when(a == 0, of(0)).when(a == 1, of(1)).otherwise(of(2))
+
+    at = F.lit(axis) if axis is not None else G.slice_axis_of(shape)
+    ext = F.element_at(s, a + 1).cast("int")
+    v = volumes.select(*keep, shape, voxels, at.alias("axis")).select(
+        *keep, shape, voxels, "axis", ext.alias("dim"),
+        along(lambda k: G.plane_shape(k, s)[0]).cast("int").alias("height"),
+        along(lambda k: G.plane_shape(k, s)[1]).cast("int").alias("width"),
+        F.explode(F.sequence(F.lit(0), ext - 1)).alias("slice_no"))
+    px = along(lambda k: F.transform(F.sequence(F.lit(0), F.col("height") * F.col("width") - 1),
+                                     lambda p: F.element_at(F.col(voxels), G.voxel_index(k, j, p, s) + 1)))
+    return v.select(*keep, "axis", "slice_no", "height", "width", px.alias("pixels"), "dim")
 
 
 # ------------------------------------------------------------ normalisation

@@ -162,7 +162,7 @@ def process_subjects(subjects: DataFrame, volume_files: DataFrame, slices_path:
         "output_tag", F.when(F.col("axis").isNotNull(), T.output_tag_for_subject("subject", names))),
         slices_path, source)
     headers = _sound(subjects.sparkSession, slices_path, source)
-    fan = axis_fanout(headers.select("subject", "shape", "pixdim"), out_dir)
+    fan = axis_fanout(headers.select("subject", "shape", "pixdim_text"), out_dir)
     rows = subject_metadata_rows(fan, bucket, out_dir, n)
     return append_products(rows.withColumn("source", F.lit(source)), products_path)
 

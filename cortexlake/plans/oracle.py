@@ -193,6 +193,11 @@ for _a, _name in enumerate(("sag", "cor", "ax")):
     oracle(f"slice_all_{_name}", _VOLUMES +
            f"select volume_id, cast({_a} as int) as axis, slice_no, pixel, value from ({_slices_sql(_a)})")
 
+_THIN = "list_position([nx, ny, nz], least(nx, ny, nz)) = {} + 1"
+oracle("slice_all_thinnest", _VOLUMES + " union all ".join(
+    f"select volume_id, cast({_a} as int) as axis, slice_no, pixel, value from ({_slices_sql(_a, where=_THIN.format(_a))})"
+    for _a in range(3)))
+
 for _k in (1, 2, 3):
     oracle(f"rot90_{_k}", _VOLUMES +
            f"select volume_id, slice_no, height, width, pixel, value from ({_slices_sql(2, _k)})")

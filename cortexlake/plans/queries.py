@@ -240,6 +240,12 @@ for _a, _name in enumerate(C.AXIS_NAMES):
     QUERIES[f"slice_all_{_name}"] = _mk(_a)
 
 
+@query("slice_all_thinnest")
+def q_slice_all_thinnest(spark, sf_dir):
+    sl = S.slice_all(fx.volumes3d(spark, sf_dir))
+    return _pixels_long(sl, ["volume_id", "axis", "slice_no"])
+
+
 for _k in (1, 2, 3):
     def _mk_rot(k):
         def q(spark, sf_dir):

@@ -77,6 +77,7 @@ LANDED = T.StructType([
     T.StructField("dim", T.IntegerType(), True), T.StructField("pixels", T.ArrayType(T.DoubleType()), True),
     T.StructField("shape", T.ArrayType(T.IntegerType()), True),
     T.StructField("pixdim", T.ArrayType(T.FloatType()), True),
+    T.StructField("pixdim_text", T.ArrayType(S), True),
     T.StructField("status", S, True), T.StructField("message", S, True),
     T.StructField("subject", S, True), T.StructField("object_key", S, True),
     T.StructField("output_prefix", S, True), T.StructField("output_tag", S, True),
@@ -98,6 +99,7 @@ LEDGER = T.StructType([
     T.StructField("status", S, True), T.StructField("message", S, True),
     T.StructField("shape", T.ArrayType(T.IntegerType()), True),
     T.StructField("pixdim", T.ArrayType(T.FloatType()), True),
+    T.StructField("pixdim_text", T.ArrayType(S), True),
     T.StructField("subject", S, True), T.StructField("source", S, True),
 ])
 

@@ -120,7 +120,7 @@ def commit_run(todo: DataFrame, slices_path: str, source: str, run: str) -> None
     there, so its slices do not count and its volumes are tried again."""
     heads = read_existing(todo.sparkSession, slices_path, LANDED).filter(
         (F.col("source") == source) & (F.col("run") == run) & F.col("axis").isNull()).select(
-        F.col("volume_id").alias("volume_file"), "object_key", "status", "message", "shape", "pixdim", "subject")
+        F.col("volume_id").alias("volume_file"), "object_key", "status", "message", "shape", "pixdim", "pixdim_text", "subject")
     rows = todo.select("volume_file", "object_key", "attempt", "length", "modified").join(
         heads, ["volume_file", "object_key"]).withColumns({"run": F.lit(run), "source": F.lit(source)})
     rows.select(*LEDGER.names).write.mode("append").partitionBy("source").parquet(ledger_path(slices_path))

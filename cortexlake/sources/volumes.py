@@ -50,6 +50,7 @@ DECODED = T.StructType([
     # header row only (slice_no is null there)
     T.StructField("shape", T.ArrayType(T.IntegerType(), True), True),
     T.StructField("pixdim", T.ArrayType(T.FloatType(), True), True),
+    T.StructField("pixdim_text", T.ArrayType(T.StringType(), True), True),
     T.StructField("status", T.StringType(), True),
     T.StructField("message", T.StringType(), True),
 ])
@@ -61,7 +62,9 @@ class NiftiError(ValueError):
 
 
 def parse_header(raw: bytes) -> dict:
-    """Decode the fixed NIfTI-1 header; byte order from ``sizeof_hdr``."""
+    """Decode the fixed NIfTI-1 header; byte order from ``sizeof_hdr``.
+    ``pixdim_text`` is F16: the eight spacings as Python's ``"{}".format(x)``
+    writes them, float32 widened to double first (``0.699999988079071``)."""
     if len(raw) < HEADER_SIZE:
         raise NiftiError(f"file too short for a header ({len(raw)} bytes)")
     order = "<"
@@ -73,11 +76,13 @@ def parse_header(raw: bytes) -> dict:
     ndim = int(dim[0])
     if not 1 <= ndim <= 7:
         raise NiftiError(f"bad dim[0] = {ndim}")
+    pixdim = [float(x) for x in np.frombuffer(raw, order + "f4", 8, OFF_PIXDIM)]
     return {
         "order": order,
         "shape": [int(x) for x in dim[1:ndim + 1]],
         "datatype": int(np.frombuffer(raw, order + "i2", 1, OFF_DATATYPE)[0]),
-        "pixdim": [float(x) for x in np.frombuffer(raw, order + "f4", 8, OFF_PIXDIM)],
+        "pixdim": pixdim,
+        "pixdim_text": ["{}".format(x) for x in pixdim],
         "vox_offset": float(np.frombuffer(raw, order + "f4", 1, OFF_VOX_OFFSET)[0]),
         "slope": float(np.frombuffer(raw, order + "f4", 1, OFF_SCL_SLOPE)[0]),
         "inter": float(np.frombuffer(raw, order + "f4", 1, OFF_SCL_INTER)[0]),
@@ -345,8 +350,9 @@ def make_decoder(schema: T.StructType, open_file, mode: str = "thinnest", n: int
                     if source is None:
                         raise NiftiError("no file")
                     reader = PlaneReader(lambda: open_file(source))
-                    shape, pixdim = reader.header["shape"], reader.header["pixdim"]
-                    head = {"volume_id": vid, "shape": shape, "pixdim": pixdim, **kept}
+                    shape = reader.header["shape"]
+                    head = {"volume_id": vid, "shape": shape, "pixdim": reader.header["pixdim"],
+                            "pixdim_text": reader.header["pixdim_text"], **kept}
                     if len(shape) != 3:
                         # Only 3-D volumes are sliced; others are reported
                         out.add(**head, status="skipped", message=f"{len(shape)}-D volume")
@@ -420,9 +426,9 @@ def slices_of(decoded: DataFrame) -> DataFrame:
 
 
 def headers_of(decoded: DataFrame) -> DataFrame:
-    """One row per input file: shape, spacing vector and status."""
+    """One row per input file: shape, spacing vector (numbers and text) and status."""
     return decoded.filter(F.col("slice_no").isNull()).select(
-        "volume_id", "shape", "pixdim", "status", "message")
+        "volume_id", "shape", "pixdim", "pixdim_text", "status", "message")
 
 
 def read_volume_files(spark, path: str, glob: str = "*.nii.gz") -> DataFrame:

@@ -145,3 +145,14 @@ def test_explode_archives(spark, tmpdir_path):
     assert sorted((r.member, len(r.content)) for r in by["s1"]) == [("IM-0001.dcm", 10), ("sub/IM-0002.dcm", 3)]
     assert [r.status for r in by["s2"]] == ["empty"]
     assert by["s3"][0].status.startswith("error")
+
+
+def test_spacing_text_is_pythons():
+    """F16: the header's float32 spacing as the text of the widened float."""
+    vals = [0.7, 1e-5, 5e-4, 1e7, 1e16, -2.5e-7, 100.0, 0.0, -0.0, 1e-30, float("nan"), float("inf"), float("-inf")]
+    vals += np.random.default_rng(7).uniform(-10, 10, 67).tolist()
+    for i in range(0, len(vals), 8):
+        eight = [float(np.float32(v)) for v in vals[i:i + 8]]
+        head = V.parse_header(gzip.decompress(V.encode_nifti(np.zeros((2, 2, 2), np.float32), tuple(eight))))
+        assert head["pixdim_text"] == ["{}".format(x) for x in eight]
+    assert "0.699999988079071" in V.parse_header(gzip.decompress(V.encode_nifti(np.zeros((1, 1, 1), np.float32), (0.7,) * 8)))["pixdim_text"]

@@ -70,6 +70,20 @@ def test_slice_all_default_axis_is_thinnest(spark):
     assert got == {(0, 1), (1, 0)}
 
 
+def test_slice_all_default_axis_in_one_pass(spark):
+    rng = np.random.default_rng(11)
+    vols = [rng.normal(size=s) for s in [(2, 3, 4), (4, 2, 3), (3, 4, 2), (2, 2, 2)]]
+    sl = S.slice_all(_vol_df(spark, vols))
+    assert "Union" not in sl._jdf.queryExecution().optimizedPlan().toString()
+    rows = sl.collect()
+    assert len(rows) == 8
+    for r in rows:
+        v = vols[r.volume_id]
+        plane = np.take(v, r.slice_no, axis=int(np.argmin(v.shape)))
+        assert r.axis == int(np.argmin(v.shape)) and (r.height, r.width) == plane.shape and r.dim == 2
+        assert np.allclose(r.pixels, plane.ravel(order="C"))
+
+
 @pytest.mark.parametrize("k", [1, 2, 3, 4, -1])
 def test_rot90_matches_numpy(spark, k):
     rng = np.random.default_rng(k + 10)

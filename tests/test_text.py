@@ -107,13 +107,3 @@ def test_enumerate_links_empty_and_order(spark):
     r = df.select(L.enumerate_links(F.lit("out/x y"), F.lit("t"), "n", "bkt").alias("l")).collect()
     assert r[0].l == []
     assert r[1].l == [f"https://bkt.s3.amazonaws.com/out/x%20y/t_{i}.jpg" for i in range(3)]
-
-
-def test_python_str_matches_format(spark):
-    rng = np.random.default_rng(7)
-    vals = [0.7, 1e-5, 5e-4, 1e7, 1e16, -2.5e-7, 100.0, 0.0, -0.0, 1e-300,
-            float("nan"), float("inf"), float("-inf")]
-    vals += [float(np.float32(v)) for v in rng.uniform(-10, 10, 200)]
-    df = spark.createDataFrame([(v,) for v in vals], "x double")
-    got = [r.s for r in T.with_python_str(df, "x", "s").collect()]
-    assert got == ["{}".format(v) for v in vals]
