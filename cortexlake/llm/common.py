@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import contextlib
 import os
 import re
+import threading
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -20,6 +22,8 @@ BYTES = T.BinaryType().simpleString()
 ARROW_BYTES = to_arrow_type(T.BinaryType())
 #: Stands for a missing doc_id where ids are ordered: after every real id.
 NO_ID = (1 << 63) - 1
+#: By thread: paths of the tables saved within ``steps``.
+_made: dict = {}
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -32,9 +36,31 @@ def saved(df: DataFrame, name: str) -> DataFrame:
     and the planner knows the table's size."""
     path = scratch_path(df.sparkSession, f"{name}-{uuid.uuid4().hex}")
     df.write.parquet(path)
+    if threading.get_ident() in _made:
+        _made[threading.get_ident()].append(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+@contextlib.contextmanager
+def steps(spark: SparkSession):
+    """The list of tables ``saved`` inside, which are deleted at the end; what
+    the caller takes out of the list stays, what it adds goes too. Only for
+    work whose result is written inside."""
+    made: list = []
+    me = threading.get_ident()
+    outer = _made.get(me)
+    _made[me] = made
+    try:
+        yield made
+    finally:
+        del _made[me]
+        if outer is not None:
+            _made[me] = outer
+        for path in made:
+            at = spark._jvm.org.apache.hadoop.fs.Path(path)
+            at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+
+
 def id_text(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Just the two columns an operator needs; whatever else the table has,
     clashing names included, stays out of the plan."""

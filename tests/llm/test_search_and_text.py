@@ -367,3 +367,32 @@ def test_pipeline(spark):
     lengths = np.unique([r.length for r in last.select("length").collect()], return_counts=True)
     assert last.select("sequence_id").distinct().count() <= packing.lower_bound(*lengths, 2048) + 1
 
+
+
+def test_pipeline_on_odd_rows(spark, docs_of, odd_texts, tmp_path):
+    """Nulls, empties, long texts, repeated rows, clashing columns; the steps'
+    tables are gone afterwards."""
+    import os
+
+    import corpus_pipeline as P
+    from cortexlake.session import scratch_path
+    prose = [f"the {i} quick brown foxes and their {i * 7} lazy dogs run over the {i * 13} hills today" for i in range(40)]
+    rows = [(i, t, "en") for i, t in enumerate(prose)] + [(100 + i, t, None, None) for i, t in enumerate(odd_texts)]
+    rows += [rows[0], (None, prose[1] + " at noon", "en"), (None, None, None, None)]
+    docs = docs_of(rows)
+    for c in ("row", "kept", "_id", "_group", "key", "score", "length", "piece"):
+        docs = docs.withColumn(c, F.lit("clash"))
+    docs.write.parquet(str(tmp_path / "documents.parquet"))
+    place = scratch_path(spark, "").removeprefix("file:")
+    before = set(os.listdir(place))
+    out = P.run(spark, str(tmp_path))
+    got = out.collect()
+    new = sorted(set(os.listdir(place)) - before)
+    assert len(new) == 1 and new[0].startswith("stage-best_fit_packing")
+    ids = {r.doc_id for r in got}
+    assert 0 in ids and all(r.length <= 2048 for r in got)
+    assert not ids & {100 + i for i, t in enumerate(odd_texts) if not any(c.isalpha() for c in t or "")}
+    starts = sorted((r.start, r.length) for r in got if r.doc_id == 0)
+    assert starts[0][0] == 0 and len(starts) == 1               # the repeated row is there once
+    docs.limit(0).write.parquet(str(tmp_path / "none" / "documents.parquet"))
+    assert P.run(spark, str(tmp_path / "none")).count() == 0
