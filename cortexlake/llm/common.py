@@ -34,13 +34,36 @@ def saved(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as Parquet in the shared checkpoint folder and read it
     back: the lineage is cut, a lost executor costs nothing that was written,
     and the planner knows the table's size."""
-    path = scratch_path(df.sparkSession, f"{name}-{uuid.uuid4().hex}")
+    return _written(df, scratch_path(df.sparkSession, f"{name}-{uuid.uuid4().hex}"))
+
+
+def _written(df: DataFrame, path: str) -> DataFrame:
     df.write.parquet(path)
     if threading.get_ident() in _made:
         _made[threading.get_ident()].append(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def deleted(spark: SparkSession, path: str) -> None:
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+
+
+class Rounds:
+    """A saved table that each round of a loop replaces: the one before is
+    deleted once the next is written."""
+
+    def __init__(self, name: str):
+        self.name, self.path = name, None
+
+    def next(self, df: DataFrame) -> DataFrame:
+        old, self.path = self.path, scratch_path(df.sparkSession, f"{self.name}-{uuid.uuid4().hex}")
+        table = _written(df, self.path)
+        if old is not None:
+            deleted(df.sparkSession, old)
+        return table
+
+
 @contextlib.contextmanager
 def steps(spark: SparkSession):
     """The list of tables ``saved`` inside, which are deleted at the end; what
@@ -57,8 +80,7 @@ def steps(spark: SparkSession):
         if outer is not None:
             _made[me] = outer
         for path in made:
-            at = spark._jvm.org.apache.hadoop.fs.Path(path)
-            at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+            deleted(spark, path)
 
 
 def id_text(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

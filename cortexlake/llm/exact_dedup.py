@@ -9,10 +9,11 @@
 3. An owner merges the sorted runs it received and answers every block with a
    bitmap: which of its fingerprints occur elsewhere too.
 4. Blocks apply the bitmaps; documents with a marked fingerprint are suspects.
-5. Only texts of suspects move: a fixed-size table of fingerprint bits filters
-   the scan (it may let others pass, never hold a suspect back), then texts
-   are grouped by their bytes, which verifies them. Copies meet in the map
-   side's partial aggregation first."""
+5. Only texts of suspects move: a table of fingerprint bits, 8 or more for
+   each different suspect and 64 MB at most, filters the scan (it may let others
+   pass, never hold a suspect back), then texts are grouped by their bytes,
+   which verifies them. Copies meet in the map side's partial aggregation
+   first."""
 
 from __future__ import annotations
 
@@ -24,8 +25,8 @@ from pyspark.sql import functions as F
 from . import common as C
 
 BLOCK = f"block string, doc_ids {C.BYTES}, prints {C.BYTES}, shas {C.BYTES}, sizes {C.BYTES}, no_id {C.BYTES}"
-#: Bits of the suspect table: 2^23 bits are 1 MB whatever the input's size.
-TABLE_BITS = 23
+#: Least and most bits of the suspect table: 1 MB, and 64 MB whatever the input's size.
+LEAST_BITS, MOST_BITS = 1 << 23, 1 << 29
 
 
 def normalised(text: Column) -> Column:
@@ -70,6 +71,12 @@ def _rice_bits(span: int, n: int) -> int:
     return max(0, int(np.log2(max(1.0, span / max(n, 1) * 0.69))))
 
 
+def table_bits(different: int) -> int:
+    """Bits of the suspect table: 8 to 16 for each different suspect, so that
+    about one other text in ten passes, within the bounds."""
+    return min(MOST_BITS, max(LEAST_BITS, 1 << (8 * different - 1).bit_length()))
+
+
 # ----------------------------------------------------------------- blocks
 def _blocks(rows: int):
     def run(frames):
@@ -166,22 +173,16 @@ def exact_dedup(docs: DataFrame, block_rows: int = 10_000, owner_rows: int = 500
     marked = C.saved(blocks.join(per_block, "block").drop("block").mapInPandas(
         _apply, "doc_id long, print long, sha string, size long, suspect boolean"), "marked")
 
-    # fixed-size table of the suspects' fingerprint bits, for the second scan
-    place = F.pmod(F.col("print"), F.lit(1 << TABLE_BITS))
-    page, bit = F.shiftright(place, 15), F.pmod(place, F.lit(1 << 15))
-    pages = (marked.filter("suspect").select(page.alias("page"), bit.alias("bit"))
-             .groupBy("page").agg(F.bitmap_construct_agg("bit").alias("bits")))
-    octet = F.conv(F.hex(F.substring("bits", (F.shiftright(bit, 3) + 1).cast("int"), F.lit(1))),
-                   16, 10).cast("int")
-    is_set = F.pmod(F.floor(octet / F.pow(F.lit(2), bit % 8)), F.lit(2)) == 1
+    # bits of the suspects' fingerprints, for the second scan
+    suspects = marked.filter("suspect").select("print")
+    different = suspects.agg(F.approx_count_distinct("print")).first()[0]
     best = F.min(F.struct((-F.col("size")).alias("size"),
                           F.coalesce("doc_id", F.lit(C.NO_ID)).alias("keep_id")))
     groups = C.saved(
-        text.select(F.coalesce("doc_id", F.lit(C.NO_ID)).alias("doc_id"),
-                    F.coalesce(F.length("text"), F.lit(0)).cast("long").alias("size"),
-                    normalised(F.col("text")).alias("t"))
-        .withColumn("print", F.xxhash64("t"))
-        .join(F.broadcast(pages), page == F.col("page")).filter(is_set)
+        C.likely(text.select(F.coalesce("doc_id", F.lit(C.NO_ID)).alias("doc_id"),
+                             F.coalesce(F.length("text"), F.lit(0)).cast("long").alias("size"),
+                             normalised(F.col("text")).alias("t"))
+                 .withColumn("print", F.xxhash64("t")), "print", suspects, table_bits(different))
         .groupBy("print", "t").agg(best.alias("best"), F.count("*").alias("group_size"))
         .filter("group_size > 1")
         .select(F.sha2("t", 256).alias("sha"), "group_size", "best.*")

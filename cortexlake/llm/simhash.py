@@ -185,7 +185,7 @@ def components(links: DataFrame) -> DataFrame:
     alternating large and small stars; roots are the smallest nodes. Minima
     are pre-aggregated, so a hub costs one row per task in each round. Rounds
     (about the logarithm of the longest chain) go on until nothing changes."""
-    edges, state = links, None
+    edges, state, stars = links, None, C.Rounds("stars")
     while True:
         both = edges.select("u", "v").unionByName(edges.select(F.col("v").alias("u"),
                                                                F.col("u").alias("v")))
@@ -197,7 +197,7 @@ def components(links: DataFrame) -> DataFrame:
             F.explode(F.array(F.struct(F.col("u").alias("u"), F.col("m").alias("v")),
                               F.struct(F.col("v").alias("u"), F.col("m").alias("v")))).alias("e")) \
             .select("e.*").filter("u <> v").distinct()
-        edges = C.saved(small, "stars")
+        edges = stars.next(small)
         now = edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(20,0)"))).first()
         if now == state:
             return edges.select(F.col("u").alias("node"), F.col("v").alias("root"))

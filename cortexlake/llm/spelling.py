@@ -214,11 +214,12 @@ def neighbours(pairs: DataFrame) -> DataFrame:
 def roots(links: DataFrame) -> DataFrame:
     """``place, root``: the end of the way from ``place`` over ``to``. Ways
     have no circles (n grows along them) and are halved in each round."""
-    ways = C.saved(links.select("place", F.col("to").alias("root")), "ways")
+    rounds = C.Rounds("ways")
+    ways = rounds.next(links.select("place", F.col("to").alias("root")))
     while True:
         ahead = ways.select(F.col("place").alias("root"), F.col("root").alias("next"))
-        longer = C.saved(ways.join(ahead, "root", "left").select(
-            "place", F.coalesce("next", "root").alias("root"), F.col("next").isNotNull().alias("moved")), "ways")
+        longer = rounds.next(ways.join(ahead, "root", "left").select(
+            "place", F.coalesce("next", "root").alias("root"), F.col("next").isNotNull().alias("moved")))
         if longer.filter("moved").isEmpty():
             return longer.select("place", "root")
         ways = longer.drop("moved")

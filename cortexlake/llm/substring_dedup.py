@@ -7,14 +7,19 @@ one string each. In a bucket the windows are sorted and counted exactly: equal
 windows always have the same minimiser, so they meet.
 
 1. A first pass adds up how many words every minimiser slot will receive (a
-   table of fixed size). Slots are cut into buckets of about ``bucket_words``;
-   a slot far over the mean (a very common line or phrase) is divided by a
-   second key of the window, its largest pair hash.
+   table of 2^13 to 2^20 slots, by the input's estimated size). Small slots
+   share buckets of about ``bucket_words``. A larger slot is divided: by further
+   bits of its minimisers, which leaves super-k-mers whole, or, if it is far
+   over the mean (a very common line or phrase), by a second key of the window,
+   its largest pair hash.
 2. Blocks of documents are cut into super-k-mers. Equal ones of a block are
    sent once, with the smallest and largest doc_id that has them; a group of
    copies costs one string per block. What travels is compressed.
 3. Buckets find the smallest doc_id of every window and answer each block with
-   the ranges of windows that started in a smaller document.
+   the ranges of windows that started in a smaller document. Where the input
+   has more than ``group_blocks`` blocks, the packets of far too large slots
+   are merged first, those of so many blocks at a time: windows that repeat
+   there go on once, so a window that is in every block is no large group.
 4. Blocks turn answers into word ranges per document, which join the texts."""
 
 from __future__ import annotations
@@ -31,7 +36,7 @@ from pyspark.sql import functions as F
 from . import common as C
 
 PAIR = 2
-SLOTS = 1 << 13
+SLOTS, MOST_SLOTS = 1 << 13, 1 << 20
 PACKET = f"bucket long, block string, payload {C.BYTES}"
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 _MULT = np.array([0xA0761D6478BD642F, 0xE7037ED1A0B428DB, 0x8EBC6AF09C88C6E3], np.uint64)
@@ -76,13 +81,26 @@ def _sliding(x: np.ndarray, width: int, op) -> np.ndarray:
 
 
 def window_keys(hashes: np.ndarray, window: int) -> tuple[np.ndarray, np.ndarray]:
-    """Minimiser slot and second key (64 bits) of the window at every word."""
+    """Minimiser and second key (64 bits each, mixed) of the window at every word."""
     t = hashes[:-1] * _MULT[0] + hashes[1:] * _MULT[1]
     t = (t ^ (t >> np.uint64(29))) * _MIX
     width = window - PAIR + 1
     low, high = _sliding(t, width, np.minimum), _sliding(t, width, np.maximum)
     mix = lambda x: ((x ^ (x >> np.uint64(31))) * _MULT[0]) ^ (x >> np.uint64(17))
-    return (mix(low) >> np.uint64(64 - SLOTS.bit_length() + 1)).astype(np.int64), mix(high)
+    return mix(low), mix(high)
+
+
+def slots_of(first: np.ndarray, slots: int) -> np.ndarray:
+    """Slot (of a power of two) of each minimiser: its leading bits."""
+    return (first >> np.uint64(65 - slots.bit_length())).astype(np.int64)
+
+
+def _slots(rows: DataFrame, bucket_words: int) -> int:
+    """Slots for about a quarter bucket each, by the planner's estimate of the
+    input's bytes. The result does not depend on it, only the buckets' evenness."""
+    size = int(str(rows._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    wanted = 4 * size // (6 * bucket_words)
+    return min(MOST_SLOTS, max(SLOTS, 1 << wanted.bit_length()))
 
 
 class Block:
@@ -97,13 +115,13 @@ class Block:
         n = len(self.words)
         if n < window:
             self.at = np.zeros(0, np.int64)
-            self.slot, self.second = np.zeros(0, np.int64), np.zeros(0, np.uint64)
+            self.first = self.second = np.zeros(0, np.uint64)
             self.doc = self.at
             return
         doc = np.repeat(np.arange(len(cut)), self.lengths)
         self.at = np.flatnonzero(np.arange(n) + window <= ends[doc])     # windows inside a document
-        slot, second = window_keys(hasher(self.words), window)
-        self.slot, self.second, self.doc = slot[self.at], second[self.at], doc[self.at]
+        first, second = window_keys(hasher(self.words), window)
+        self.first, self.second, self.doc = first[self.at], second[self.at], doc[self.at]
 
     def runs(self, bucket: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """First window and number of windows of each super-k-mer."""
@@ -131,33 +149,44 @@ def _blocks(batches, chars: int):
         yield ids, keys, texts
 
 
-def _load(window: int, chars: int):
+def _load(window: int, chars: int, slots: int):
     def run(batches):
-        hasher, load = Hasher(), np.zeros(SLOTS, np.int64)
+        hasher, load, blocks = Hasher(), np.zeros(slots, np.int64), 0
         for _, _, texts in _blocks(batches, chars):
+            blocks += 1
             b = Block(texts, hasher, window)
-            first, n = b.runs(b.slot)
-            load += np.bincount(b.slot[first], n + window - 1, SLOTS).astype(np.int64)
+            slot = slots_of(b.first, slots)
+            first, n = b.runs(slot)
+            load += np.bincount(slot[first], n + window - 1, slots).astype(np.int64)
         used = np.flatnonzero(load)
-        yield pa.RecordBatch.from_arrays([pa.array(used), pa.array(load[used])], ["slot", "words"])
+        yield pa.RecordBatch.from_arrays([pa.array(np.append(used, slots)),
+                                          pa.array(np.append(load[used], blocks))], ["slot", "words"])
     return run
 
 
 class Buckets:
-    """Slots cut into buckets of about ``size`` words; a slot over ``size`` and
-    over four times the mean is divided by the second key."""
+    """Slots cut into buckets of about ``size`` words. A slot over ``size`` has
+    buckets of its own, by its minimisers; over four times the mean as well, by
+    the second key, as one minimiser may then make up most of it."""
 
     def __init__(self, load: np.ndarray, size: int):
-        hot = load > max(size, 4 * load.mean())
-        self.parts = np.where(hot, -(-load // size), 1)
-        calm = np.where(hot, 0, load)
-        place = (np.cumsum(calm) - calm) // size
+        large = load > size
+        self.hot = large & (load > 4 * load.mean())
+        self.any_calm = bool((large & ~self.hot).any())
+        self.parts = np.where(large, -(-load // size), 1)
+        small = np.where(large, 0, load)
+        place = (np.cumsum(small) - small) // size
+        own = lambda which: np.cumsum(np.where(which, self.parts, 0)) - self.parts
         shared = int(place.max()) + 1
-        self.base = np.where(hot, shared + np.cumsum(np.where(hot, self.parts, 0)) - self.parts, place)
-        self.count = int(shared + self.parts[hot].sum())
+        self.first_hot = shared + int(self.parts[large & ~self.hot].sum())
+        self.base = np.where(self.hot, self.first_hot + own(self.hot),
+                             np.where(large, shared + own(large & ~self.hot), place))
+        self.count = self.first_hot + int(self.parts[self.hot].sum())
 
-    def of(self, slot: np.ndarray, second: np.ndarray) -> np.ndarray:
-        return self.base[slot] + (second % self.parts[slot].astype(np.uint64)).astype(np.int64)
+    def of(self, first: np.ndarray, second: np.ndarray) -> np.ndarray:
+        slot = slots_of(first, len(self.parts))
+        key = np.where(self.hot[slot], second, first) if self.any_calm else second
+        return self.base[slot] + (key % self.parts[slot].astype(np.uint64)).astype(np.int64)
 
 
 def _pack(*arrays) -> bytes:
@@ -186,7 +215,7 @@ def _send(window: int, chars: int, buckets: Buckets):
         for ids, keys, texts in _blocks(batches, chars):
             b = Block(texts, hasher, window)
             ids = np.array(ids, np.int64)
-            bucket = buckets.of(b.slot, b.second)
+            bucket = buckets.of(b.first, b.second)
             first, n = b.runs(bucket)
             joined = b" ".join(b.words)
             stop = np.cumsum(np.fromiter(map(len, b.words), np.int64, len(b.words)) + 1) - 1
@@ -231,11 +260,11 @@ def _powers(base: int, n: int) -> np.ndarray:
     return np.multiply.accumulate(out)
 
 
-def smallest_start(ids: np.ndarray, at: np.ndarray, low: np.ndarray, window: int) -> np.ndarray:
-    """For windows of word ids starting at ``at``: the smallest ``low`` of all
-    equal windows. Windows are sorted by a rolling hash; neighbours are compared
-    word by word, and if a hash ever stands for two windows, all words are
-    sorted."""
+def sorted_windows(ids: np.ndarray, at: np.ndarray, window: int) -> tuple[np.ndarray, np.ndarray]:
+    """Order of the windows of word ids starting at ``at`` that brings equal
+    ones together, and whether each equals the next. Windows are sorted by a
+    rolling hash; neighbours are compared word by word, and if a hash ever
+    stands for two windows, all words are sorted."""
     x = (ids.astype(np.uint64) + np.uint64(1)) * _MIX
     x ^= x >> np.uint64(32)
     total = np.cumsum(np.concatenate([[np.uint64(0)], x * _powers(_BASE, len(x))]), dtype=np.uint64)
@@ -255,6 +284,13 @@ def smallest_start(ids: np.ndarray, at: np.ndarray, low: np.ndarray, window: int
         same = np.ones(len(s) - 1, bool)
         for j in range(window):
             same &= ids[s[1:] + j] == ids[s[:-1] + j]
+    return order, same
+
+
+def smallest_start(ids: np.ndarray, at: np.ndarray, low: np.ndarray, window: int) -> np.ndarray:
+    """For windows of word ids starting at ``at``: the smallest ``low`` of all
+    equal windows."""
+    order, same = sorted_windows(ids, at, window)
     out = low.copy()                                       # a window that occurs once: its own
     some = np.flatnonzero(np.append(same, False) | np.insert(same, 0, False))
     if len(some):
@@ -264,27 +300,95 @@ def smallest_start(ids: np.ndarray, at: np.ndarray, low: np.ndarray, window: int
     return out
 
 
-def _count(window: int):
-    def run(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
-        if key[0] < 0:
-            return pdf                                     # a block's own notes pass through
-        strings, number, wide, low, high, blocks = [], [], [], [], [], []
-        for i, p in enumerate(pdf["payload"]):
+class Received:
+    """The super-k-mers of some packets, one after the other: their word ids
+    (and ``words``, if asked), and of each window its super-k-mer, offset there
+    and place."""
+
+    def __init__(self, payloads, window: int, words: bool = False):
+        strings, number, wide, low, high, packet = [], [], [], [], [], []
+        for i, p in enumerate(payloads):
             s, *rest = _unpack(p, None, np.int32, np.int32, np.int64, np.int64)
             strings.append(s)
             for held, x in zip((number, wide, low, high), rest):
                 held.append(x)
-            blocks.append(np.full(len(rest[0]), i))
-        words = b"\n".join(strings).split()
+            packet.append(np.full(len(rest[0]), i))
+        cut = b"\n".join(strings).split()
         del strings
-        ids = np.fromiter(map(_Numbers().__getitem__, words), np.int32, len(words))
-        del words
-        number, wide, low, high, blocks = map(np.concatenate, (number, wide, low, high, blocks))
+        self.ids = np.fromiter(map(_Numbers().__getitem__, cut), np.int32, len(cut))
+        self.words = cut if words else None
+        del cut
+        self.number, wide, self.low, self.high, self.packet = map(
+            np.concatenate, (number, wide, low, high, packet))
         wide = wide.astype(np.int64)
         begin = np.cumsum(wide + window - 1) - (wide + window - 1)
-        own = np.repeat(np.arange(len(wide)), wide)        # super-k-mer of each window
-        off = np.arange(len(own)) - np.repeat(np.cumsum(wide) - wide, wide)
-        least = smallest_start(ids, begin[own] + off, low[own], window)
+        self.own = np.repeat(np.arange(len(wide)), wide)
+        self.off = np.arange(len(self.own)) - np.repeat(np.cumsum(wide) - wide, wide)
+        self.at = begin[self.own] + self.off
+
+
+def _merge(window: int):
+    """Packets of one bucket from some blocks, as one packet: windows that
+    repeat are cut out and go once, runs of others stay whole. ``kind`` 1 is
+    that packet, ``kind`` 2 tells where its strings came from."""
+    def run(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
+        r = Received(pdf["payload"], window, words=True)
+        order, same = sorted_windows(r.ids, r.at, window)
+        group = np.empty(len(order), np.int64)               # of equal windows
+        group[order] = np.cumsum(np.append(False, ~same))
+        many = np.bincount(group)[group] > 1
+        first = np.flatnonzero(np.concatenate([[True], (np.diff(r.own) != 0) | many[1:] | many[:-1]]))
+        wide = np.diff(np.append(first, len(group)))
+        low, high = r.low[r.own[first]], r.high[r.own[first]]
+        # a run of others has a group of its own: that of its first window
+        _, head, number = np.unique(group[first], return_index=True, return_inverse=True)
+        least, most = np.full(len(head), C.NO_ID), np.full(len(head), -C.NO_ID)
+        np.minimum.at(least, number, low)
+        np.maximum.at(most, number, high)
+        at, wide = r.at[first[head]], wide[head]
+        strings = [b" ".join(r.words[a:a + n + window - 1]) for a, n in zip(at.tolist(), wide.tolist())]
+        me = f"~{key[0]}.{key[1]}"
+        own = r.own[first]
+        return pd.DataFrame([
+            (1, key[0], me, _pack(b"\n".join(strings), np.arange(len(head), dtype=np.int32),
+                                  wide.astype(np.int32), least, most)),
+            (2, key[0], me, _pack("\n".join(pdf["block"]).encode(), number.astype(np.int32),
+                                  r.packet[own].astype(np.int32), r.number[own].astype(np.int32),
+                                  r.off[first].astype(np.int32)))],
+            columns=["kind", "bucket", "block", "payload"])
+    return run
+
+
+def _pass_on(pdf: pd.DataFrame) -> pd.DataFrame:
+    """The answer to a merged packet, as answers to the blocks it came from."""
+    note = pdf[pdf["kind"] == 2].iloc[0]
+    names, number, packet, string, start = _unpack(note["payload"], None, *[np.int32] * 4)
+    names = names.decode().split("\n")
+    order = np.argsort(number, kind="stable")
+    number, packet, string, start = (x[order] for x in (number, packet, string, start))
+    rows = []
+    for p in pdf[pdf["kind"] == 1]["payload"]:
+        want, off, n, least = _unpack(p, np.int32, np.int32, np.int32, np.int64)
+        a, b = np.searchsorted(number, want), np.searchsorted(number, want, "right")
+        which = np.repeat(np.arange(len(want)), b - a)
+        inst = np.arange(len(which)) - np.repeat(np.cumsum(b - a) - (b - a), b - a) + a[which]
+        turn = np.lexsort((start[inst] + off[which], string[inst], packet[inst]))
+        which, inst = which[turn], inst[turn]
+        for some in np.split(np.arange(len(inst)), np.flatnonzero(np.diff(packet[inst])) + 1):
+            if len(some):
+                i, w = inst[some], which[some]
+                rows.append((note["bucket"], names[packet[i[0]]], _pack(
+                    string[i], start[i] + off[w], n[w], least[w])))
+    return pd.DataFrame(rows, columns=["bucket", "block", "payload"])
+
+
+def _count(window: int):
+    def run(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
+        if key[0] < 0:
+            return pdf                                     # a block's own notes pass through
+        r = Received(pdf["payload"], window)
+        own, off, number, blocks, high = r.own, r.off, r.number, r.packet, r.high
+        least = smallest_start(r.ids, r.at, r.low[own], window)
         hit = np.flatnonzero(least < high[own])
         if not len(hit):
             return pdf.iloc[:0]
@@ -337,19 +441,41 @@ def _ranges(window: int):
     return run
 
 
+def _answers(packets: DataFrame, window: int, first_hot: int, salts: int) -> DataFrame:
+    """Answers to blocks (and their notes). With ``salts`` over 1 the packets
+    of buckets from ``first_hot`` on are merged first, in so many parts."""
+    if salts == 1:
+        return packets.groupBy("bucket").applyInPandas(_count(window), PACKET)
+    merge, count = _merge(window), _count(window)
+
+    def run(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf[["bucket", "block", "payload"]]
+        return merge(key, pdf) if key[0] >= first_hot else count(key, pdf).assign(kind=0)
+
+    part = F.when(F.col("bucket") >= first_hot, F.pmod(F.xxhash64("block"), F.lit(salts))).otherwise(0)
+    some = C.saved(packets.withColumn("part", part).groupBy("bucket", "part").applyInPandas(
+        run, "kind int, " + PACKET), "merged")
+    packet = ["bucket", "block", "payload"]
+    merged = some.filter("kind = 1").select(packet).groupBy("bucket").applyInPandas(count, PACKET)
+    back = some.filter("kind = 2").unionByName(merged.withColumn("kind", F.lit(1)))
+    return some.filter("kind = 0").select(packet).unionByName(
+        back.groupBy("block").applyInPandas(_pass_on, PACKET))
+
+
 def duplicate_ranges(docs: DataFrame, window: int = 13, block_chars: int = 3_000_000,
-                     bucket_words: int = 1_000_000) -> DataFrame:
+                     bucket_words: int = 1_000_000, group_blocks: int = 4096) -> DataFrame:
     """``id, key, ranges``: of documents (``doc_id, text``) with words to
     remove, the word ranges [begin, end) as pairs of little-endian longs. id is
     the doc_id (NO_ID if missing), key the XXH64 of the text."""
     rows = docs.filter("text is not null").select("doc_id", F.xxhash64("text").alias("key"), "text")
-    load = np.zeros(SLOTS, np.int64)
-    for r in (rows.mapInArrow(_load(window, block_chars), "slot long, words long")
-              .groupBy("slot").agg(F.sum("words").alias("words")).collect()):    # SLOTS rows at most
-        load[r["slot"]] = r["words"]
-    buckets = Buckets(load, bucket_words)
+    slots = _slots(rows, bucket_words)
+    load = np.zeros(slots + 1, np.int64)                    # the last: number of blocks
+    used = (rows.mapInArrow(_load(window, block_chars, slots), "slot long, words long")
+            .groupBy("slot").agg(F.sum("words").alias("words")).toArrow())       # a row per slot at most
+    load[used.column("slot").to_numpy()] = used.column("words").to_numpy()
+    buckets, blocks = Buckets(load[:-1], bucket_words), int(load[-1])
     packets = rows.mapInArrow(_send(window, block_chars, buckets), PACKET)
-    answers = packets.groupBy("bucket").applyInPandas(_count(window), PACKET)
+    answers = _answers(packets, window, buckets.first_hot, max(1, -(-blocks // group_blocks)))
     return (answers.groupBy("block").applyInPandas(_ranges(window), f"id long, key long, ranges {C.BYTES}")
             .dropDuplicates(["id", "key"]))
 

@@ -11,7 +11,7 @@ import pytest
 import xxhash
 from pyspark.sql import functions as F
 
-from cortexlake.llm import exact_dedup, line_dedup, simhash, substring_dedup
+from cortexlake.llm import common, exact_dedup, line_dedup, simhash, substring_dedup
 from cortexlake.llm.common import saved
 
 
@@ -50,6 +50,23 @@ def test_exact(docs_of, odd_texts):
     assert exact_dedup.exact_dedup(docs_of([])).count() == 0
 
 
+def test_suspect_table_grows_within_bounds():
+    bits = exact_dedup.table_bits
+    assert bits(0) == bits(1 << 20) == exact_dedup.LEAST_BITS
+    assert bits((1 << 20) + 1) == 2 * exact_dedup.LEAST_BITS
+    assert bits(1 << 40) == exact_dedup.MOST_BITS
+
+
+def test_replaced_tables_are_deleted(spark):
+    rounds = common.Rounds("t")
+    a = rounds.next(spark.range(3))
+    first = rounds.path
+    b = rounds.next(a.filter("id > 0"))
+    assert b.count() == 2 and first != rounds.path
+    at = spark._jvm.org.apache.hadoop.fs.Path(first)
+    assert not at.getFileSystem(spark._jsc.hadoopConfiguration()).exists(at)
+
+
 # ----------------------------------------------------------------- line
 def test_lines(docs_of):
     rows = [(i, f"menu here\n{prose(i, 5)}\r\n\nfooter {i % 2}", "en", "a") for i in range(40)]
@@ -127,8 +144,8 @@ def brute_substring(rows, k=13):
     return sorted(out)
 
 
-@pytest.mark.parametrize("bucket_words", [200, 1_000_000])
-def test_substrings(docs_of, odd_texts, bucket_words, monkeypatch):
+@pytest.mark.parametrize("bucket_words, group_blocks", [(200, 4096), (1_000_000, 4096), (200, 2), (20, 1)])
+def test_substrings(docs_of, odd_texts, bucket_words, group_blocks, monkeypatch):
     shared = [prose(900 + i, 40) for i in range(4)]
     rows = list(enumerate(odd_texts))
     rows += [(100 + i, f"{prose(i, i % 30)} {shared[i % 4]}\n{prose(500 + i, 9)}") for i in range(60)]
@@ -136,12 +153,54 @@ def test_substrings(docs_of, odd_texts, bucket_words, monkeypatch):
              for i in range(60)]
     rows += [(5, shared[0]), (5, shared[0]), (None, shared[1]), (None, shared[1] + " end"), (300, shared[0])]
     docs = saved(docs_of(rows).withColumn("ranges", F.lit("clash")), "t")
-    monkeypatch.setattr(substring_dedup.duplicate_ranges, "__defaults__", (13, 2000, bucket_words))
+    monkeypatch.setattr(substring_dedup.duplicate_ranges, "__defaults__", (13, 2000, bucket_words, group_blocks))
     got = substring_dedup.substring_dedup(docs).collect()
     assert sorted((r.row["doc_id"] or -1, r.n_words, r.n_removed, r.kept) for r in got) == brute_substring(rows)
     assert substring_dedup.substring_dedup(docs_of([])).count() == 0
 
 
+def test_buckets_stay_even_at_any_size():
+    """Slots over a bucket are divided: by minimisers, or by second keys if far over the mean."""
+    load = np.full(substring_dedup.SLOTS, 5_000)
+    load[7] = 400_000
+    b = substring_dedup.Buckets(load, 1_000)
+    assert b.parts[0] == 5 and b.parts[7] == 400 and b.count == 1 + 5 * (len(load) - 1) + 400
+    assert b.first_hot == b.count - 400
+    rng = np.random.default_rng(5)
+    first, second = rng.integers(0, 1 << 64, (2, 200_000), np.uint64)
+    alike = first.copy()
+    alike[:50_000] = np.uint64(7 << 51)                               # one minimiser, in slot 7
+    got = b.of(alike, second)
+    assert (got[:50_000] >= b.first_hot).all() and np.bincount(got[:50_000] - b.first_hot).max() < 250
+    calm = got[50_000:][substring_dedup.slots_of(alike[50_000:], len(load)) != 7]
+    assert calm.max() < b.first_hot and len(np.unique(calm)) > 38_000
+    same = b.of(first, second[::-1])                                  # only minimisers count there
+    far = substring_dedup.slots_of(first, len(load)) != 7
+    assert (same[far] == b.of(first, second)[far]).all()
+
+
+def test_a_window_in_every_block():
+    """A merged packet holds a window common to its blocks once; the answer to
+    it comes back as an answer to each block."""
+    import pandas as pd
+    one = lambda *x: [np.array([v], k) for v, k in zip(x, (np.int32, np.int32, np.int64, np.int64))]
+    common_words = prose(77, 13)
+    packets = pd.DataFrame([(5, f"{i}-0", substring_dedup._pack(
+        f"{prose(1000 + i, 6)} {common_words} {prose(3000 + i, 6)}".encode(), *one(3, 13, i, i)))
+        for i in range(20)], columns=["bucket", "block", "payload"])
+    got = substring_dedup._merge(13)((5, 0), packets)
+    packet = got[got["kind"] == 1]
+    strings, _, wide, low, high = substring_dedup._unpack(
+        packet["payload"].iloc[0], None, *[np.int32] * 2, *[np.int64] * 2)
+    assert strings.decode().count(common_words) == 1 and wide.sum() == 20 * 12 + 1
+    assert (low.min(), high.max()) == (0, 19)
+    answer = substring_dedup._count(13)((5,), packet.drop(columns="kind"))
+    back = substring_dedup._pass_on(pd.concat([got[got["kind"] == 2], answer.assign(kind=1)]))
+    assert sorted(back["block"]) == sorted(f"{i}-0" for i in range(20))
+    for p in back["payload"]:                    # blocks leave out what starts in their own document
+        assert [x.tolist() for x in substring_dedup._unpack(p, *[np.int32] * 3, np.int64)] == [[3], [6], [1], [0]]
+
+
 def test_hash_collisions_are_sorted_out(monkeypatch):
     monkeypatch.setattr(substring_dedup, "_MIX", np.uint64(0))       # every hash alike
     ids = np.array([1, 2, 3, 9, 1, 2, 3, 8, 2, 3, 9], np.int32)
