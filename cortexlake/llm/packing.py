@@ -13,6 +13,7 @@ is gained."""
 
 from __future__ import annotations
 
+import functools
 import re
 import struct
 import zlib
@@ -41,11 +42,16 @@ def word_units(text: str) -> list:
     return text.replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ")
 
 
+@functools.lru_cache(1024)
+def _layout(n: int) -> struct.Struct:
+    return struct.Struct(f"<{n}I")
+
+
 class WordEncoder:
     """Ids of whole texts under a white-space-free vocabulary, as bytes of
     little-endian unsigned 32-bit ids, with a bounded memory per worker."""
 
-    def __init__(self, path: str, limit: int = 1_000_000):
+    def __init__(self, path: str, limit: int = 500_000):
         from tokenizers import Tokenizer
         from tokenizers.pre_tokenizers import ByteLevel
         C.quiet_tokenizers()
@@ -59,31 +65,41 @@ class WordEncoder:
         self.memo = C.Memo(self._many, self._split, b"".join, limit)
 
     def _split(self, unit: str) -> list:
+        if unit.isascii() and unit.isalpha() and len(unit) <= 200:       # the most frequent plain unit
+            return [unit.lower()]
         if _PLAIN_UNIT.fullmatch(unit) and not ("<" in unit and any(s in unit for s in self.special)):
             return _PLAIN_PIECE.findall(unit.lower())
         return [unit] if unit else []
 
     def _many(self, pieces: list) -> list:
-        out = []
+        out, merges = [], self.merges
         for p in pieces:
-            if _PLAIN_UNIT.fullmatch(p) and _PLAIN_PIECE.fullmatch(p):
-                ids = [x.id for x in self.merges(p.translate(self.alphabet))]
+            if p.isascii() and p.isalpha() and len(p) <= 200:            # spelt alike in that alphabet
+                ids = [x.id for x in merges(p)]
+            elif _PLAIN_UNIT.fullmatch(p) and _PLAIN_PIECE.fullmatch(p):
+                ids = [x.id for x in merges(p.translate(self.alphabet))]
             else:
                 ids = self.t.encode(p, add_special_tokens=False).ids
-            out.append(struct.pack(f"<{len(ids)}I", *ids))
+            out.append(_layout(len(ids)).pack(*ids))
         return out
 
     def __call__(self, text: str) -> bytes:
         return b"".join(self.memo.values(word_units(text)))
 
 
+@functools.lru_cache(1)
+def word_encoder(path: str) -> WordEncoder:
+    """One per Python worker: what a task has learned serves the next one."""
+    return WordEncoder(path)
+
+
 def token_pieces(docs: DataFrame, vocabulary: str = "word_bpe_49k.json", capacity: int = 2048,
                  end_id: int = 0, with_ids: bool = False, id_col: str = "doc_id",
                  text_col: str = "text") -> DataFrame:
     """Pieces of every document: its ids, then ``end_id``, cut every
     ``capacity`` ids. ``with_ids`` adds the ids as bytes (``ids``)."""
     def run(batches):
-        enc = WordEncoder(C.vocabulary(vocabulary))
+        enc = word_encoder(C.vocabulary(vocabulary))
         end, step = np.array([end_id], "<u4").tobytes(), 4 * capacity
         for b in C.slices(batches):
             rows = []

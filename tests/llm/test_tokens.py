@@ -48,6 +48,14 @@ def test_word_ids_are_the_librarys(text):
     assert np.frombuffer(w(text), "<u4").tolist() == w.t.encode(text, add_special_tokens=False).ids
 
 
+def test_word_encoder_is_kept_by_its_worker():
+    enc = packing.word_encoder(C.vocabulary("word_bpe_49k.json"))
+    assert packing.word_encoder(C.vocabulary("word_bpe_49k.json")) is enc
+    text = "Alpha alpha, " + "Q" * 200 + " " + "q" * 201 + " <unk> <|endoftext|> \u00c9t\u00e9 x1 don't"
+    for _ in range(2):
+        assert np.frombuffer(enc(text), "<u4").tolist() == enc.t.encode(text, add_special_tokens=False).ids
+
+
 def test_long_text_is_cut_at_safe_boundaries():
     text = ("word  \n other " * 9000) + "z" * 40000 + " " * 40000
     ids = np.frombuffer(bpe_codec.encode_text(text, RANKS), "<u4").tolist()
