@@ -13,6 +13,7 @@ from __future__ import annotations
 
 import functools
 import itertools
+from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
@@ -26,6 +27,7 @@ from . import common as C
 UNDETERMINED = "und"
 FLOOR = 1e-7         # probability of a letter that is no piece, and of unseen pieces
 STEP = 8             # positions between two rescalings of the recursion
+SLICE = 256          # texts that are decoded into Python objects at a time
 LETTERS = 65_536     # letters of a batch of words that are held as a lattice at once
 _WORD = regex.compile(r"\p{L}[\p{L}\p{M}]*")
 _PIECE = regex.compile(r" ?[\p{L}\p{M}]*")
@@ -258,7 +260,7 @@ def train(docs: DataFrame, sample_docs: int = 2000, rounds: int = 2,
 class Scorer:
     """Scores whole texts; remembers sums per white-space-free stretch."""
 
-    def __init__(self, langs: list[str], p: np.ndarray, vocabulary: str, limit: int = 500_000):
+    def __init__(self, langs: list[str], p: np.ndarray, vocabulary: str, limit: int = 250_000):
         self.langs, self.p, self.index, self.limit = langs, p, pieces(vocabulary), limit
         self._clear()
 
@@ -329,18 +331,19 @@ def predict(docs: DataFrame, model: tuple[list[str], np.ndarray],
     of any name stay inside ``row``."""
     shared = docs.sparkSession.sparkContext.broadcast(model)       # pieces x languages
 
-    def run(batches):
+    # only the text goes to Python: the other columns stay where they are
+    @F.arrow_udf("lang_pred string, score double")
+    def told(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         scorer = Scorer(*shared.value, vocabulary)
-        for b in C.slices(batches):
-            found = scorer(b.column("text").to_pylist())
-            yield pa.RecordBatch.from_arrays(
-                [b.column("row"), pa.array([x[0] for x in found], pa.string()),
-                 pa.array([x[1] for x in found], pa.float64())], ["row", "lang_pred", "score"])
-
-    rows = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("row"),
-                       docs[text_col].cast("string").alias("text"))
-    return rows.mapInArrow(run, f"row {rows.schema['row'].dataType.simpleString()}, "
-                                "lang_pred string, score double")
+        for texts in batches:
+            found = [x for i in range(0, len(texts), SLICE) for x in scorer(texts.slice(i, SLICE).to_pylist())]
+            yield pa.StructArray.from_arrays([pa.array([x[0] for x in found], pa.string()),
+                                              pa.array([x[1] for x in found], pa.float64())], ["lang_pred", "score"])
+
+    # not deterministic for the planner: it may not repeat the call in filters
+    found = told.asNondeterministic()(docs[text_col].cast("string"))
+    return docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("row"), found.alias("_found")) \
+        .select("row", "_found.lang_pred", "_found.score")
 
 
 def held_out(id_col: str = "doc_id"):

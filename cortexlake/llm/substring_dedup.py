@@ -24,6 +24,8 @@ windows always have the same minimiser, so they meet.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pandas as pd
 import pyarrow as pa
@@ -36,6 +38,7 @@ from pyspark.sql import functions as F
 from . import common as C
 
 PAIR = 2
+SLICE = 256          # texts that are decoded into Python objects at a time
 SLOTS, MOST_SLOTS = 1 << 13, 1 << 20
 PACKET = f"bucket long, block string, payload {C.BYTES}"
 _MIX = np.uint64(0x9E3779B97F4A7C15)
@@ -499,24 +502,28 @@ def substring_dedup(docs: DataFrame, window: int = 13, id_col: str = "doc_id",
                                 == ranges["id"]) & (F.xxhash64(text) == ranges["key"]), "left") \
         .select("row", text.alias("text"), "ranges")
 
-    def cut(batches):
-        for b in C.slices(batches):
+    # only the text and its ranges go to Python: the other columns stay where they are
+    @F.arrow_udf("kept string, n_words long, n_removed long")
+    def cut(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
+        for texts, ranges in batches:
             kept, total, gone = [], [], []
-            for t, r in zip(b.column("text").to_pylist(), b.column("ranges").to_pylist()):
-                words = words_of(t)
-                total.append(len(words))
-                removed = 0
-                for x, y in np.frombuffer(r, "<i8").reshape(-1, 2)[::-1].tolist() if r else ():
-                    del words[x:y]
-                    removed += y - x
-                gone.append(removed)
-                kept.append(b" ".join(words).decode())
-            yield pa.RecordBatch.from_arrays(
-                [b.column("row"), pa.array(kept, pa.string()), pa.array(total, pa.int64()),
-                 pa.array(gone, pa.int64())], ["row", "kept", "n_words", "n_removed"])
-
-    return joined.mapInArrow(cut, f"row {rows.schema['row'].dataType.simpleString()}, "
-                                  "kept string, n_words long, n_removed long")
+            for i in range(0, len(texts), SLICE):
+                for t, r in zip(texts.slice(i, SLICE).to_pylist(), ranges.slice(i, SLICE).to_pylist()):
+                    words = words_of(t)
+                    total.append(len(words))
+                    removed = 0
+                    for x, y in np.frombuffer(r, "<i8").reshape(-1, 2)[::-1].tolist() if r else ():
+                        del words[x:y]
+                        removed += y - x
+                    gone.append(removed)
+                    kept.append(b" ".join(words).decode())
+            yield pa.StructArray.from_arrays(
+                [pa.array(kept, pa.string()), pa.array(total, pa.int64()), pa.array(gone, pa.int64())],
+                ["kept", "n_words", "n_removed"])
+
+    # not deterministic for the planner: it may not repeat the call in projections
+    return joined.select("row", cut.asNondeterministic()("text", "ranges").alias("_cut")) \
+        .select("row", "_cut.kept", "_cut.n_words", "_cut.n_removed")
 
 
 ORACLE = """

@@ -3,6 +3,7 @@ from __future__ import annotations
 
 import itertools
 import math
+import re
 
 import numpy as np
 import pytest
@@ -335,7 +336,6 @@ def test_a_page_carries_its_own_skeletons_constants(spark):
 
 def test_pages_table(spark):
     import html as entities
-    import re
     rows = {r.page_id: r.text for r in
             html_extract.extract(spark.read.parquet(f"{SF}/pages.parquet")).collect()}
     for r in spark.read.parquet(f"{SF}/pages.parquet").collect():
@@ -369,6 +369,19 @@ def test_pipeline(spark):
 
 
 
+def test_further_columns_stay_out_of_python(spark, docs_of):
+    from cortexlake.llm import substring_dedup
+    passage = " ".join(f"w{i}" for i in range(20))
+    docs = docs_of([(1, passage), (2, "some " + passage), (3, None)]).withColumn("wide", F.repeat(F.lit("x"), 1000))
+    found = language_id.predict(docs, language_id.train(docs))
+    cut = substring_dedup.substring_dedup(docs)
+    for df in (found, cut):
+        plan = df._jdf.queryExecution().optimizedPlan().toString()
+        assert "ArrowEvalPython" in plan and not re.search(r"MapInArrow \w+\(row", plan)
+        assert all(len(r.row.wide) == 1000 for r in df.collect())
+    assert {r.row.doc_id: (r.kept, r.n_removed) for r in cut.collect()} == {1: (passage, 0), 2: ("some", 20), 3: ("", 0)}
+
+
 def test_pipeline_on_odd_rows(spark, docs_of, odd_texts, tmp_path):
     """Nulls, empties, long texts, repeated rows, clashing columns; the steps'
     tables are gone afterwards."""
