@@ -155,6 +155,7 @@ def test_no_bytes_are_shuffled(spark, tmpdir_path):
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     assert V.packed(files, bytes_per_task=1).rdd.getNumPartitions() >= 3
+    assert V.packed(files, files_per_task=1).rdd.getNumPartitions() >= 3
 
 
 def test_bad_file_then_mended(spark, tmpdir_path):
