@@ -97,15 +97,17 @@ def case_numbers(cohorts: DataFrame, known: DataFrame | None = None) -> DataFram
         "series_uid", (F.col("_n") + first).cast("long").alias("number"))
 
 
-def case_state(cohorts: DataFrame, numbers: DataFrame) -> DataFrame:
+def case_state(cohorts: DataFrame, numbers: DataFrame, n_images: Column | None = None) -> DataFrame:
     """G4 of one delivery, to be kept and merged: per cohort and page of 32,768
-    numbers a bitmap of its cases, and with page -1 its sets and images."""
+    numbers a bitmap of its cases, and with page -1 its sets and images
+    (``n_images`` of a row: the size of its ``images``)."""
+    n_images = F.size("images") if n_images is None else n_images
     page, bit = F.bitmap_bucket_number("number"), F.bitmap_bit_position("number")
     bits = cohorts.select("name", "series_uid").join(numbers, "series_uid").groupBy("name", page.alias("page")).agg(
         F.bitmap_construct_agg(bit).alias("bits"), F.lit(0).cast("long").alias("n_sets"),
         F.lit(0).cast("long").alias("n_images"))
     sums = cohorts.groupBy("name").agg(F.count("*").alias("n_sets"),
-                                       F.sum(F.size("images")).cast("long").alias("n_images"))
+                                       F.sum(n_images).cast("long").alias("n_images"))
     return bits.unionByName(sums.select("name", F.lit(-1).cast("long").alias("page"),
                                         F.lit(None).cast(bits.schema["bits"].dataType).alias("bits"),
                                         "n_sets", "n_images"))

@@ -24,7 +24,7 @@ from ..plans import jobs as J
 from ..sources import archives as A
 from ..sources import volumes as V
 from ..schemas import PRODUCTS
-from ..session import cut_lineage, read_table, scratch_path
+from ..session import cut_lineage, read_table, scratch_path, written
 from ..sinks.writers import landed_slices, publish, read_published
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -475,14 +475,16 @@ def q_count_cases(spark, sf_dir):
 
 @query("count_cases_merged")
 def q_count_cases_merged(spark, sf_dir):
-    """G4 kept up over two deliveries, the second with cases of the first."""
-    c = _cohorts(spark, sf_dir)
+    """G4 kept up over two deliveries, the second with cases of the first. The
+    cohorts are built once: what is counted of them is written, by delivery."""
     late = F.pmod(F.xxhash64("series_uid", "scan_axis", "source", F.size("images")), F.lit(3)) == 0
-    first, second = c.filter(~late), c.filter(late)
+    c = written(_cohorts(spark, sf_dir).select(
+        "name", "series_uid", F.size("images").alias("n_images"), late.alias("late")), "deliveries")
+    first, second, n_images = c.filter("not late"), c.filter("late"), F.col("n_images")
     numbers = cut_lineage(K.case_numbers(first))
-    state = cut_lineage(K.case_state(first, numbers))
-    numbers = numbers.unionByName(K.case_numbers(second, numbers))
-    return K.cases_of(K.merged_cases(state, K.case_state(second, numbers)))
+    state = cut_lineage(K.case_state(first, numbers, n_images))
+    numbers = cut_lineage(numbers.unionByName(K.case_numbers(second, numbers)))
+    return K.cases_of(K.merged_cases(state, K.case_state(second, numbers, n_images)))
 
 
 @query("images_by_name")

@@ -340,6 +340,14 @@ def test_requests_one_after_the_other(spark, tmpdir_path):
         i: u if u in stay else None for i, _, _, u in images}
 
 
+def test_cases_without_their_links(spark):
+    """A delivery is counted from its sets' sizes: the links need not be written."""
+    rows = spark.createDataFrame([("a", "s1", 2), ("a", "s1", 3), ("b", "s2", 0), ("b", None, 1)],
+                                 "name string, series_uid string, n_images int")
+    state = K.case_state(rows, K.case_numbers(rows), F.col("n_images"))
+    assert sorted(map(tuple, K.cases_of(state).collect())) == [("a", 2, 1, 5), ("b", 2, 1, 1)]
+
+
 def test_bundle_parts(spark):
     import random
     r = random.Random(6)
