@@ -334,6 +334,18 @@ def test_a_page_carries_its_own_skeletons_constants(spark):
     assert {r.page_id: r.text for r in html_extract.extract(df).collect()} == {i: f"story {i}" for i in range(40)}
 
 
+def test_every_layout_of_a_site_has_a_wrapper(spark):
+    """More different layouts than a round takes: none is left out."""
+    def html(layout, i):
+        w = "q" + "abcdefgh"[layout // 8] + "abcdefgh"[layout % 8]
+        return (f"<body class={w}><div class={w}><p class={w}>Letter {w}</p></div>"
+                f"<section class={w}><blockquote class={w}>story {layout} {i}</blockquote></section></body>")
+    rows = [(100 * k + i, "http://h/", html(k, i)) for k in range(html_extract.LEADERS + 8) for i in range(5)]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    got = {r.page_id: r.text for r in html_extract.extract(df).collect()}
+    assert got == {n: f"story {n // 100} {n % 100}" for n, *_ in rows}
+
+
 def test_pages_table(spark):
     import html as entities
     rows = {r.page_id: r.text for r in
