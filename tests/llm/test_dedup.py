@@ -292,6 +292,26 @@ def test_components(spark, limit):
     assert all(len(s) == 1 for s in seen.values()) and len({min(s) for s in seen.values()}) == len(seen)
 
 
+def test_mask_tables_are_dealt_by_their_rows(spark, monkeypatch):
+    """Few bytes of fingerprints lie in one task; the tables' rows may not."""
+    most, tables = [], simhash._tables
+
+    def counted(rows, masks):
+        made = tables(rows, masks)
+        most.append(made.groupBy(F.spark_partition_id()).count().agg(F.max("count")).first()[0])
+        return made
+
+    monkeypatch.setattr(simhash, "TABLE_ROWS", 4096, raising=False)
+    monkeypatch.setattr(simhash, "_tables", counted)
+    r = random.Random(5)
+    prints = [r.getrandbits(64) for _ in range(3000)]
+    prints += [p ^ (1 << 7 | 1 << 40) for p in prints[:50]]
+    links = simhash.near_links(spark.createDataFrame([(simhash._signed(p),) for p in prints], "print long").coalesce(1), 4)
+    want = {tuple(sorted(map(simhash._signed, (p, p ^ (1 << 7 | 1 << 40))))) for p in prints[:50]}
+    assert {(x.v, x.u) for x in links.collect()} == want
+    assert most and max(most) <= 2 * 4096
+
+
 def test_near_dedup(docs_of, odd_texts):
     base = prose(1, 400).split()
     rows = list(enumerate(odd_texts))
