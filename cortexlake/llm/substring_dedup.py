@@ -39,6 +39,7 @@ from . import common as C
 
 PAIR = 2
 SLICE = 256          # texts that are decoded into Python objects at a time
+CHARS = 250_000      # of texts whose words are Python objects at a time (or one text)
 SLOTS, MOST_SLOTS = 1 << 13, 1 << 20
 PACKET = f"bucket long, block string, payload {C.BYTES}"
 _MIX = np.uint64(0x9E3779B97F4A7C15)
@@ -49,30 +50,12 @@ def words_of(text: str | None) -> list[bytes]:
     return (text or "").encode().split()          # of bytes: ASCII white space only
 
 
-class _Hashes(dict):
-    def __missing__(self, word: bytes) -> int:
-        h = self[word] = xxhash.xxh64_intdigest(word)
-        return h
-
-
 class _Numbers(dict):
     def __missing__(self, word: bytes) -> int:
         n = self[word] = len(self)
         return n
 
 
-class Hasher:
-    """64-bit word hashes with a bounded memory per worker."""
-
-    def __init__(self, limit: int = 300_000):
-        self.known, self.limit = _Hashes(), limit
-
-    def __call__(self, words: list[bytes]) -> np.ndarray:
-        if len(self.known) > self.limit:
-            self.known = _Hashes()
-        return np.fromiter(map(self.known.__getitem__, words), np.uint64, len(words))
-
-
 def _sliding(x: np.ndarray, width: int, op) -> np.ndarray:
     """op over x[i:i+width] for every i that has so many."""
     n = len(x) - width + 1
@@ -106,25 +89,50 @@ def _slots(rows: DataFrame, bucket_words: int) -> int:
     return min(MOST_SLOTS, max(SLOTS, 1 << wanted.bit_length()))
 
 
+def _some(texts: list) -> Iterator[list]:
+    """The texts in parts of about ``CHARS`` characters, one text at least."""
+    some, n = [], 0
+    for t in texts:
+        some.append(t)
+        n += len(t or "")
+        if n >= CHARS:
+            yield some
+            some, n = [], 0
+    yield some
+
+
 class Block:
-    """Words of some documents, one after the other, and where windows start."""
-
-    def __init__(self, texts: list, hasher: Hasher, window: int):
-        cut = [words_of(t) for t in texts]
-        self.lengths = np.array([len(w) for w in cut], np.int64)
-        self.words = [w for ws in cut for w in ws]
-        ends = np.cumsum(self.lengths)
-        self.starts = ends - self.lengths
-        n = len(self.words)
-        if n < window:
-            self.at = np.zeros(0, np.int64)
-            self.first = self.second = np.zeros(0, np.uint64)
-            self.doc = self.at
-            return
-        doc = np.repeat(np.arange(len(cut)), self.lengths)
-        self.at = np.flatnonzero(np.arange(n) + window <= ends[doc])     # windows inside a document
-        first, second = window_keys(hasher(self.words), window)
-        self.first, self.second, self.doc = first[self.at], second[self.at], doc[self.at]
+    """Words of some documents, one after the other, and where windows start.
+    The words stay as one string (``joined``, by blanks) with their lengths
+    ``sizes``, if asked to ``keep`` them; only those of a few texts at a time
+    are Python objects."""
+
+    def __init__(self, texts: list, window: int, keep: bool = False):
+        starts, at, first, second, doc, joined, sizes = [], [], [], [], [], [], []
+        docs = n = 0
+        for some in _some(texts):
+            cut = [words_of(t) for t in some]
+            words = [w for ws in cut for w in ws]
+            lengths = np.fromiter(map(len, cut), np.int64, len(cut))
+            del cut
+            ends = np.cumsum(lengths)
+            starts.append(n + ends - lengths)
+            if len(words) >= window:
+                own = np.repeat(np.arange(len(lengths)), lengths)
+                inside = np.flatnonzero(np.arange(len(words)) + window <= ends[own])  # of a document
+                keys = window_keys(np.fromiter(map(xxhash.xxh64_intdigest, words), np.uint64, len(words)), window)
+                for held, x in zip((at, first, second, doc), (n + inside, *(k[inside] for k in keys),
+                                                              docs + own[inside])):
+                    held.append(x)
+            if keep and words:
+                joined.append(b" ".join(words))
+                sizes.append(np.fromiter(map(len, words), np.int64, len(words)))
+            docs, n = docs + len(lengths), n + len(words)
+        none = [np.zeros(0, np.int64)]
+        self.starts = np.concatenate(starts)
+        self.at, self.doc = np.concatenate(at or none), np.concatenate(doc or none)
+        self.first, self.second = (np.concatenate(x or [np.zeros(0, np.uint64)]) for x in (first, second))
+        self.joined, self.sizes = b" ".join(joined), np.concatenate(sizes or none)
 
     def runs(self, bucket: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """First window and number of windows of each super-k-mer."""
@@ -154,13 +162,14 @@ def _blocks(batches, chars: int):
 
 def _load(window: int, chars: int, slots: int):
     def run(batches):
-        hasher, load, blocks = Hasher(), np.zeros(slots, np.int64), 0
+        load, blocks = np.zeros(slots, np.int64), 0
         for _, _, texts in _blocks(batches, chars):
             blocks += 1
-            b = Block(texts, hasher, window)
+            b = Block(texts, window)
             slot = slots_of(b.first, slots)
             first, n = b.runs(slot)
             load += np.bincount(slot[first], n + window - 1, slots).astype(np.int64)
+            del texts, b, slot, first, n                    # before the next block is read
         used = np.flatnonzero(load)
         yield pa.RecordBatch.from_arrays([pa.array(np.append(used, slots)),
                                           pa.array(np.append(load[used], blocks))], ["slot", "words"])
@@ -212,45 +221,53 @@ def _unpack(payload: bytes, *kinds) -> list:
     return out
 
 
+def _packets(ids: list, keys: list, texts: list, block: str, window: int, buckets: Buckets) -> list[tuple]:
+    """Rows of ``PACKET`` that a block sends."""
+    b = Block(texts, window, keep=True)
+    ids = np.array(ids, np.int64)
+    bucket = buckets.of(b.first, b.second)
+    first, n = b.runs(bucket)
+    stop = np.cumsum(b.sizes + 1) - 1
+    start = np.concatenate([[0], stop[:-1] + 1])
+    known: dict = {}
+    number = np.fromiter((known.setdefault(b.joined[x:y], len(known)) for x, y in zip(
+        start[b.at[first]].tolist(), stop[b.at[first] + n + window - 2].tolist())), np.int32, len(first))
+    strings = list(known)
+    del known, start, stop
+    doc = b.doc[first]
+    low = np.full(len(strings), C.NO_ID)
+    high = np.full(len(strings), -C.NO_ID)
+    np.minimum.at(low, number, ids[doc])
+    np.maximum.at(high, number, ids[doc])
+    where, wide = np.zeros(len(strings), np.int64), np.zeros(len(strings), np.int32)
+    where[number], wide[number] = bucket[first], n
+    # what the block needs to read its answers goes straight to it
+    rows = [(-1 - (xxhash.xxh64_intdigest(block) >> 2), block,
+             _pack(ids, np.array(keys, np.int64), number, doc.astype(np.int32),
+                   (b.at[first] - b.starts[doc]).astype(np.int32)))]
+    del b
+    order = np.argsort(where, kind="stable")
+    cuts = np.flatnonzero(np.diff(where[order])) + 1
+    for some in np.split(order, cuts) if len(order) else []:
+        rows.append((int(where[some[0]]), block, _pack(
+            b"\n".join([strings[i] for i in some.tolist()]), some.astype(np.int32),
+            wide[some], low[some], high[some])))
+    return rows
+
+
 def _send(window: int, chars: int, buckets: Buckets):
     def run(batches):
-        hasher, part, k = Hasher(), TaskContext.get().partitionId(), 0
+        part, k = TaskContext.get().partitionId(), 0
         for ids, keys, texts in _blocks(batches, chars):
-            b = Block(texts, hasher, window)
-            ids = np.array(ids, np.int64)
-            bucket = buckets.of(b.first, b.second)
-            first, n = b.runs(bucket)
-            joined = b" ".join(b.words)
-            stop = np.cumsum(np.fromiter(map(len, b.words), np.int64, len(b.words)) + 1) - 1
-            start = np.concatenate([[0], stop[:-1] + 1])
-            known: dict = {}
-            number = [known.setdefault(joined[x:y], len(known)) for x, y in
-                      zip(start[b.at[first]].tolist(), stop[b.at[first] + n + window - 2].tolist())]
-            number, strings = np.array(number, np.int32), list(known)
-            doc = b.doc[first]
-            low = np.full(len(strings), C.NO_ID)
-            high = np.full(len(strings), -C.NO_ID)
-            np.minimum.at(low, number, ids[doc])
-            np.maximum.at(high, number, ids[doc])
-            where, wide = np.zeros(len(strings), np.int64), np.zeros(len(strings), np.int32)
-            where[number], wide[number] = bucket[first], n
-            block = f"{part}-{k}"
+            rows = _packets(ids, keys, texts, f"{part}-{k}", window, buckets)
             k += 1
-            # what the block needs to read its answers goes straight to it
-            rows = [(-1 - (xxhash.xxh64_intdigest(block) >> 2), block,
-                     _pack(ids, np.array(keys, np.int64), number, doc.astype(np.int32),
-                           (b.at[first] - b.starts[doc]).astype(np.int32)))]
-            order = np.argsort(where, kind="stable")
-            cuts = np.flatnonzero(np.diff(where[order])) + 1
-            for some in np.split(order, cuts) if len(order) else []:
-                rows.append((int(where[some[0]]), block, _pack(
-                    b"\n".join([strings[i] for i in some.tolist()]), some.astype(np.int32),
-                    wide[some], low[some], high[some])))
+            del ids, keys, texts
             for i in range(0, len(rows), 200):
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(c, t) for c, t in zip(zip(*rows[i:i + 200]),
                                                     (pa.int64(), pa.string(), C.ARROW_BYTES))],
                     ["bucket", "block", "payload"])
+            del rows                                       # before the next block is read
     return run
 
 
@@ -309,18 +326,19 @@ class Received:
     and place."""
 
     def __init__(self, payloads, window: int, words: bool = False):
-        strings, number, wide, low, high, packet = [], [], [], [], [], []
+        ids, number, wide, low, high, packet = [], [], [], [], [], []
+        numbers, self.words = _Numbers(), [] if words else None
         for i, p in enumerate(payloads):
             s, *rest = _unpack(p, None, np.int32, np.int32, np.int64, np.int64)
-            strings.append(s)
+            cut = s.split()                                # of one packet: objects of its words only
+            ids.append(np.fromiter(map(numbers.__getitem__, cut), np.int32, len(cut)))
+            if words:
+                self.words += cut
             for held, x in zip((number, wide, low, high), rest):
                 held.append(x)
             packet.append(np.full(len(rest[0]), i))
-        cut = b"\n".join(strings).split()
-        del strings
-        self.ids = np.fromiter(map(_Numbers().__getitem__, cut), np.int32, len(cut))
-        self.words = cut if words else None
-        del cut
+        self.ids = np.concatenate(ids)
+        del numbers, ids, cut, s
         self.number, wide, self.low, self.high, self.packet = map(
             np.concatenate, (number, wide, low, high, packet))
         wide = wide.astype(np.int64)
@@ -506,8 +524,9 @@ def substring_dedup(docs: DataFrame, window: int = 13, id_col: str = "doc_id",
     @F.arrow_udf("kept string, n_words long, n_removed long")
     def cut(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
         for texts, ranges in batches:
-            kept, total, gone = [], [], []
-            for i in range(0, len(texts), SLICE):
+            parts = []
+            for i in range(0, max(1, len(texts)), SLICE):
+                kept, total, gone = [], [], []
                 for t, r in zip(texts.slice(i, SLICE).to_pylist(), ranges.slice(i, SLICE).to_pylist()):
                     words = words_of(t)
                     total.append(len(words))
@@ -517,9 +536,10 @@ def substring_dedup(docs: DataFrame, window: int = 13, id_col: str = "doc_id",
                         removed += y - x
                     gone.append(removed)
                     kept.append(b" ".join(words).decode())
-            yield pa.StructArray.from_arrays(
-                [pa.array(kept, pa.string()), pa.array(total, pa.int64()), pa.array(gone, pa.int64())],
-                ["kept", "n_words", "n_removed"])
+                parts.append(pa.StructArray.from_arrays(
+                    [pa.array(kept, pa.string()), pa.array(total, pa.int64()), pa.array(gone, pa.int64())],
+                    ["kept", "n_words", "n_removed"]))
+            yield pa.concat_arrays(parts)
 
     # not deterministic for the planner: it may not repeat the call in projections
     return joined.select("row", cut.asNondeterministic()("text", "ranges").alias("_cut")) \
